@@ -98,15 +98,15 @@ def purpose_rollup(cohort: DataFrame) -> DataFrame:
 def rollup_reconcile(cohort: DataFrame, rollups: dict[str, DataFrame]) -> DataFrame:
     """Σ total_loans of each rollup against the cohort row count (long form).
 
-    Rows: (table, rows, cohort_rows, difference); every difference is 0 when
+    Rows: (rollup_table, rows, cohort_rows, difference); every difference is 0 when
     the rollups partition the cohort.
     """
-    cohort_rows = cohort.agg(n_rows().alias("rows")).withColumn("table", F.lit("cohort"))
-    parts = [cohort_rows.select("table", "rows")]
+    cohort_rows = cohort.agg(n_rows().alias("rows")).withColumn("rollup_table", F.lit("cohort"))
+    parts = [cohort_rows.select("rollup_table", "rows")]
     for name, df in rollups.items():
-        parts.append(df.agg(F.sum("total_loans").cast("long").alias("rows")).select(F.lit(name).alias("table"), "rows"))
+        parts.append(df.agg(F.sum("total_loans").cast("long").alias("rows")).select(F.lit(name).alias("rollup_table"), "rows"))
     stacked = parts[0]
     for p in parts[1:]:
         stacked = stacked.unionByName(p)
-    ref = F.max(F.when(F.col("table") == "cohort", F.col("rows"))).over(Window.partitionBy())
+    ref = F.max(F.when(F.col("rollup_table") == "cohort", F.col("rows"))).over(Window.partitionBy())
     return stacked.withColumn("cohort_rows", ref).withColumn("difference", F.col("rows") - F.col("cohort_rows"))

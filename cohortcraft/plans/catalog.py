@@ -1,7 +1,8 @@
 """Registered queries: ``name -> (spark, sf_dir) -> DataFrame``.
 
 Every query starts from the driver's tables (through the contract adapter)
-so its work grows with them; none collects to the driver.
+so its work grows with them; none collects rows to the driver except the
+logistic fits, which return one summary row per model.
 """
 
 from __future__ import annotations
@@ -9,25 +10,122 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cohortcraft.operators.cohort import analysis_cohort
-from cohortcraft.operators.rollup import quarterly_rollup
+from cohortcraft.functions.metrics import n_rows
+from cohortcraft.operators import claims, quality, rollup, stats
+from cohortcraft.operators.cohort import analysis_cohort, dashboard_extract
+from cohortcraft.operators.document import governed_metrics
+from cohortcraft.operators.model import rounded_single_predictor, vintage_logit
 from cohortcraft.operators.typed import typed_contracts
-from cohortcraft.sources.contract import contract_raw
+from cohortcraft.sources.contract import contract_raw, lineitem_contracts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def raw_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contract_raw(spark, sf_dir)
+
+
 def typed_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return typed_contracts(contract_raw(spark, sf_dir))
+    return typed_contracts(raw_layer(spark, sf_dir))
 
 
 def cohort_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis_cohort(typed_layer(spark, sf_dir))
 
 
+def _on_cohort(fn: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: fn(cohort_layer(spark, sf_dir))
+
+
+def _on_typed(fn: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: fn(typed_layer(spark, sf_dir))
+
+
+def _status_taxonomy(typed: DataFrame) -> DataFrame:
+    keys = ["loan_status", "status_group", "default_flag", "is_resolved", "is_current", "is_delinquent"]
+    return typed.groupBy(*keys).agg(n_rows().alias("loans"))
+
+
+def _bands(cohort: DataFrame) -> DataFrame:
+    return cohort.groupBy("income_band", "dti_band", "loan_amount_band").agg(n_rows().alias("loans"))
+
+
+def _rollup_reconcile(cohort: DataFrame) -> DataFrame:
+    return rollup.rollup_reconcile(
+        cohort,
+        {
+            "quarterly": rollup.quarterly_rollup(cohort),
+            "grade": rollup.grade_rollup(cohort),
+            "purpose": rollup.purpose_rollup(cohort),
+        },
+    )
+
+
+def _layer_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_layer(spark, sf_dir)
+    return quality.layer_reconcile(raw, typed_contracts(raw))
+
+
+def _distribution_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_layer(spark, sf_dir)
+    return quality.distribution_reconcile(raw, typed_contracts(raw))
+
+
+def _scope_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    typed = typed_layer(spark, sf_dir)
+    return claims.scope_reconcile(claims.scope_metrics(typed), governed_metrics(analysis_cohort(typed)))
+
+
+def _claim_status(typed: DataFrame) -> DataFrame:
+    return claims.claim_status(claims.scope_metrics(typed))
+
+
+def _claim_verdict(typed: DataFrame) -> DataFrame:
+    return claims.claim_verdict(claims.claim_status(claims.scope_metrics(typed)))
+
+
 QUERIES: dict[str, Query] = {
+    # raw and typed layers
+    "raw_profile": lambda spark, d: quality.raw_profile(raw_layer(spark, d)),
     "silver_rows": typed_layer,
+    "status_taxonomy": _on_typed(_status_taxonomy),
+    "status_distribution": _on_typed(quality.status_distribution),
+    "distribution_reconcile": _distribution_reconcile,
+    "layer_reconcile": _layer_reconcile,
+    "quality_counters": _on_typed(quality.typed_profile),
+    "maturity": _on_typed(quality.maturity),
+    "table_fingerprint": _on_typed(quality.table_fingerprint),
+    # cohort and governed rollups
     "cohort_rows": cohort_layer,
-    "quarterly_rollup": lambda spark, d: quarterly_rollup(cohort_layer(spark, d)),
+    "bands": _on_cohort(_bands),
+    "dashboard_extract": _on_cohort(dashboard_extract),
+    "quarterly_rollup": _on_cohort(rollup.quarterly_rollup),
+    "grade_rollup": _on_cohort(rollup.grade_rollup),
+    "purpose_rollup": _on_cohort(rollup.purpose_rollup),
+    "lineitem_rollup": lambda spark, d: rollup.grade_rollup(lineitem_contracts(spark, d)),
+    "governed_metrics": _on_cohort(governed_metrics),
+    "cohort_rules": _on_cohort(quality.cohort_profile),
+    "rollup_reconcile": _on_cohort(_rollup_reconcile),
+    # vintage statistics
+    "ztest_battery": _on_cohort(stats.hypothesis_battery),
+    "ztest_pvalues": _on_cohort(lambda c: stats.with_p_values(stats.hypothesis_battery(c))),
+    "mix_rate_decomposition": _on_cohort(stats.mix_rate_decomposition),
+    "grade_period_comparison": _on_cohort(stats.grade_period_comparison),
+    "price_vs_risk": _on_cohort(lambda c: stats.price_vs_risk(stats.grade_period_comparison(c))),
+    "band_shift": _on_cohort(stats.band_shift),
+    "quarter_trend_pivot": _on_cohort(stats.quarter_trend),
+    "vintage_logit": _on_cohort(rounded_single_predictor),
+    "vintage_logit_full": _on_cohort(vintage_logit),
+    # multi-scope claim validation
+    "scope_metrics": _on_typed(claims.scope_metrics),
+    "claim_status": _on_typed(_claim_status),
+    "claim_verdict": _on_typed(_claim_verdict),
+    "scope_reconcile": _scope_reconcile,
 }
+
+# Queries whose result is order-sensitive output of a global sort.
+ORDERED = {"dashboard_extract"}
+
+__all__ = ["QUERIES", "ORDERED", "typed_layer", "cohort_layer", "raw_layer", "F"]
