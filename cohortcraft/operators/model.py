@@ -38,37 +38,31 @@ def model_frame(cohort: DataFrame) -> DataFrame:
     )
 
 
-def fit_logit(frame: DataFrame, terms: tuple[str, ...], label: str = "default_flag"):
-    """Fit the GLM on a persisted feature frame; returns (model, feature names)."""
+def fit_logit(frame: DataFrame, terms: tuple[str, ...], label: str = "default_flag") -> dict:
+    """Fit the GLM on a (persisted) model frame; returns coefficients and fit stats."""
     formula = RFormula(
         formula=f"{label} ~ " + " + ".join(terms),
         featuresCol="features",
         labelCol="label",
         stringIndexerOrderType="alphabetDesc",
     )
-    fitted_formula = formula.fit(frame)
-    features = fitted_formula.transform(frame).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        glm = GeneralizedLinearRegression(
-            family="binomial", link="logit", regParam=0.0, maxIter=100, tol=1e-10, featuresCol="features",
-            labelCol="label",
-        )
-        model = glm.fit(features)
-        names = [a["name"] for a in sorted(
-            _attrs(features.schema["features"].metadata), key=lambda a: a["idx"])]
-        summary = model.summary
-        result = {
-            "coefficients": list(model.coefficients),
-            "intercept": model.intercept,
-            "std_errors": list(summary.coefficientStandardErrors),
-            "deviance": summary.deviance,
-            "null_deviance": summary.nullDeviance,
-            "n_obs": summary.numInstances,
-            "names": names,
-        }
-    finally:
-        features.unpersist()
-    return result
+    features = formula.fit(frame).transform(frame).select("features", "label")
+    glm = GeneralizedLinearRegression(
+        family="binomial", link="logit", regParam=0.0, maxIter=100, tol=1e-10, featuresCol="features",
+        labelCol="label",
+    )
+    model = glm.fit(features)
+    summary = model.summary
+    names = [a["name"] for a in sorted(_attrs(features.schema["features"].metadata), key=lambda a: a["idx"])]
+    return {
+        "coefficients": list(model.coefficients),
+        "intercept": model.intercept,
+        "std_errors": list(summary.coefficientStandardErrors),
+        "deviance": summary.deviance,
+        "null_deviance": summary.nullDeviance,
+        "n_obs": summary.numInstances,
+        "names": names,
+    }
 
 
 def _attrs(meta: dict) -> list[dict]:
@@ -110,8 +104,14 @@ def vintage_logit(cohort: DataFrame, models: dict[str, tuple[str, ...]] | None =
     Runs the fits (actions) and returns a result-sized DataFrame.
     """
     models = models or {"grade_only": BASIC_TERMS, "grade_and_controls": FULL_TERMS}
-    frame = model_frame(cohort)
-    rows = [odds_ratio_row(fit_logit(frame, terms), label) for label, terms in models.items()]
+    # Seven numeric/short columns per contract, shared by every fit; each IRLS
+    # iteration re-reads it, so it is persisted (spilling to disk if needed)
+    # instead of recomputing the cohort lineage per pass.
+    frame = model_frame(cohort).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = [odds_ratio_row(fit_logit(frame, terms), label) for label, terms in models.items()]
+    finally:
+        frame.unpersist()
     return cohort.sparkSession.createDataFrame(
         [tuple(r[k] for k in ("model", "coefficient", "std_error", "odds_ratio", "or_ci95_low", "or_ci95_high",
                               "z_stat", "p_value", "p_value_display", "pseudo_r2", "n_obs")) for r in rows],

@@ -8,6 +8,7 @@ logistic fits, which return one summary row per model.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,14 +24,20 @@ from cohortcraft.sources.contract import contract_raw, lineitem_contracts
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# The layer DataFrames are plans, not data: building them costs a few
+# thousand Python->JVM calls, so each (session, folder) builds them once and
+# every query reuses the same immutable plan.
+@lru_cache(maxsize=16)
 def raw_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract_raw(spark, sf_dir)
 
 
+@lru_cache(maxsize=16)
 def typed_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed_contracts(raw_layer(spark, sf_dir))
 
 
+@lru_cache(maxsize=16)
 def cohort_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis_cohort(typed_layer(spark, sf_dir))
 

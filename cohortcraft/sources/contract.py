@@ -32,7 +32,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortcraft.sources.columnar import driver_table
+from cohortcraft.sources.columnar import driver_table, spread
 
 _EPOCH = dt.date(1995, 1, 1)
 _ISSUE_START = dt.date(2007, 1, 1)
@@ -48,8 +48,10 @@ PURPOSE_BY_SEGMENT = {
 
 
 def _money(cents: Column) -> Column:
-    """Integer cents -> ``'1234.56'`` (exact, no float formatting)."""
-    return F.format_string("%d.%02d", F.floor(cents / 100), cents % 100)
+    """Non-negative integer cents -> ``'1234.56'`` (exact, no float formatting)."""
+    return F.concat(
+        F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0")
+    )
 
 
 def _purpose(segment: Column) -> Column:
@@ -76,9 +78,9 @@ def _status(order_status: Column, nation: Column) -> Column:
 
 def contract_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw all-text contract table (30 source columns) from orders x customer."""
-    orders = driver_table(spark, sf_dir, "orders").select(
+    orders = spread(driver_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
-    )
+    ))
     customer = driver_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"
     )
@@ -159,9 +161,9 @@ def lineitem_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     A -> 0, N -> unknown; amount = extended price; rate = 100 x tax;
     income = 1000 x quantity; ratio = 100 x discount; no score.
     """
-    li = driver_table(spark, sf_dir, "lineitem").select(
+    li = spread(driver_table(spark, sf_dir, "lineitem").select(
         "l_extendedprice", "l_discount", "l_tax", "l_quantity", "l_returnflag"
-    )
+    ))
     return li.select(
         F.chr(F.lit(65) + F.round(F.col("l_discount") * 100).cast("int")).alias("grade"),
         F.when(F.col("l_returnflag") == "R", 1).when(F.col("l_returnflag") == "A", 0).alias("default_flag"),
