@@ -53,5 +53,17 @@ def share_pct(cond: Column) -> Column:
     return pct(indicator(cond, 1.0, 0.0))
 
 
+def round_to(c: ColumnOrName, digits: int = 2) -> Column:
+    """``ROUND(x, d)`` of a double as the reference engine does it.
+
+    The value is scaled in binary, rounded half away from zero, and scaled
+    back: ``round(x * 10^d) / 10^d``. Spark's ``round(x, d)`` instead rounds
+    the decimal expansion, so the two disagree on near-ties such as a median
+    that falls on half a cent.
+    """
+    scale = float(10**digits)
+    return F.round(_col(c) * scale, 0) / scale
+
+
 def rounded(c: Column, digits: int = 2) -> Column:
-    return F.round(c, digits)
+    return round_to(c, digits)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from cohortcraft.functions.classify import MID_GRADES
 from cohortcraft.functions.metrics import n_rows, n_where
 from cohortcraft.operators.cohort import SCOPES, Scope, scope_spine, tag_scopes
+from cohortcraft.functions.metrics import round_to
 
 # Tolerances and the claim set under validation.
 PERCENTAGE_TOLERANCE_PP = 0.25
@@ -143,14 +144,14 @@ def scope_metrics(typed: DataFrame, scopes: tuple[Scope, ...] = SCOPES, segment:
         F.coalesce(col("current_loans"), F.lit(0)).alias("current_loans"),
     ]
     for name in ("portfolio_share_pct", "segment_default_rate_pct", "overall_default_rate_pct"):
-        out.append(F.when(ok, F.round(metrics[name], 4)).alias(name))
-    out.append(F.when(ok, F.round(gap, 4)).alias("segment_minus_overall_pp"))
+        out.append(F.when(ok, round_to(metrics[name], 4)).alias(name))
+    out.append(F.when(ok, round_to(gap, 4)).alias("segment_minus_overall_pp"))
     for name in ("average_loan_amount_usd", "average_annual_income_usd", "grade_bc_share_pct",
                  "average_interest_rate_pct"):
-        out.append(F.when(ok, F.round(metrics[name], digits.get(name, 4))).alias(name))
+        out.append(F.when(ok, round_to(metrics[name], digits.get(name, 4))).alias(name))
     out += [
-        F.when(ok, F.round(100.0 * F.coalesce(col("unresolved_loans"), F.lit(0)) / total, 4)).alias("unresolved_share_pct"),
-        F.when(ok, F.round(100.0 * F.coalesce(col("current_loans"), F.lit(0)) / total, 4)).alias("current_share_pct"),
+        F.when(ok, round_to(100.0 * F.coalesce(col("unresolved_loans"), F.lit(0)) / total, 4)).alias("unresolved_share_pct"),
+        F.when(ok, round_to(100.0 * F.coalesce(col("current_loans"), F.lit(0)) / total, 4)).alias("current_share_pct"),
     ]
     actual_direction = F.when(ok, direction(gap))
     for metric, kind, value, text in CLAIMS:

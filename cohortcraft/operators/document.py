@@ -15,6 +15,7 @@ from cohortcraft.functions.classify import MID_GRADES
 from cohortcraft.functions.metrics import n_rows, n_where
 from cohortcraft.operators.claims import SEGMENT_PURPOSE
 from cohortcraft.operators.median import with_medians
+from cohortcraft.functions.metrics import round_to
 
 # Scope description and metric definitions of the document.
 METRIC_SCOPE = {
@@ -71,21 +72,21 @@ def governed_metrics(cohort: DataFrame, segment: str = SEGMENT_PURPOSE) -> DataF
     return full.select(
         c("o_n").alias("overall_total_loans"),
         c("o_d").alias("overall_defaulted_loans"),
-        F.round(100.0 * c("o_rate"), 4).alias("overall_default_rate_pct"),
-        F.round(c("o_amount"), 2).alias("overall_average_loan_amount_usd"),
-        F.round(c("o_int"), 4).alias("overall_average_interest_rate_pct"),
+        round_to(100.0 * c("o_rate"), 4).alias("overall_default_rate_pct"),
+        round_to(c("o_amount"), 2).alias("overall_average_loan_amount_usd"),
+        round_to(c("o_int"), 4).alias("overall_average_interest_rate_pct"),
         c("s_n").alias("segment_total_loans"),
-        F.round(100.0 * c("s_n") / c("o_n"), 4).alias("segment_portfolio_share_pct"),
+        round_to(100.0 * c("s_n") / c("o_n"), 4).alias("segment_portfolio_share_pct"),
         c("s_d").alias("segment_defaulted_loans"),
-        F.round(100.0 * c("s_rate"), 4).alias("segment_default_rate_pct"),
-        F.round(c("s_amount"), 2).alias("segment_average_loan_amount_usd"),
-        F.round(c("median_loan_amount"), 2).alias("segment_median_loan_amount_usd"),
-        F.round(100.0 * c("s_bc"), 4).alias("segment_grade_bc_share_pct"),
-        F.round(c("s_int"), 4).alias("segment_average_interest_rate_pct"),
-        F.round(c("s_income"), 2).alias("segment_average_annual_income_usd"),
-        F.round(c("median_annual_income"), 2).alias("segment_median_annual_income_usd"),
-        F.round(c("s_dti"), 4).alias("segment_average_dti"),
-        F.round(c("s_fico"), 2).alias("segment_average_fico_score"),
+        round_to(100.0 * c("s_rate"), 4).alias("segment_default_rate_pct"),
+        round_to(c("s_amount"), 2).alias("segment_average_loan_amount_usd"),
+        round_to(c("median_loan_amount"), 2).alias("segment_median_loan_amount_usd"),
+        round_to(100.0 * c("s_bc"), 4).alias("segment_grade_bc_share_pct"),
+        round_to(c("s_int"), 4).alias("segment_average_interest_rate_pct"),
+        round_to(c("s_income"), 2).alias("segment_average_annual_income_usd"),
+        round_to(c("median_annual_income"), 2).alias("segment_median_annual_income_usd"),
+        round_to(c("s_dti"), 4).alias("segment_average_dti"),
+        round_to(c("s_fico"), 2).alias("segment_average_fico_score"),
     )
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortcraft.operators.stats import LATE, p_value, with_period
+from cohortcraft.functions.metrics import round_to
 
 # Notebook model specifications and the Wald multiplier.
 BASIC_TERMS = ("late", "grade")
@@ -124,10 +125,10 @@ def rounded_single_predictor(cohort: DataFrame, digits: int = 4) -> DataFrame:
     df = vintage_logit(cohort, {"late_only": ("late",)})
     return df.select(
         "model",
-        F.round("odds_ratio", digits).alias("odds_ratio"),
-        F.round("or_ci95_low", digits).alias("or_ci95_low"),
-        F.round("or_ci95_high", digits).alias("or_ci95_high"),
-        F.round("std_error", digits).alias("std_error"),
-        F.round("pseudo_r2", 6).alias("pseudo_r2"),
+        round_to("odds_ratio", digits).alias("odds_ratio"),
+        round_to("or_ci95_low", digits).alias("or_ci95_low"),
+        round_to("or_ci95_high", digits).alias("or_ci95_high"),
+        round_to("std_error", digits).alias("std_error"),
+        round_to("pseudo_r2", 6).alias("pseudo_r2"),
         "n_obs",
     )

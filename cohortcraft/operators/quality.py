@@ -17,6 +17,7 @@ from cohortcraft.functions.classify import GRADE_DOMAIN
 from cohortcraft.functions.metrics import n_rows, n_where
 from cohortcraft.functions.parse import blank_to_null, month_year
 from cohortcraft.operators.typed import reject_reason
+from cohortcraft.functions.metrics import round_to
 
 NULL_STATUS = "__NULL__"
 
@@ -203,7 +204,7 @@ def maturity(typed: DataFrame) -> DataFrame:
     return typed.groupBy("issue_year", "term_months").agg(
         n_rows().alias("loans"),
         n_where(F.col("is_resolved")).alias("resolved_loans"),
-        F.round(F.lit(100.0) * F.avg(F.col("is_resolved").cast("double")), 4).alias("resolved_share_pct"),
+        round_to(F.lit(100.0) * F.avg(F.col("is_resolved").cast("double")), 4).alias("resolved_share_pct"),
     )
 
 

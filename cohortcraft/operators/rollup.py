@@ -14,15 +14,16 @@ from pyspark.sql import functions as F
 from cohortcraft.functions.classify import MID_GRADES
 from cohortcraft.functions.metrics import indicator, mean, n_rows, pct, rounded, total
 from cohortcraft.operators.median import with_medians
+from cohortcraft.functions.metrics import round_to
 
 
 def share_of_total(count_col: str = "total_loans", digits: int = 2) -> Column:
     """``100.0 * n / SUM(n) OVER ()`` over already-aggregated rows."""
-    return F.round(F.lit(100.0) * F.col(count_col) / F.sum(count_col).over(Window.partitionBy()), digits)
+    return round_to(F.lit(100.0) * F.col(count_col) / F.sum(count_col).over(Window.partitionBy()), digits)
 
 
 def _med(name: str, alias: str) -> Column:
-    return F.round(F.col(f"median_{name}"), 2).alias(alias)
+    return round_to(F.col(f"median_{name}"), 2).alias(alias)
 
 
 def quarterly_rollup(cohort: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from cohortcraft.functions.classify import GRADE_DOMAIN, dti_band, period_label
 from cohortcraft.functions.metrics import n_rows, n_where
+from cohortcraft.functions.metrics import round_to
 
 EARLY, LATE = "2014", "2015"
 # Two-sided/one-sided 5 % critical values of the normal law.
@@ -94,10 +95,10 @@ def hypothesis_battery(cohort: DataFrame, digits: int = 6) -> DataFrame:
     reject = F.when(col("alternative") == "two-sided", F.abs(z) > Z_CRIT_TWO_SIDED).otherwise(z > Z_CRIT_ONE_SIDED)
     return stacked.select(
         "hypothesis", "description", "alternative", "success_a", "n_a", "success_b", "n_b",
-        F.round(t["rate_a"], digits).alias("rate_a"),
-        F.round(t["rate_b"], digits).alias("rate_b"),
-        F.round(t["delta_pp"], digits).alias("delta_pp"),
-        F.round(z, digits).alias("z_stat"),
+        round_to(t["rate_a"], digits).alias("rate_a"),
+        round_to(t["rate_b"], digits).alias("rate_b"),
+        round_to(t["delta_pp"], digits).alias("delta_pp"),
+        round_to(z, digits).alias("z_stat"),
         reject.alias("reject_h0"),
     )
 
@@ -150,7 +151,7 @@ def mix_rate_decomposition(cohort: DataFrame, digits: int = 6) -> DataFrame:
         (3, "rate_effect_other_grades", 100.0 * rate_other),
         (4, "sum_of_effects", 100.0 * (composition + rate_de + rate_other)),
     ]
-    arr = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(n).alias("component"), F.round(v, digits).alias("pp"))
+    arr = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(n).alias("component"), round_to(v, digits).alias("pp"))
                     for i, n, v in parts])
     return c.select(F.explode(arr).alias("x")).select("x.*")
 
@@ -199,9 +200,9 @@ def grade_period_comparison(cohort: DataFrame, digits: int = 4) -> DataFrame:
         "rate_2014_pct", "rate_2015_pct", "dti_2014", "dti_2015",
     ]
     out = joined.select(
-        "position", "grade", *[F.round(col(c), digits).alias(c) for c in metric_cols],
-        F.round(col("default_2015_pct") - col("default_2014_pct"), digits).alias("delta_default_pp"),
-        F.round(col("rate_2015_pct") - col("rate_2014_pct"), digits).alias("delta_rate_pp"),
+        "position", "grade", *[round_to(col(c), digits).alias(c) for c in metric_cols],
+        round_to(col("default_2015_pct") - col("default_2014_pct"), digits).alias("delta_default_pp"),
+        round_to(col("rate_2015_pct") - col("rate_2014_pct"), digits).alias("delta_rate_pp"),
     )
     return out.orderBy("position")
 
@@ -214,7 +215,7 @@ def price_vs_risk(comparison: DataFrame, digits: int = 4) -> DataFrame:
     col = F.col
     return comparison.select(
         "position", "grade", "delta_default_pp", "delta_rate_pp", "dti_2014", "dti_2015",
-        F.round(col("dti_2015") - col("dti_2014"), digits).alias("delta_dti"),
+        round_to(col("dti_2015") - col("dti_2014"), digits).alias("delta_dti"),
         ((col("delta_rate_pp") < 0) & (col("delta_default_pp") > 0)).alias("attention_quadrant"),
     ).orderBy("position")
 
@@ -232,8 +233,8 @@ def band_shift(cohort: DataFrame, band_col: str = "dti_band", drop_label: str =
     per_period = Window.partitionBy("period")
     return g.select(
         "period", band_col, "loans",
-        F.round(100.0 * F.col("loans") / F.sum("loans").over(per_period), digits).alias("portfolio_share_pct"),
-        F.round(100.0 * F.col("_rate"), digits).alias("default_rate_pct"),
+        round_to(100.0 * F.col("loans") / F.sum("loans").over(per_period), digits).alias("portfolio_share_pct"),
+        round_to(100.0 * F.col("_rate"), digits).alias("default_rate_pct"),
     ).where(F.col(band_col) != drop_label)
 
 
@@ -255,8 +256,8 @@ def quarter_trend(cohort: DataFrame, digits: int = 4) -> DataFrame:
     j = totals.join(pivoted, "issue_quarter", "inner")
     return j.select(
         "issue_quarter", "total_loans",
-        F.round(100.0 * F.col("_rate"), digits).alias("default_rate_pct"),
-        F.round(100.0 * F.col("_share"), digits).alias("grade_de_share_pct"),
-        F.round(100.0 * F.col("_de"), digits).alias("de_default_rate_pct"),
-        F.round(100.0 * F.col("_other"), digits).alias("other_default_rate_pct"),
+        round_to(100.0 * F.col("_rate"), digits).alias("default_rate_pct"),
+        round_to(100.0 * F.col("_share"), digits).alias("grade_de_share_pct"),
+        round_to(100.0 * F.col("_de"), digits).alias("de_default_rate_pct"),
+        round_to(100.0 * F.col("_other"), digits).alias("other_default_rate_pct"),
     ).orderBy("issue_quarter")

@@ -52,12 +52,29 @@ def _json_default(v):
     raise TypeError(type(v))
 
 
+def _order_counts(value):
+    """Maps of counts (all int values) are listed largest first, ties by key.
+
+    Spark maps carry no entry order to Python, so distributions are ordered
+    here, on the single document row.
+    """
+    if isinstance(value, dict):
+        items = {k: _order_counts(v) for k, v in value.items()}
+        if items and all(isinstance(v, int) and not isinstance(v, bool) for v in items.values()):
+            return dict(sorted(items.items(), key=lambda kv: (-kv[1], str(kv[0]))))
+        return items
+    if isinstance(value, list):
+        return [_order_counts(v) for v in value]
+    return value
+
+
 def document_text(doc: DataFrame) -> str:
     """Pretty JSON of a one-row document frame."""
     rows = doc.take(2)
     if len(rows) != 1:
         raise ValueError(f"a document frame must hold exactly one row, got {len(rows)}")
-    return json.dumps(rows[0].asDict(recursive=True), indent=2, ensure_ascii=False, default=_json_default) + "\n"
+    body = _order_counts(rows[0].asDict(recursive=True))
+    return json.dumps(body, indent=2, ensure_ascii=False, default=_json_default) + "\n"
 
 
 def write_document(doc: DataFrame, path: str) -> str:
