@@ -130,3 +130,25 @@ def scope_spine(spark, scopes: tuple[Scope, ...] = SCOPES) -> DataFrame:
     return spark.createDataFrame(
         rows, "scope_order int, scope_id string, scope_label string, resolved_only boolean, interpretation string"
     )
+
+
+# Documented sensitivity checks: the claims re-run on neighbouring windows
+# (2013 included; the 60-month book of the cohort years).
+SENSITIVITY_SCOPES = (
+    Scope(
+        "mature_36m_2013_2015",
+        "2013–2015 originations, 36-month term, resolved loans only",
+        "issue_date >= DATE '2013-01-01' AND issue_date < DATE '2016-01-01' "
+        "AND term_months = 36 AND is_resolved = TRUE AND default_flag IS NOT NULL",
+        True,
+        "Sensitivity: the primary window extended by one earlier vintage.",
+    ),
+    Scope(
+        "resolved_60m_2014_2015",
+        "2014–2015 originations, 60-month term, resolved loans only",
+        "issue_date >= DATE '2014-01-01' AND issue_date < DATE '2016-01-01' "
+        "AND term_months = 60 AND is_resolved = TRUE AND default_flag IS NOT NULL",
+        True,
+        "Sensitivity: the other term over the primary window; outcomes may be immature.",
+    ),
+)

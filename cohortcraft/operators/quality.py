@@ -217,3 +217,46 @@ def table_fingerprint(df: DataFrame, hash_col: str = "record_hash") -> DataFrame
 def schema_rows(df: DataFrame) -> list[tuple[str, str, bool]]:
     """(name, type, nullable) per column; a metadata read, no job runs."""
     return [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]
+
+
+def key_and_domain(df: DataFrame, key: str = "loan_id", flag: str = "default_flag",
+                   domain: tuple[int, ...] = (0, 1)) -> DataFrame:
+    """Uniqueness of the key and the flag's domain, as counts and a verdict.
+
+    ``duplicate_keys = rows - distinct keys`` (NULL keys count as rows);
+    ``out_of_domain`` counts flags outside ``domain`` including NULL.
+    """
+    counts = df.agg(
+        n_rows().alias("rows"),
+        F.count_distinct(key).alias("distinct_keys"),
+        n_where(~F.col(flag).isin(*domain) | F.col(flag).isNull()).alias("out_of_domain"),
+    )
+    return counts.select(
+        "rows", "distinct_keys",
+        (F.col("rows") - F.col("distinct_keys")).alias("duplicate_keys"),
+        "out_of_domain",
+        ((F.col("rows") == F.col("distinct_keys")) & (F.col("out_of_domain") == 0)).alias("passed"),
+    )
+
+
+def manifest_check(digests: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Files on disk against a manifest (file, size_bytes, sha256).
+
+    Full outer join on the file name (both sides are file lists): reports
+    missing files, unexpected files, size and digest mismatches.
+    """
+    on_disk = digests.select(
+        F.element_at(F.split("path", "/"), -1).alias("file"),
+        F.col("size_bytes").alias("disk_size"),
+        F.col("sha256").alias("disk_sha256"),
+    )
+    j = manifest.join(on_disk, "file", "full_outer")
+    return j.select(
+        "file",
+        F.when(F.col("disk_size").isNull(), "missing")
+        .when(F.col("size_bytes").isNull(), "unexpected")
+        .when(F.col("size_bytes") != F.col("disk_size"), "size_mismatch")
+        .when(F.col("sha256") != F.col("disk_sha256"), "digest_mismatch")
+        .otherwise("ok")
+        .alias("status"),
+    )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cohortcraft.functions.metrics import n_rows
 from cohortcraft.operators import claims, quality, rollup, stats
-from cohortcraft.operators.cohort import analysis_cohort, dashboard_extract
+from cohortcraft.operators.cohort import SENSITIVITY_SCOPES, SCOPES, analysis_cohort, dashboard_extract
 from cohortcraft.operators.document import governed_metrics
 from cohortcraft.operators.model import rounded_single_predictor, vintage_logit
 from cohortcraft.operators.typed import typed_contracts
@@ -130,6 +130,8 @@ QUERIES: dict[str, Query] = {
     "claim_status": _on_typed(_claim_status),
     "claim_verdict": _on_typed(_claim_verdict),
     "scope_reconcile": _scope_reconcile,
+    "sensitivity_scope_metrics": _on_typed(lambda t: claims.scope_metrics(t, SCOPES + SENSITIVITY_SCOPES)),
+    "cohort_assertions": _on_cohort(quality.key_and_domain),
 }
 
 # Queries whose result is order-sensitive output of a global sort.
