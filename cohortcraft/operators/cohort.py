@@ -24,10 +24,19 @@ class Scope:
     predicate: str
     resolved_only: bool
     interpretation: str
+    years: tuple[int, int] | None = None  # inclusive issue_year bounds implied by the predicate
 
     def column(self) -> Column:
         return F.expr(self.predicate)
 
+    def prune(self) -> Column | None:
+        """The year bounds as a predicate on the partition column (implied, so
+        results are unchanged; it lets a year-partitioned layer skip files)."""
+        if self.years is None:
+            return None
+        lo, hi = self.years
+        return (F.col("issue_year") >= lo) & (F.col("issue_year") <= hi)
+
 
 # The reference's four scopes (ids, labels, predicates, notes).
 PRIMARY_SCOPE = Scope(
@@ -37,6 +46,7 @@ PRIMARY_SCOPE = Scope(
     "AND term_months = 36 AND is_resolved = TRUE AND default_flag IS NOT NULL",
     True,
     "Official analytical cohort aligned with Gold. Default rates are final observed outcomes.",
+    (2014, 2015),
 )
 SCOPES = (
     PRIMARY_SCOPE,
@@ -47,6 +57,7 @@ SCOPES = (
         "AND term_months = 36 AND is_resolved = TRUE AND default_flag IS NOT NULL",
         True,
         "Broader mature 36-month window. Default rates are final observed outcomes.",
+        (2007, 2015),
     ),
     Scope(
         "mature_60m_2007_2013",
@@ -56,6 +67,7 @@ SCOPES = (
         True,
         "Mature 60-month window restricted to earlier originations so outcomes are largely known. "
         "Default rates are final observed outcomes.",
+        (2007, 2013),
     ),
     Scope(
         "full_snapshot_descriptive",
@@ -87,7 +99,11 @@ EXTRACT_COLUMNS = (
 
 
 def apply_scope(typed: DataFrame, scope: Scope = PRIMARY_SCOPE) -> DataFrame:
-    """Rows of one scope. Date and term bounds reach the Parquet scan."""
+    """Rows of one scope. Date and term bounds reach the Parquet scan, and the
+    implied year bounds prune a year-partitioned layer."""
+    prune = scope.prune()
+    if prune is not None and "issue_year" in typed.columns:
+        typed = typed.where(prune)
     return typed.where(scope.column())
 
 
@@ -142,6 +158,7 @@ SENSITIVITY_SCOPES = (
         "AND term_months = 36 AND is_resolved = TRUE AND default_flag IS NOT NULL",
         True,
         "Sensitivity: the primary window extended by one earlier vintage.",
+        (2013, 2015),
     ),
     Scope(
         "resolved_60m_2014_2015",
@@ -150,5 +167,6 @@ SENSITIVITY_SCOPES = (
         "AND term_months = 60 AND is_resolved = TRUE AND default_flag IS NOT NULL",
         True,
         "Sensitivity: the other term over the primary window; outcomes may be immature.",
+        (2014, 2015),
     ),
 )
