@@ -49,52 +49,61 @@ def exact_medians(
 ) -> DataFrame:
     """One row per group of ``keys`` with ``{prefix}{value}`` for each value column.
 
-    With no keys the result is a single row (global medians).
+    With no keys the result is a single row (global medians). Groups and
+    measures travel as one struct key ``_g`` (a struct is never NULL and
+    compares NULL fields as equal), so the joins below are plain equi-joins
+    and reuse the window's partitioning instead of re-shuffling.
     """
     spark = df.sparkSession
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    group = [*keys, _MEASURE]
+    g = F.col("_g")
     long = df.select(
-        *keys,
         F.explode(
-            F.array(*[F.struct(F.lit(v).alias(_MEASURE), F.col(v).cast("double").alias(_VALUE)) for v in values])
-        ).alias("_m"),
-    ).select(*keys, f"_m.{_MEASURE}", f"_m.{_VALUE}")
-    counts = long.where(F.col(_VALUE).isNotNull()).groupBy(*group, _VALUE).agg(F.count(F.lit(1)).alias("_cnt"))
-
-    ranged = counts.repartitionByRange(n_parts, *group, _VALUE).withColumn("_pid", F.spark_partition_id())
-    local = Window.partitionBy("_pid", *group).orderBy(_VALUE).rowsBetween(Window.unboundedPreceding, 0)
+            F.array(*[
+                F.struct(
+                    F.struct(*[F.col(k) for k in keys], F.lit(v).alias(_MEASURE)).alias("_g"),
+                    F.col(v).cast("double").alias(_VALUE),
+                )
+                for v in values
+            ])
+        ).alias("_m")
+    ).select("_m._g", f"_m.{_VALUE}")
+    counts = long.where(F.col(_VALUE).isNotNull()).groupBy("_g", _VALUE).agg(F.count(F.lit(1)).alias("_cnt"))
+
+    ranged = counts.repartitionByRange(n_parts, "_g", _VALUE).withColumn("_pid", F.spark_partition_id())
+    local = Window.partitionBy("_pid", "_g").orderBy(_VALUE).rowsBetween(Window.unboundedPreceding, 0)
     ranged = ranged.withColumn("_cum", F.sum("_cnt").over(local))
 
-    totals = ranged.groupBy("_pid", *group).agg(F.sum("_cnt").alias("_ptot"))
-    before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumns(
-        {
-            "_off": F.coalesce(F.sum("_ptot").over(before), F.lit(0)),
-            "_n": F.sum("_ptot").over(Window.partitionBy(*group)),
-        }
+    # Already partitioned by (_pid, _g): this aggregate adds no exchange.
+    totals = ranged.groupBy("_pid", "_g").agg(F.max("_cum").alias("_ptot"))
+    before = Window.partitionBy("_g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(
+        "_pid", "_g",
+        F.coalesce(F.sum("_ptot").over(before), F.lit(0)).alias("_off"),
+        F.sum("_ptot").over(Window.partitionBy("_g")).alias("_n"),
     )
 
-    placed = _null_safe_join(ranged, totals, ["_pid", *group])
+    placed = ranged.join(totals, ["_pid", "_g"], "inner")
     end = F.col("_off") + F.col("_cum")
     start = end - F.col("_cnt") + 1
     lo_rank = F.floor((F.col("_n") - 1) / 2) + 1
     hi_rank = F.floor(F.col("_n") / 2) + 1
     holds_lo = (lo_rank >= start) & (lo_rank <= end)
     holds_hi = (hi_rank >= start) & (hi_rank <= end)
-    picked = (
-        placed.where(holds_lo | holds_hi)
-        .groupBy(*group)
-        .agg(
-            F.max(F.when(holds_lo, F.col(_VALUE))).alias("_lo"),
-            F.max(F.when(holds_hi, F.col(_VALUE))).alias("_hi"),
-        )
-        .withColumn("_median", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * 0.5)
+    picked = placed.where(holds_lo | holds_hi).select(
+        *[g[k].alias(k) for k in keys], g[_MEASURE].alias(_MEASURE),
+        F.when(holds_lo, F.col(_VALUE)).alias("_lo"), F.when(holds_hi, F.col(_VALUE)).alias("_hi"),
     )
-    wide = picked.groupBy(*keys).agg(
-        *[F.max(F.when(F.col(_MEASURE) == v, F.col("_median"))).alias(f"{prefix}{v}") for v in values]
+    # At most two rows per (group, measure) remain; one grouped pass pivots them.
+    aggs = []
+    for v in values:
+        is_v = F.col(_MEASURE) == v
+        aggs += [F.max(F.when(is_v, F.col("_lo"))).alias(f"_lo_{v}"), F.max(F.when(is_v, F.col("_hi"))).alias(f"_hi_{v}")]
+    wide = picked.groupBy(*keys).agg(*aggs)
+    return wide.select(
+        *keys,
+        *[(F.col(f"_lo_{v}") + (F.col(f"_hi_{v}") - F.col(f"_lo_{v}")) * 0.5).alias(f"{prefix}{v}") for v in values],
     )
-    return wide
 
 
 def with_medians(
