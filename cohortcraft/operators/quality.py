@@ -260,3 +260,30 @@ def manifest_check(digests: DataFrame, manifest: DataFrame) -> DataFrame:
         .otherwise("ok")
         .alias("status"),
     )
+
+
+def compare_metrics(actual: DataFrame, expected: DataFrame, tolerances: dict[str, float],
+                    default_tolerance: float = 0.0) -> DataFrame:
+    """Align two one-row metric frames by metric name and apply tolerances.
+
+    Long form (metric, actual, expected, tolerance, passed); a metric present
+    on one side only fails. Both inputs are one row, so the unpivoted sides
+    hold one row per metric.
+    """
+    def long(df: DataFrame, name: str) -> DataFrame:
+        cols = [c for c, t in df.dtypes if t in ("double", "float", "int", "bigint", "smallint", "decimal")
+                or t.startswith("decimal")]
+        return df.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias(name)) for c in cols
+        ])).alias("m")).select("m.*")
+
+    tol = F.coalesce(
+        F.element_at(F.create_map(*[x for k, v in tolerances.items() for x in (F.lit(k), F.lit(float(v)))]),
+                     F.col("metric")) if tolerances else F.lit(None).cast("double"),
+        F.lit(float(default_tolerance)),
+    )
+    j = long(actual, "actual").join(long(expected, "expected"), "metric", "full_outer")
+    return j.select(
+        "metric", "actual", "expected", tol.alias("tolerance"),
+        F.coalesce(F.abs(F.col("actual") - F.col("expected")) <= tol, F.lit(False)).alias("passed"),
+    )

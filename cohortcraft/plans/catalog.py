@@ -14,7 +14,6 @@ from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cohortcraft.functions.metrics import n_rows
 from cohortcraft.operators import claims, quality, rollup, stats
@@ -182,4 +181,4 @@ QUERIES: dict[str, Query] = {
 # Queries whose result is order-sensitive output of a global sort.
 ORDERED = {"dashboard_extract"}
 
-__all__ = ["QUERIES", "ORDERED", "typed_layer", "cohort_layer", "raw_layer", "F"]
+__all__ = ["QUERIES", "ORDERED", "typed_layer", "cohort_layer", "raw_layer"]

@@ -26,7 +26,7 @@ from cohortcraft.operators.document import governed_document, governed_metrics
 from cohortcraft.operators.model import vintage_logit
 from cohortcraft.operators.typed import typed_contracts
 from cohortcraft.sources.columnar import read_columnar
-from cohortcraft.sources.sinks import file_digests, write_columnar, write_document, write_extract
+from cohortcraft.sources.sinks import file_digests, with_generated_at, write_columnar, write_document, write_extract
 
 
 def raw_profile_job(raw: DataFrame, out_root: str) -> DataFrame:
@@ -43,7 +43,7 @@ def raw_profile_job(raw: DataFrame, out_root: str) -> DataFrame:
         F.map_from_entries(entries).alias("loan_status_distribution"),
         F.array(*[F.lit(c) for c in raw.columns]).alias("columns"),
     )
-    write_document(doc, f"{out_root}/raw/profile.json")
+    write_document(with_generated_at(doc), f"{out_root}/raw/profile.json")
     return doc
 
 
@@ -51,7 +51,7 @@ def typed_job(raw: DataFrame, out_root: str) -> str:
     path = f"{out_root}/typed/contracts"
     write_columnar(typed_contracts(raw), path, partition_by=["issue_year"])
     typed = read_columnar(raw.sparkSession, path)
-    write_document(quality.typed_profile(typed), f"{out_root}/typed/quality.json")
+    write_document(with_generated_at(quality.typed_profile(typed)), f"{out_root}/typed/quality.json")
     return path
 
 
@@ -66,9 +66,13 @@ def cohort_job(spark: SparkSession, typed_path: str, out_root: str) -> str:
     write_extract(rollup.purpose_rollup(cohort), f"{gold}/risk_by_purpose", single_file=True)
     flat = governed_metrics(cohort)
     write_columnar(flat.coalesce(1), f"{gold}/governed_metrics")
-    write_document(governed_document(flat), f"{gold}/governed_metrics.json")
+    write_document(with_generated_at(governed_document(flat)), f"{gold}/governed_metrics.json")
+    # the stored metrics must equal a recomputation from the written cohort
+    stored = read_columnar(spark, f"{gold}/governed_metrics")
+    check = quality.compare_metrics(stored, governed_metrics(cohort), {}, default_tolerance=1e-4)
+    write_extract(check, f"{gold}/governed_metrics_check", single_file=True)
     manifest = quality.cohort_profile(cohort)
-    write_document(manifest, f"{gold}/manifest.json")
+    write_document(with_generated_at(manifest), f"{gold}/manifest.json")
     write_extract(file_digests(spark, f"{gold}/*/part-*"), f"{gold}/file_digests", single_file=True)
     return gold
 

@@ -77,6 +77,12 @@ def document_text(doc: DataFrame) -> str:
     return json.dumps(body, indent=2, ensure_ascii=False, default=_json_default) + "\n"
 
 
+def with_generated_at(doc: DataFrame) -> DataFrame:
+    """Prepend ``generated_at_utc`` (ISO-8601, UTC) to a document row."""
+    stamp = F.date_format(F.to_utc_timestamp(F.current_timestamp(), "UTC"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    return doc.select(stamp.alias("generated_at_utc"), *doc.columns)
+
+
 def write_document(doc: DataFrame, path: str) -> str:
     """Write a one-row document as pretty JSON (driver-side; the row is tiny)."""
     p = Path(path)

@@ -46,3 +46,10 @@ def test_distribution_map_and_schema_rows(spark):
     m = Q.distribution_map(Q.status_distribution(typed), "status_group").first().distribution
     assert sum(m.values()) == typed.count()
     assert ("term_months", "smallint", True) in Q.schema_rows(typed)
+
+
+def test_compare_metrics_tolerances(spark):
+    a = spark.createDataFrame([(100, 14.4631, 13189.82, 1.0)], "n long, rate double, amount double, only_a double")
+    b = spark.createDataFrame([(100, 14.4632, 13189.90, 2.0)], "n long, rate double, amount double, only_b double")
+    got = {r.metric: r.passed for r in Q.compare_metrics(a, b, {"rate": 1e-4 + 1e-12, "amount": 0.05}).collect()}
+    assert got == {"n": True, "rate": True, "amount": False, "only_a": False, "only_b": False}

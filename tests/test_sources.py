@@ -71,10 +71,13 @@ def test_layered_jobs_end_to_end(spark, tmp_path):
     paths = jobs.run_all(spark, contract_raw(spark, "/root/testdata/sf0.001"), out)
     typed = spark.read.parquet(paths["typed"])
     cohort = spark.read.parquet(paths["cohort"] + "/analysis_cohort")
-    quarterly = spark.read.option("header", True).option("inferSchema", True).csv(paths["cohort"] + "/quarterly_risk_metrics")
+    quarterly = text.read_typed_text(spark, paths["cohort"] + "/quarterly_risk_metrics")
     assert quarterly.agg(F.sum("total_loans")).first()[0] == cohort.count()
     doc = json.loads(open(paths["cohort"] + "/governed_metrics.json").read())
     assert doc["overall_portfolio"]["total_loans"] == cohort.count()
+    assert doc["generated_at_utc"].endswith("+00:00")
+    check = spark.read.option("header", True).csv(paths["cohort"] + "/governed_metrics_check")
+    assert check.count() == 17 and check.where("passed = 'false'").count() == 0
     prof = json.loads(open(out + "/raw/profile.json").read())
     assert sum(prof["loan_status_distribution"].values()) == prof["row_count"]
     counts = list(prof["loan_status_distribution"].values())
