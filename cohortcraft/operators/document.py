@@ -76,7 +76,7 @@ def governed_metrics(cohort: DataFrame, segment: str = SEGMENT_PURPOSE) -> DataF
         round_to(c("o_amount"), 2).alias("overall_average_loan_amount_usd"),
         round_to(c("o_int"), 4).alias("overall_average_interest_rate_pct"),
         c("s_n").alias("segment_total_loans"),
-        round_to(100.0 * c("s_n") / c("o_n"), 4).alias("segment_portfolio_share_pct"),
+        round_to(F.try_divide(100.0 * c("s_n"), c("o_n")), 4).alias("segment_portfolio_share_pct"),
         c("s_d").alias("segment_defaulted_loans"),
         round_to(100.0 * c("s_rate"), 4).alias("segment_default_rate_pct"),
         round_to(c("s_amount"), 2).alias("segment_average_loan_amount_usd"),

@@ -50,10 +50,11 @@ def period_counts(cohort: DataFrame) -> DataFrame:
 def two_proportion(success_a: Column, n_a: Column, success_b: Column, n_b: Column) -> dict[str, Column]:
     """Pooled two-sample z-test for proportions (A is the later period)."""
     sa, na, sb, nb = (c.cast("double") for c in (success_a, n_a, success_b, n_b))
-    pa, pb = sa / na, sb / nb
-    pooled = (sa + sb) / (na + nb)
-    se = F.sqrt(pooled * (1.0 - pooled) * (1.0 / na + 1.0 / nb))
-    return {"rate_a": pa, "rate_b": pb, "delta_pp": 100.0 * (pa - pb), "z_stat": (pa - pb) / se}
+    pa, pb = F.try_divide(sa, na), F.try_divide(sb, nb)
+    pooled = F.try_divide(sa + sb, na + nb)
+    se = F.sqrt(pooled * (1.0 - pooled) * (F.try_divide(F.lit(1.0), na) + F.try_divide(F.lit(1.0), nb)))
+    # empty groups or a degenerate pooled rate give NULL, not a division error
+    return {"rate_a": pa, "rate_b": pb, "delta_pp": 100.0 * (pa - pb), "z_stat": F.try_divide(pa - pb, se)}
 
 
 # The four hypotheses (id, description, alternative).
@@ -134,12 +135,12 @@ def mix_rate_decomposition(cohort: DataFrame, digits: int = 6) -> DataFrame:
     col = F.col
 
     def ratio(a, b):
-        return col(a).cast("double") / col(b).cast("double")
+        return F.try_divide(col(a).cast("double"), col(b).cast("double"))
 
     s0, s1 = ratio("de_early", "n_early"), ratio("de_late", "n_late")
     pd0, pd1 = ratio("de_d_early", "de_early"), ratio("de_d_late", "de_late")
-    po0 = (col("d_early") - col("de_d_early")).cast("double") / (col("n_early") - col("de_early")).cast("double")
-    po1 = (col("d_late") - col("de_d_late")).cast("double") / (col("n_late") - col("de_late")).cast("double")
+    po0 = F.try_divide((col("d_early") - col("de_d_early")).cast("double"), (col("n_early") - col("de_early")).cast("double"))
+    po1 = F.try_divide((col("d_late") - col("de_d_late")).cast("double"), (col("n_late") - col("de_late")).cast("double"))
     r0, r1 = ratio("d_early", "n_early"), ratio("d_late", "n_late")
     composition = (s1 - s0) * (pd0 - po0)
     rate_de = s1 * (pd1 - pd0)
@@ -182,7 +183,8 @@ def grade_period_comparison(cohort: DataFrame, digits: int = 4) -> DataFrame:
     everything = Window.partitionBy()
     shares = by_grade.select(
         "grade",
-        *[(100.0 * col(f"n_{per}") / F.sum(f"n_{per}").over(everything)).alias(f"share_{per}_pct") for per in (EARLY, LATE)],
+        *[F.try_divide(100.0 * col(f"n_{per}"), F.sum(f"n_{per}").over(everything)).alias(f"share_{per}_pct")
+          for per in (EARLY, LATE)],
         *[(100.0 * col(f"default_{per}")).alias(f"default_{per}_pct") for per in (EARLY, LATE)],
         *[col(f"rate_{per}").alias(f"rate_{per}_pct") for per in (EARLY, LATE)],
         *[col(f"dti_{per}").alias(f"dti_{per}") for per in (EARLY, LATE)],
@@ -233,31 +235,37 @@ def band_shift(cohort: DataFrame, band_col: str = "dti_band", drop_label: str =
     per_period = Window.partitionBy("period")
     return g.select(
         "period", band_col, "loans",
-        round_to(100.0 * F.col("loans") / F.sum("loans").over(per_period), digits).alias("portfolio_share_pct"),
+        round_to(F.try_divide(100.0 * F.col("loans"), F.sum("loans").over(per_period)), digits).alias("portfolio_share_pct"),
         round_to(100.0 * F.col("_rate"), digits).alias("default_rate_pct"),
     ).where(F.col(band_col) != drop_label)
 
 
 def quarter_trend(cohort: DataFrame, digits: int = 4) -> DataFrame:
-    """Quarterly rate, D/E share and the rate within each grade group (pivot)."""
-    base = cohort.where(F.col("issue_quarter").isNotNull())
-    totals = base.groupBy("issue_quarter").agg(
-        n_rows().alias("total_loans"),
-        F.avg("default_flag").alias("_rate"),
-        F.avg(F.col("is_grade_de").cast("double")).alias("_share"),
+    """Quarterly rate, D/E share and the rate within each grade group.
+
+    One scan: a pivot on ``is_grade_de`` gathers, per quarter and side, the
+    contracts, the defaults and the known outcomes; every rate is then
+    integer counts divided once, so the totals need no second pass or join.
+    """
+    base = cohort.where(F.col("issue_quarter").isNotNull()).withColumn(
+        "_de", F.coalesce(F.col("is_grade_de"), F.lit(False))
     )
-    pivoted = (
-        base.where(F.col("is_grade_de").isNotNull())
-        .groupBy("issue_quarter")
-        .pivot("is_grade_de", [False, True])
-        .agg(F.avg("default_flag"))
-        .withColumnsRenamed({"false": "_other", "true": "_de"})
+    p = (
+        base.groupBy("issue_quarter")
+        .pivot("_de", [False, True])
+        .agg(n_rows().alias("n"), F.sum("default_flag").alias("d"), F.count("default_flag").alias("k"))
     )
-    j = totals.join(pivoted, "issue_quarter", "inner")
-    return j.select(
-        "issue_quarter", "total_loans",
-        round_to(100.0 * F.col("_rate"), digits).alias("default_rate_pct"),
-        round_to(100.0 * F.col("_share"), digits).alias("grade_de_share_pct"),
-        round_to(100.0 * F.col("_de"), digits).alias("de_default_rate_pct"),
-        round_to(100.0 * F.col("_other"), digits).alias("other_default_rate_pct"),
+    col = F.col
+
+    def z(c: str) -> Column:
+        return F.coalesce(col(c), F.lit(0)).cast("double")
+
+    total = z("false_n") + z("true_n")
+    return p.select(
+        "issue_quarter",
+        (z("false_n") + z("true_n")).cast("long").alias("total_loans"),
+        round_to(100.0 * F.try_divide(z("false_d") + z("true_d"), z("false_k") + z("true_k")), digits).alias("default_rate_pct"),
+        round_to(100.0 * F.try_divide(z("true_n"), total), digits).alias("grade_de_share_pct"),
+        round_to(100.0 * F.try_divide(col("true_d").cast("double"), col("true_k").cast("double")), digits).alias("de_default_rate_pct"),
+        round_to(100.0 * F.try_divide(col("false_d").cast("double"), col("false_k").cast("double")), digits).alias("other_default_rate_pct"),
     ).orderBy("issue_quarter")

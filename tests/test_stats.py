@@ -84,3 +84,16 @@ def test_p_value_tails():
     assert stats.p_value(0.0, "two-sided") == pytest.approx(1.0)
     assert stats.p_value(1.959963984540054, "two-sided") == pytest.approx(0.05, rel=1e-9)
     assert stats.p_value(12.0, "larger") > 0.0  # no 1 - cdf underflow
+
+
+def test_empty_period_gives_nulls_not_errors(spark):
+    only_2014 = spark.createDataFrame(
+        [(2014, True, 1, "D", "2014-Q1", 10.0, 5.0), (2014, False, 0, "B", "2014-Q1", 10.0, 5.0)],
+        "issue_year int, is_grade_de boolean, default_flag int, grade string, issue_quarter string, "
+        "interest_rate_pct double, debt_to_income_ratio double",
+    )
+    h = {r.hypothesis: r for r in stats.hypothesis_battery(only_2014).collect()}
+    assert h["H1"].n_a == 0 and h["H1"].rate_a is None and h["H1"].z_stat is None
+    pp = {r.component: r.pp for r in stats.mix_rate_decomposition(only_2014).collect()}
+    assert pp["total_change"] is None
+    assert stats.quarter_trend(only_2014).first().de_default_rate_pct == 100.0
