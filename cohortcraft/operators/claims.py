@@ -73,7 +73,8 @@ def status(ok: Column) -> Column:
 
 
 def direction(gap: Column) -> Column:
-    return F.when(gap < 0, "below").when(gap > 0, "above").otherwise("equal")
+    """below / above / equal; NULL when the gap is unknown."""
+    return F.when(gap < 0, "below").when(gap > 0, "above").when(gap == 0, "equal")
 
 
 def scope_aggregates(typed: DataFrame, scopes: tuple[Scope, ...] = SCOPES, segment: str = SEGMENT_PURPOSE) -> DataFrame:
@@ -92,6 +93,7 @@ def scope_aggregates(typed: DataFrame, scopes: tuple[Scope, ...] = SCOPES, segme
         n_where(flag.isNotNull()).alias("known_outcome_loans"),
         F.avg(flag).alias("overall_default_rate"),
         n_where(seg).alias("segment_loans"),
+        n_where(seg & flag.isNotNull()).alias("segment_known_outcome_loans"),
         seg_avg(flag).alias("segment_default_rate"),
         seg_avg(F.col("loan_amount")).alias("avg_amount"),
         seg_avg(F.col("annual_income")).alias("avg_income"),
@@ -103,9 +105,9 @@ def scope_aggregates(typed: DataFrame, scopes: tuple[Scope, ...] = SCOPES, segme
 def scope_metrics(typed: DataFrame, scopes: tuple[Scope, ...] = SCOPES, segment: str = SEGMENT_PURPOSE) -> DataFrame:
     """One row per scope: identity, counts, rounded metrics, claims and statuses.
 
-    ``scope_status`` is ``ok``, ``empty_scope``, ``empty_segment`` or
-    ``no_known_outcome``; metrics of a non-ok scope are NULL and its claims
-    FAIL. Use :func:`assert_scopes_ok` to turn a bad status into an error.
+    ``scope_status`` is ``ok``, ``empty_scope``, ``empty_segment``,
+    ``no_known_outcome`` or ``no_known_segment_outcome``; metrics of a non-ok
+    scope are NULL and its claims FAIL. Use :func:`assert_scopes_ok` to turn a bad status into an error.
     """
     spark = typed.sparkSession
     agg = scope_aggregates(typed, scopes, segment)
@@ -114,8 +116,10 @@ def scope_metrics(typed: DataFrame, scopes: tuple[Scope, ...] = SCOPES, segment:
     total = F.coalesce(col("total_loans"), F.lit(0))
     seg_n = F.coalesce(col("segment_loans"), F.lit(0))
     known = F.coalesce(col("known_outcome_loans"), F.lit(0))
+    seg_known = F.coalesce(col("segment_known_outcome_loans"), F.lit(0))
     scope_status = (
         F.when(total == 0, "empty_scope").when(seg_n == 0, "empty_segment").when(known == 0, "no_known_outcome")
+        .when(seg_known == 0, "no_known_segment_outcome")
         .otherwise("ok")
     )
     ok = scope_status == "ok"

@@ -77,3 +77,16 @@ def test_claim_status_verdict_and_reconcile(typed):
         assert r.verdict == expected
     checks = CL.scope_reconcile(metrics).where(~F.col("passed")).collect()
     assert checks == []
+
+
+def test_segment_without_known_outcomes_is_not_ok(spark):
+    rows = [("1", dt.date(2012, 1, 1), 36, "Fully Paid", "car", "A", 1.0, 1.0, 10.0),
+            ("2", dt.date(2012, 1, 1), 36, "Current", "debt_consolidation", "B", 1.0, 1.0, 10.0)]
+    df = spark.createDataFrame(
+        rows, "loan_id string, issue_date date, term_months int, loan_status string, purpose string, grade string, "
+        "loan_amount double, annual_income double, interest_rate_pct double")
+    from cohortcraft.functions.classify import TAXONOMY
+    df = df.withColumns(TAXONOMY.columns(F.col("loan_status")))
+    full = {r.scope_id: r for r in CL.scope_metrics(df).collect()}["full_snapshot_descriptive"]
+    assert full.scope_status == "no_known_segment_outcome"
+    assert full.actual_segment_vs_overall_direction is None and full.claim_direction_status == "FAIL"
