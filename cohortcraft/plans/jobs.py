@@ -47,11 +47,25 @@ def raw_profile_job(raw: DataFrame, out_root: str) -> DataFrame:
     return doc
 
 
+def _one_row_join(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Combine two one-row frames side by side (a constant-key join of single rows)."""
+    return left.withColumn("_one", F.lit(1)).join(right.withColumn("_one", F.lit(1)), "_one").drop("_one")
+
+
 def typed_job(raw: DataFrame, out_root: str) -> str:
     path = f"{out_root}/typed/contracts"
     write_columnar(typed_contracts(raw), path, partition_by=["issue_year"])
     typed = read_columnar(raw.sparkSession, path)
-    write_document(with_generated_at(quality.typed_profile(typed)), f"{out_root}/typed/quality.json")
+    profile = quality.typed_profile(typed)
+    groups = quality.distribution_map(quality.status_distribution(typed), "status_group").withColumnRenamed(
+        "distribution", "status_groups"
+    )
+    schema = F.array(*[
+        F.struct(F.lit(n).alias("name"), F.lit(t).alias("type"), F.lit(nl).alias("nullable"))
+        for n, t, nl in quality.schema_rows(typed)
+    ])
+    doc = _one_row_join(profile, groups).withColumn("columns", schema)
+    write_document(with_generated_at(doc), f"{out_root}/typed/quality.json")
     return path
 
 
@@ -71,7 +85,13 @@ def cohort_job(spark: SparkSession, typed_path: str, out_root: str) -> str:
     stored = read_columnar(spark, f"{gold}/governed_metrics")
     check = quality.compare_metrics(stored, governed_metrics(cohort), {}, default_tolerance=1e-4)
     write_extract(check, f"{gold}/governed_metrics_check", single_file=True)
-    manifest = quality.cohort_profile(cohort)
+    definition = F.struct(
+        F.lit("2014-01-01").alias("issue_date_start"),
+        F.lit("2016-01-01").alias("issue_date_end_exclusive"),
+        F.lit(36).alias("term_months"),
+        F.lit(True).alias("resolved_only"),
+    )
+    manifest = quality.cohort_profile(cohort).withColumn("cohort_definition", definition)
     write_document(with_generated_at(manifest), f"{gold}/manifest.json")
     write_extract(file_digests(spark, f"{gold}/*/part-*"), f"{gold}/file_digests", single_file=True)
     return gold

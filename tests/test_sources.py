@@ -78,6 +78,11 @@ def test_layered_jobs_end_to_end(spark, tmp_path):
     assert doc["generated_at_utc"].endswith("+00:00")
     check = spark.read.option("header", True).csv(paths["cohort"] + "/governed_metrics_check")
     assert check.count() == 17 and check.where("passed = 'false'").count() == 0
+    q = json.loads(open(out + "/typed/quality.json").read())
+    assert sum(q["status_groups"].values()) == q["row_count"] == typed.count()
+    assert {"name": "term_months", "type": "smallint", "nullable": True} in q["columns"]
+    man = json.loads(open(paths["cohort"] + "/manifest.json").read())
+    assert man["cohort_definition"]["term_months"] == 36 and man["row_count"] == cohort.count()
     prof = json.loads(open(out + "/raw/profile.json").read())
     assert sum(prof["loan_status_distribution"].values()) == prof["row_count"]
     counts = list(prof["loan_status_distribution"].values())
