@@ -106,18 +106,29 @@ def exact_medians(
     )
 
 
+def approx_medians(df: DataFrame, keys: list[str], values: list[str], accuracy: int = 10000,
+                   prefix: str = "median_") -> DataFrame:
+    """Sketch-based medians (``percentile_approx``): bounded, mergeable state per
+    group, one aggregation pass; rank error at most n / accuracy."""
+    aggs = [F.percentile_approx(F.col(v).cast("double"), 0.5, accuracy).alias(f"{prefix}{v}") for v in values]
+    return df.groupBy(*keys).agg(*aggs)
+
+
 def with_medians(
     agg: DataFrame,
     source: DataFrame,
     keys: list[str],
     values: list[str],
     prefix: str = "median_",
+    exact: bool = True,
 ) -> DataFrame:
-    """Attach exact medians of ``values`` (per ``keys``) to an aggregate table.
+    """Attach medians of ``values`` (per ``keys``) to an aggregate table.
 
-    Groups with no non-NULL value get NULL medians (left join).
+    ``exact=True`` (default) interpolates exactly with the distributed rank
+    operator; ``exact=False`` uses the sketch. Groups with no non-NULL value
+    get NULL medians (left join).
     """
-    medians = exact_medians(source, keys, values, prefix=prefix)
+    medians = (exact_medians if exact else approx_medians)(source, keys, values, prefix=prefix)
     if not keys:
         return _attach_global(agg, medians)
     return join_on_keys(agg, medians, keys, "left")

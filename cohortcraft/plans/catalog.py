@@ -10,6 +10,7 @@ summary row per model).
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -50,17 +51,37 @@ def _input_key(spark: SparkSession, sf_dir: str) -> str:
     return hashlib.sha1(f"{LAYER_VERSION}|{sf_dir}|{text}".encode()).hexdigest()[:16]
 
 
-def _committed(spark: SparkSession, path: str) -> bool:
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def _committed(spark: SparkSession, path: str) -> bool:
+    fs, hpath = _fs(spark, path + "/_SUCCESS")
+    return fs.exists(hpath)
 
 
 def _materialized(spark: SparkSession, df_fn: Callable[[], DataFrame], path: str,
                   partition_by: list[str] | None = None) -> DataFrame:
-    if not _committed(spark, path):
-        write_columnar(df_fn(), path, partition_by=partition_by)
-    return spark.read.parquet(path)
+    """Read the committed table at ``path``, building it first if needed.
+
+    Builders write to a private folder and rename it into place, so
+    concurrent builders never read each other's partial output; the first
+    rename wins and a loser keeps reading its own complete copy.
+    """
+    if _committed(spark, path):
+        return spark.read.parquet(path)
+    private = f"{path}.build-{uuid.uuid4().hex[:12]}"
+    write_columnar(df_fn(), private, partition_by=partition_by)
+    fs, target = _fs(spark, path)
+    _, source = _fs(spark, private)
+    try:
+        if not fs.exists(target):
+            fs.rename(source, target)
+    except Exception:  # another builder won the race
+        pass
+    return spark.read.parquet(path if _committed(spark, path) else private)
 
 
 @lru_cache(maxsize=16)
