@@ -181,22 +181,29 @@ def distribution_reconcile(raw: DataFrame, typed: DataFrame) -> DataFrame:
 def layer_reconcile(raw: DataFrame, typed: DataFrame) -> DataFrame:
     """Rows per layer and rejects per reason, with the balance (must be 0).
 
-    Long form (measure, rows): raw, typed, each reject reason, and
-    ``unexplained = raw - typed - rejects``; the two layers are counted by
-    separate scans and combined as rows, not by a join.
+    Long form (measure, rows): raw, typed, each reject reason that occurs,
+    and ``unexplained = raw - typed - rejects``. One conditional aggregate
+    per layer; the two one-row results are combined on a constant key.
     """
-    fates = reject_reason(raw).groupBy("reason").agg(n_rows().alias("rows"))
-    raw_rows = fates.agg(F.sum("rows").cast("long").alias("rows")).select(F.lit("raw").alias("measure"), "rows")
-    rejects = fates.where(F.col("reason") != "accepted").select(
-        F.concat(F.lit("rejected_"), F.col("reason")).alias("measure"), F.col("rows").cast("long").alias("rows")
+    reason = reject_reason(raw).select("reason")
+    r = reason.agg(
+        n_rows().alias("raw"),
+        n_where(F.col("reason") == "bad_date").alias("rejected_bad_date"),
+        n_where(F.col("reason") == "blank_status").alias("rejected_blank_status"),
     )
-    typed_rows = typed.agg(n_rows().alias("rows")).select(F.lit("typed").alias("measure"), "rows")
-    stacked = raw_rows.unionByName(typed_rows).unionByName(rejects)
-    sign = F.when(F.col("measure") == "raw", 1).otherwise(-1)
-    balance = stacked.agg(F.sum(sign * F.col("rows")).cast("long").alias("rows")).select(
-        F.lit("unexplained").alias("measure"), "rows"
+    t = typed.agg(n_rows().alias("typed"))
+    both = r.withColumn("_one", F.lit(1)).join(t.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    unexplained = F.col("raw") - F.col("typed") - F.col("rejected_bad_date") - F.col("rejected_blank_status")
+    rows = F.array(
+        F.struct(F.lit("raw").alias("measure"), F.col("raw").alias("rows")),
+        F.struct(F.lit("typed").alias("measure"), F.col("typed").alias("rows")),
+        F.struct(F.lit("rejected_bad_date").alias("measure"), F.col("rejected_bad_date").alias("rows")),
+        F.struct(F.lit("rejected_blank_status").alias("measure"), F.col("rejected_blank_status").alias("rows")),
+        F.struct(F.lit("unexplained").alias("measure"), unexplained.alias("rows")),
     )
-    return stacked.unionByName(balance)
+    out = both.select(F.explode(rows).alias("x")).select("x.measure", F.col("x.rows").cast("long").alias("rows"))
+    # a reason with no rejected rows is not reported (as a grouped count would not)
+    return out.where(~F.col("measure").startswith("rejected_") | (F.col("rows") > 0))
 
 
 def maturity(typed: DataFrame) -> DataFrame:

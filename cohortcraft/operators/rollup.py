@@ -26,7 +26,15 @@ def _med(name: str, alias: str) -> Column:
     return round_to(F.col(f"median_{name}"), 2).alias(alias)
 
 
-def quarterly_rollup(cohort: DataFrame) -> DataFrame:
+def _maybe_medians(agg: DataFrame, cohort: DataFrame, keys: list[str], values: list[str], medians: bool) -> DataFrame:
+    """Attach exact medians, or NULL median columns when only counts are needed
+    (reconciliation), which skips the median stages entirely."""
+    if medians:
+        return with_medians(agg, cohort, keys, values)
+    return agg.withColumns({f"median_{v}": F.lit(None).cast("double") for v in values})
+
+
+def quarterly_rollup(cohort: DataFrame, medians: bool = True) -> DataFrame:
     """13 columns per origination quarter."""
     de = F.col("is_grade_de")
     flag = F.col("default_flag")
@@ -43,7 +51,7 @@ def quarterly_rollup(cohort: DataFrame) -> DataFrame:
         rounded(mean("annual_income")).alias("average_annual_income_usd"),
         rounded(mean("fico_score_avg")).alias("average_fico_score"),
     )
-    out = with_medians(agg, cohort, ["issue_quarter"], ["loan_amount"])
+    out = _maybe_medians(agg, cohort, ["issue_quarter"], ["loan_amount"], medians)
     return out.select(
         "issue_quarter", "total_loans", "defaulted_loans", "default_rate_pct", "grade_de_loans",
         "grade_de_share_pct", "grade_de_default_rate_pct", "other_grades_default_rate_pct",
@@ -52,7 +60,7 @@ def quarterly_rollup(cohort: DataFrame) -> DataFrame:
     ).orderBy(F.asc_nulls_last("issue_quarter"))
 
 
-def grade_rollup(cohort: DataFrame, key: str = "grade") -> DataFrame:
+def grade_rollup(cohort: DataFrame, key: str = "grade", medians: bool = True) -> DataFrame:
     """11 columns per grade, with the share of all contracts."""
     flag = F.col("default_flag")
     agg = cohort.groupBy(key).agg(
@@ -65,7 +73,7 @@ def grade_rollup(cohort: DataFrame, key: str = "grade") -> DataFrame:
         rounded(mean("debt_to_income_ratio")).alias("average_dti"),
         rounded(mean("fico_score_avg")).alias("average_fico_score"),
     )
-    out = with_medians(agg, cohort, [key], ["loan_amount"])
+    out = _maybe_medians(agg, cohort, [key], ["loan_amount"], medians)
     return out.select(
         key, "total_loans", share_of_total().alias("portfolio_share_pct"), "defaulted_loans",
         "default_rate_pct", "average_loan_amount_usd", _med("loan_amount", "median_loan_amount_usd"),
@@ -73,7 +81,7 @@ def grade_rollup(cohort: DataFrame, key: str = "grade") -> DataFrame:
     ).orderBy(F.asc_nulls_last(key))
 
 
-def purpose_rollup(cohort: DataFrame) -> DataFrame:
+def purpose_rollup(cohort: DataFrame, medians: bool = True) -> DataFrame:
     """13 columns per purpose, largest first (ties broken by the key)."""
     flag = F.col("default_flag")
     agg = cohort.groupBy("purpose").agg(
@@ -87,7 +95,7 @@ def purpose_rollup(cohort: DataFrame) -> DataFrame:
         rounded(mean("debt_to_income_ratio")).alias("average_dti"),
         rounded(mean("fico_score_avg")).alias("average_fico_score"),
     )
-    out = with_medians(agg, cohort, ["purpose"], ["loan_amount", "annual_income"])
+    out = _maybe_medians(agg, cohort, ["purpose"], ["loan_amount", "annual_income"], medians)
     return out.select(
         "purpose", "total_loans", share_of_total().alias("portfolio_share_pct"), "defaulted_loans",
         "default_rate_pct", "average_loan_amount_usd", _med("loan_amount", "median_loan_amount_usd"),

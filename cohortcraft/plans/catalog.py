@@ -130,9 +130,10 @@ def _rollup_reconcile(cohort: DataFrame) -> DataFrame:
     return rollup.rollup_reconcile(
         cohort,
         {
-            "quarterly": rollup.quarterly_rollup(cohort),
-            "grade": rollup.grade_rollup(cohort),
-            "purpose": rollup.purpose_rollup(cohort),
+            # counts come from the rollups' own aggregation; medians are not summed
+            "quarterly": rollup.quarterly_rollup(cohort, medians=False),
+            "grade": rollup.grade_rollup(cohort, medians=False),
+            "purpose": rollup.purpose_rollup(cohort, medians=False),
         },
     )
 
