@@ -43,8 +43,12 @@ OVERALL_FIELDS = (
 )
 
 
-def governed_metrics(cohort: DataFrame, segment: str = SEGMENT_PURPOSE) -> DataFrame:
-    """Flat one-row governed metrics: ``overall_*`` and ``segment_*`` columns."""
+def governed_metrics(cohort: DataFrame, segment: str = SEGMENT_PURPOSE, medians: bool = True) -> DataFrame:
+    """Flat one-row governed metrics: ``overall_*`` and ``segment_*`` columns.
+
+    ``medians=False`` leaves the two median columns NULL and skips their
+    stages (for reconciliations that do not compare them).
+    """
     seg = F.col("purpose") == segment
     flag = F.col("default_flag")
 
@@ -67,7 +71,11 @@ def governed_metrics(cohort: DataFrame, segment: str = SEGMENT_PURPOSE) -> DataF
         F.avg(s(F.col("debt_to_income_ratio"))).alias("s_dti"),
         F.avg(s(F.col("fico_score_avg"))).alias("s_fico"),
     )
-    full = with_medians(agg, cohort.where(seg), [], ["loan_amount", "annual_income"])
+    if medians:
+        full = with_medians(agg, cohort.where(seg), [], ["loan_amount", "annual_income"])
+    else:
+        full = agg.withColumns({"median_loan_amount": F.lit(None).cast("double"),
+                                "median_annual_income": F.lit(None).cast("double")})
     c = F.col
     return full.select(
         c("o_n").alias("overall_total_loans"),

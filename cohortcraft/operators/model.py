@@ -132,3 +132,25 @@ def rounded_single_predictor(cohort: DataFrame, digits: int = 4) -> DataFrame:
         round_to("pseudo_r2", 6).alias("pseudo_r2"),
         "n_obs",
     )
+
+
+def binary_logit(df: DataFrame, label: str, predictor: str, model_label: str, digits: int = 4) -> DataFrame:
+    """``label ~ predictor`` for a 0/1 predictor on any table: odds ratio, Wald CI, SE, fit."""
+    frame = df.where(F.col(label).isNotNull() & F.col(predictor).isNotNull()).select(
+        F.col(label).cast("double").alias(label), F.col(predictor).cast("double").alias(predictor)
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        row = odds_ratio_row(fit_logit(frame, (predictor,), label=label), model_label, term=predictor)
+    finally:
+        frame.unpersist()
+    out = df.sparkSession.createDataFrame([tuple(row[k] for k in ("model", "coefficient", "std_error", "odds_ratio",
+        "or_ci95_low", "or_ci95_high", "z_stat", "p_value", "p_value_display", "pseudo_r2", "n_obs"))], RESULT_SCHEMA)
+    return out.select(
+        "model",
+        round_to("odds_ratio", digits).alias("odds_ratio"),
+        round_to("or_ci95_low", digits).alias("or_ci95_low"),
+        round_to("or_ci95_high", digits).alias("or_ci95_high"),
+        round_to("std_error", digits).alias("std_error"),
+        round_to("pseudo_r2", 6).alias("pseudo_r2"),
+        "n_obs",
+    )

@@ -104,6 +104,29 @@ def hypothesis_battery(cohort: DataFrame, digits: int = 6) -> DataFrame:
     )
 
 
+def group_proportion_test(df: DataFrame, group_col: str, success_col: str, group_a, group_b,
+                          alternative: str = "two-sided", digits: int = 6) -> DataFrame:
+    """Two-proportion z-test of ``success_col`` (0/1) between two groups of any table.
+
+    One conditional aggregate (partial on the map side) gives the four counts.
+    """
+    g, y = F.col(group_col), F.col(success_col) == 1
+    c = df.agg(
+        n_where(y & (g == group_a)).alias("success_a"), n_where(g == group_a).alias("n_a"),
+        n_where(y & (g == group_b)).alias("success_b"), n_where(g == group_b).alias("n_b"),
+    )
+    t = two_proportion(F.col("success_a"), F.col("n_a"), F.col("success_b"), F.col("n_b"))
+    z = t["z_stat"]
+    crit = Z_CRIT_TWO_SIDED if alternative == "two-sided" else Z_CRIT_ONE_SIDED
+    decision = F.abs(z) > crit if alternative == "two-sided" else (z > crit if alternative == "larger" else z < -crit)
+    return c.select(
+        F.lit(alternative).alias("alternative"), "success_a", "n_a", "success_b", "n_b",
+        round_to(t["rate_a"], digits).alias("rate_a"), round_to(t["rate_b"], digits).alias("rate_b"),
+        round_to(t["delta_pp"], digits).alias("delta_pp"), round_to(z, digits).alias("z_stat"),
+        decision.alias("reject_h0"),
+    )
+
+
 def p_value(z: float, alternative: str) -> float:
     """Normal tail probability without cancellation (``erfc``, not ``1 - cdf``)."""
     if alternative == "two-sided":
