@@ -42,13 +42,17 @@ def get_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is used as is. Only
-    when it is unset (local tests) a private folder is created and set.
+    On a cluster this setting names shared storage and is used as is (and
+    must be set). Only in local mode, when it is unset (tests), a private
+    folder is created and set.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        # a machine-local folder would be a different folder on every executor
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. HDFS or object storage) on a cluster")
     local = tempfile.mkdtemp(prefix="cohortcraft-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     try:
         spark.conf.set("spark.checkpoint.dir", local)
