@@ -65,3 +65,11 @@ def test_no_unbounded_broadcast_hints(spark):
     assert p.count("broadcast") <= 1
     adapter = contract_raw(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" not in adapter.lower().replace("broadcastexchange", "")
+
+
+def test_exact_median_ranks_instead_of_collecting(typed_table):
+    from cohortcraft.operators.median import exact_medians
+
+    p = plan(exact_medians(analysis_cohort(typed_table), ["issue_quarter"], ["loan_amount"]))
+    assert "rangepartitioning" in p  # distinct values are spread by range, hot groups included
+    assert "percentile" not in p.lower()  # no per-group value map merged in one task
