@@ -12,6 +12,8 @@ batch); otherwise the query keeps running with ``processing_time``.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -42,7 +44,9 @@ def land_raw_files(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     typed = typed_contracts(reader.csv(landing_dir))
-    location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/landing/{abs(hash(out_path))}"
+    # a stable name (not Python's per-process salted hash) so a restarted driver resumes
+    digest = hashlib.sha1(out_path.encode()).hexdigest()[:16]
+    location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/landing/{digest}"
     writer = (
         typed.writeStream.format("parquet")
         .option("path", out_path)
