@@ -4,7 +4,6 @@ import datetime as dt
 import hashlib
 
 import pytest
-from pyspark.sql import functions as F
 
 from cohortcraft.functions import parse as P
 

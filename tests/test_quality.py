@@ -1,6 +1,5 @@
 """Profiles and cross-layer reconciliation on the smallest driver tables."""
 
-from pyspark.sql import functions as F
 
 from cohortcraft.operators import quality as Q
 from cohortcraft.operators import rollup
