@@ -95,3 +95,25 @@ def test_layered_jobs_end_to_end(spark, tmp_path):
     # the typed layer is partitioned by year, so the cohort's date bounds prune files
     plan = typed.where("issue_date >= DATE '2014-01-01' AND issue_year >= 2014")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan
+
+
+def test_run_from_gzip_text(spark, tmp_path):
+    raw = contract_raw(spark, "/root/testdata/sf0.001")
+    src = str(tmp_path / "raw_csv")
+    raw.coalesce(1).write.option("header", True).option("escape", '"').option("compression", "gzip").csv(src)
+    assert any(f.endswith(".csv.gz") for f in os.listdir(src))
+    out = str(tmp_path / "out")
+    paths = jobs.run_from_text(spark, src, out, partitions=4)
+    landed = spark.read.parquet(paths["landed"])
+    assert landed.count() == raw.count()
+    from cohortcraft.operators.typed import typed_contracts as tc
+    assert spark.read.parquet(paths["typed"]).count() == tc(raw).count()
+    prof = json.loads(open(out + "/raw/profile.json").read())
+    assert prof["row_count"] == raw.count() and prof["column_count"] == len(raw.columns)
+
+
+def test_run_from_text_rejects_missing_columns(spark, tmp_path):
+    p = tmp_path / "bad.csv"
+    _write(p, "id,loan_amnt\n1,5\n")
+    with pytest.raises(ValueError):
+        jobs.run_from_text(spark, str(p), str(tmp_path / "o"))
