@@ -102,7 +102,16 @@ def scope_aggregates(typed: DataFrame, scopes: tuple[Scope, ...] = SCOPES, segme
     )
 
 
-def scope_metrics(typed: DataFrame, scopes: tuple[Scope, ...] = SCOPES, segment: str = SEGMENT_PURPOSE) -> DataFrame:
+Claim = tuple[str, str, float | None, str | None]  # (metric, kind, claimed value, claimed text)
+
+
+def claim_columns(metric: str) -> tuple[str, str]:
+    """(claimed column, status column) of a claim in the wide output."""
+    return CLAIM_COLUMNS.get(metric, (f"claimed_{metric}", f"claim_{metric}_status"))
+
+
+def scope_metrics(typed: DataFrame, scopes: tuple[Scope, ...] = SCOPES, segment: str = SEGMENT_PURPOSE,
+                  claims: tuple[Claim, ...] = CLAIMS) -> DataFrame:
     """One row per scope: identity, counts, rounded metrics, claims and statuses.
 
     ``scope_status`` is ``ok``, ``empty_scope``, ``empty_segment``,
@@ -158,13 +167,19 @@ def scope_metrics(typed: DataFrame, scopes: tuple[Scope, ...] = SCOPES, segment:
         F.when(ok, round_to(100.0 * F.coalesce(col("current_loans"), F.lit(0)) / total, 4)).alias("current_share_pct"),
     ]
     actual_direction = F.when(ok, direction(gap))
-    for metric, kind, value, text in CLAIMS:
-        claimed_col, status_col = CLAIM_COLUMNS[metric]
+    out.append(actual_direction.alias("actual_segment_vs_overall_direction"))
+    for metric, kind, value, text in claims:
+        claimed_col, status_col = claim_columns(metric)
         if kind == "direction":
+            if metric != "segment_vs_overall_direction":
+                raise ValueError(f"unknown directional claim {metric!r}")
             out.append(F.lit(text).alias(claimed_col))
-            out.append(actual_direction.alias("actual_segment_vs_overall_direction"))
-            out.append(status(ok & (actual_direction == F.lit(text))).alias(status_col))
+            out.append(status(ok & F.coalesce(actual_direction == F.lit(text), F.lit(False))).alias(status_col))
             continue
+        if metric not in metrics:
+            raise ValueError(f"unknown metric {metric!r}; known: {sorted(metrics)}")
+        if kind not in ("percentage", "currency"):
+            raise ValueError(f"unknown claim kind {kind!r}")
         claimed = F.lit(float(value))
         check = within_absolute if kind == "percentage" else within_relative
         out.append(claimed.alias(claimed_col))
@@ -179,15 +194,17 @@ def assert_scopes_ok(metrics: DataFrame) -> None:
         raise RuntimeError("; ".join(f"{r.scope_id}: {r.scope_status}" for r in bad))
 
 
-def claims_table(spark: SparkSession) -> DataFrame:
+def claims_table(spark: SparkSession, claims: tuple[Claim, ...] = CLAIMS,
+                 critical: tuple[str, ...] = CRITICAL_CLAIMS) -> DataFrame:
     """The claim set as a literal table (bounded: one row per claim)."""
-    rows = [(i, m, k, v, t, m in CRITICAL_CLAIMS) for i, (m, k, v, t) in enumerate(CLAIMS)]
+    rows = [(i, m, k, None if v is None else float(v), t, m in critical) for i, (m, k, v, t) in enumerate(claims)]
     return spark.createDataFrame(
         rows, "claim_order int, metric string, kind string, claimed_value double, claimed_text string, critical boolean"
     )
 
 
-def claim_status(metrics: DataFrame) -> DataFrame:
+def claim_status(metrics: DataFrame, claims: tuple[Claim, ...] = CLAIMS,
+                 critical: tuple[str, ...] = CRITICAL_CLAIMS) -> DataFrame:
     """Long form: one row per (scope, claim) with the actual value and the status.
 
     The unrounded inputs are recomputed from the rounded scope row only for
@@ -195,7 +212,7 @@ def claim_status(metrics: DataFrame) -> DataFrame:
     unrounded values.
     """
     spark = metrics.sparkSession
-    value_cols = [m for m, k, _, _ in CLAIMS if k != "direction"]
+    value_cols = [m for m, k, _, _ in claims if k != "direction"]
     stacked = metrics.select(
         "scope_order", "scope_id", "scope_status",
         F.explode(
@@ -206,15 +223,15 @@ def claim_status(metrics: DataFrame) -> DataFrame:
                         (F.col(m) if m in value_cols else F.lit(None).cast("double")).alias("actual_value"),
                         (F.col("actual_segment_vs_overall_direction") if m not in value_cols
                          else F.lit(None).cast("string")).alias("actual_text"),
-                        F.col(CLAIM_COLUMNS[m][1]).alias("status"),
+                        F.col(claim_columns(m)[1]).alias("status"),
                     )
-                    for m, _, _, _ in CLAIMS
+                    for m, _, _, _ in claims
                 ]
             )
         ).alias("c"),
     ).select("scope_order", "scope_id", "scope_status", "c.*")
-    claims = F.broadcast(claims_table(spark))  # bounded by the claim list
-    return stacked.join(claims, "metric", "inner").select(
+    table = F.broadcast(claims_table(spark, claims, critical))  # bounded by the claim list
+    return stacked.join(table, "metric", "inner").select(
         "scope_order", "scope_id", "scope_status", "claim_order", "metric", "kind", "critical", "claimed_value",
         "claimed_text", "actual_value", "actual_text", "status",
     )

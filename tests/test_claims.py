@@ -90,3 +90,19 @@ def test_segment_without_known_outcomes_is_not_ok(spark):
     full = {r.scope_id: r for r in CL.scope_metrics(df).collect()}["full_snapshot_descriptive"]
     assert full.scope_status == "no_known_segment_outcome"
     assert full.actual_segment_vs_overall_direction is None and full.claim_direction_status == "FAIL"
+
+
+def test_custom_claim_set(typed):
+    mine = (
+        ("overall_default_rate_pct", "percentage", 0.0, None),
+        ("average_loan_amount_usd", "currency", 1.0, None),
+        ("segment_vs_overall_direction", "direction", None, "above"),
+    )
+    m = CL.scope_metrics(typed, claims=mine)
+    assert "claimed_overall_default_rate_pct" in m.columns and "claim_ticket_status" in m.columns
+    assert "claim_portfolio_share_status" not in m.columns
+    st = CL.claim_status(m, claims=mine, critical=("overall_default_rate_pct",))
+    assert st.count() == len(SCOPES) * 3
+    assert st.where(F.col("metric") == "average_loan_amount_usd").where(F.col("status") == "PASS").count() == 0
+    with pytest.raises(ValueError):
+        CL.scope_metrics(typed, claims=(("no_such_metric", "percentage", 1.0, None),))
