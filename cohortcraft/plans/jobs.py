@@ -92,9 +92,18 @@ def cohort_job(spark: SparkSession, typed_path: str, out_root: str) -> str:
         F.lit(36).alias("term_months"),
         F.lit(True).alias("resolved_only"),
     )
-    manifest = quality.cohort_profile(cohort).withColumn("cohort_definition", definition)
+    # per-file size and SHA-256 of every part file written so far (one row
+    # per file, folded into one map: bounded by the number of output files)
+    digests = file_digests(spark, f"{gold}/*/part-*")
+    write_extract(digests, f"{gold}/file_digests", single_file=True)
+    files = digests.agg(
+        F.map_from_entries(F.collect_list(F.struct(
+            F.regexp_replace("path", r"^.*/cohort/", ""),
+            F.struct("size_bytes", "sha256"),
+        ))).alias("files")
+    )
+    manifest = _one_row_join(quality.cohort_profile(cohort).withColumn("cohort_definition", definition), files)
     write_document(with_generated_at(manifest), f"{gold}/manifest.json")
-    write_extract(file_digests(spark, f"{gold}/*/part-*"), f"{gold}/file_digests", single_file=True)
     return gold
 
 

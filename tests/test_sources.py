@@ -83,6 +83,10 @@ def test_layered_jobs_end_to_end(spark, tmp_path):
     assert {"name": "term_months", "type": "smallint", "nullable": True} in q["columns"]
     man = json.loads(open(paths["cohort"] + "/manifest.json").read())
     assert man["cohort_definition"]["term_months"] == 36 and man["row_count"] == cohort.count()
+    some = next(k for k in man["files"] if k.startswith("analysis_cohort/"))
+    local = os.path.join(paths["cohort"], some)
+    assert man["files"][some]["size_bytes"] == os.path.getsize(local)
+    assert man["files"][some]["sha256"] == hashlib.sha256(open(local, "rb").read()).hexdigest()
     prof = json.loads(open(out + "/raw/profile.json").read())
     assert sum(prof["loan_status_distribution"].values()) == prof["row_count"]
     counts = list(prof["loan_status_distribution"].values())
