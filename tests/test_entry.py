@@ -75,3 +75,20 @@ def test_query_matches_oracle(spark, duck, name):
     if a != b:
         for x, y in zip(a, b):
             assert all(_same(u, v) for u, v in zip(x, y)), (x, y)
+
+
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "date": "DATE",
+}
+
+
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+def test_query_types_match_oracle(spark, duck, name):
+    df = entry.queries()[name](spark, SMOKE)
+    rel = duck.execute(f"DESCRIBE {entry.oracle_sql()[name]}")
+    duck_types = {r[0]: r[1] for r in rel.fetchall()}
+    for field in df.schema.fields:
+        spark_type = field.dataType.simpleString()
+        expected = SPARK_TO_DUCK.get(spark_type, spark_type.upper())
+        assert duck_types[field.name] == expected, (field.name, spark_type, duck_types[field.name])
