@@ -21,9 +21,9 @@ from cohortcraft.operators import claims, quality, rollup, stats
 from cohortcraft.operators.cohort import SENSITIVITY_SCOPES, SCOPES, analysis_cohort, dashboard_extract
 from cohortcraft.operators.document import governed_metrics
 from cohortcraft.operators.model import binary_logit, rounded_single_predictor, vintage_logit
-from cohortcraft.sources.columnar import driver_table
 from cohortcraft.operators.typed import TYPED_COLUMNS, typed_contracts
 from cohortcraft.session import checkpoint_dir
+from cohortcraft.sources.columnar import driver_table
 from cohortcraft.sources.contract import contract_raw, lineitem_contracts
 from cohortcraft.sources.sinks import write_columnar
 
@@ -33,9 +33,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Layer materialization. The raw and typed layers are written once per input
 # version as Parquet tables under the shared folder named by
 # ``spark.checkpoint.dir`` (the typed layer partitioned by issue_year) and
-# every query reads them back: lineage is cut at stable storage, a lost
-# executor recomputes nothing upstream, and scans get pushdown and partition
-# pruning. The key covers the input files (path, size, modification time)
+# every query reads them back: lineage is cut at stable storage (a lost
+# executor's work is recomputed from the written layer, never from the raw
+# text), and scans get pushdown and partition pruning. The key covers the input files (path, size, modification time)
 # and the layer version, so changed inputs or code never reuse stale tables.
 LAYER_VERSION = "1"
 _INPUTS = ("orders", "customer")
