@@ -73,3 +73,9 @@ def test_exact_median_ranks_instead_of_collecting(typed_table):
     p = plan(exact_medians(analysis_cohort(typed_table), ["issue_quarter"], ["loan_amount"]))
     assert "rangepartitioning" in p  # distinct values are spread by range, hot groups included
     assert "percentile" not in p.lower()  # no per-group value map merged in one task
+
+
+def test_scope_metrics_single_scan(typed_table):
+    p = plan(claims.scope_metrics(typed_table))
+    assert len(_scan_lines(p)) == 1  # all overlapping scopes from one scan (array of ids + explode)
+    assert "Generate explode" in p or "Generate" in p
