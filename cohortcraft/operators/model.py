@@ -49,7 +49,7 @@ def fit_logit(frame: DataFrame, terms: tuple[str, ...], label: str = "default_fl
     )
     features = formula.fit(frame).transform(frame).select("features", "label")
     glm = GeneralizedLinearRegression(
-        family="binomial", link="logit", regParam=0.0, maxIter=50, tol=1e-8, featuresCol="features",
+        family="binomial", link="logit", regParam=0.0, maxIter=50, tol=1e-6, featuresCol="features",
         labelCol="label",
     )
     model = glm.fit(features)
