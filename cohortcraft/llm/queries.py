@@ -4,10 +4,47 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cohortcraft.llm import decontaminate, mixing, near_dup, quality_classifier, token_index
 from cohortcraft.llm import quality_rules as rules
-from cohortcraft.llm.storage import table
+from cohortcraft.llm.storage import folder
+from cohortcraft.llm.storage import table as read_table
+from cohortcraft.llm.workers import ship_package
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One input table; the package's sources reach the workers with the first one."""
+    ship_package(spark)
+    return read_table(spark, sf_dir, name)
+
+
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole ``documents`` against whole ``benchmark``: 13-word phrases found by FM-index."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontaminate.mark_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return marked.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def token_ids(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Write ``docs`` as shards under the shared folder and read every document back from them."""
+    path = folder(spark, "token-ids")
+    token_index.write_shards(docs, path, public_tokenizers.path("word_bpe_49k.json"))
+    return token_index.documents_of(token_index.read_shards(spark, path))
+
+
+def op3_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole ``documents``: ids written in shards with a perfect-hash index and read back by key."""
+    return token_ids(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +55,37 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole ``documents``: near-duplicate components at 85 percent of five-word shingles."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _remainder(modulus: int):
+    """crc32 of the id as text, modulo ``modulus``; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole ``documents``: held-out flag, score and prediction of quality."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(_remainder(3) == 1, F.lit(False))
+    labels = table(spark, sf_dir, "labels").where(~held_out).select("doc_id", F.col("quality").alias("label"))
+    weights = quality_classifier.fit(docs, labels)
+    scored = quality_classifier.scored(docs, weights)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole ``documents``: domain posteriors and the rates that meet the target token shares."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return mixing.mix(docs, table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op3_token_id_output": op3_token_id_output,
     "op4_quality_rules": op4_quality_rules,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op9_mixing": op9_mixing,
 }

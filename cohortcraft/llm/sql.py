@@ -40,6 +40,34 @@ FROM m
 """
 
 
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_DECONTAMINATION = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item,
+         regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+sized AS (SELECT item, w, least(13, len(w)) AS m FROM b WHERE len(w) > 0),
+phrases AS (
+  SELECT DISTINCT item, m, list_aggregate(list_slice(w, i, i + m - 1), 'string_agg', ' ') AS g
+  FROM sized, unnest(range(1, len(w) - m + 2)) AS u(i)),
+windows AS (
+  SELECT r, i, m, list_aggregate(list_slice(w, i, i + m - 1), 'string_agg', ' ') AS g
+  FROM d, (SELECT DISTINCT m FROM sized) AS l, unnest(range(1, greatest(len(w) - m + 2, 1))) AS u(i)),
+found AS (SELECT r, i, m, item FROM windows JOIN phrases USING (m, g)),
+hits AS (SELECT r, count(DISTINCT k) AS n FROM found, unnest(range(i, i + m)) AS u(k) GROUP BY r),
+items AS (
+  SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(x.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(x.s, '')) AS items_sha256,
+       coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hits h USING (r) LEFT JOIN items x USING (r)
+"""
+
+
 ORACLE: dict[str, str] = {
+    "op1_benchmark_decontamination": _DECONTAMINATION,
     "op4_quality_rules": _quality_rules(),
 }
