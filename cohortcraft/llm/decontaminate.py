@@ -132,7 +132,7 @@ _SPAN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 _OUT = "n_words bigint, n_hit bigint, items array<string>, spans array<struct<start:bigint,end:bigint>>"
 
 
-def _marker(blocks: list, window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _marker(blocks: list, text_name: str, rest: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def shard(column: pa.Array) -> list[pa.Array]:
         data, offsets = K.buffer(column)
         lowered = K.lower(data)
@@ -172,11 +172,10 @@ def _marker(blocks: list, window: int) -> Callable[[Iterator[pa.RecordBatch]], I
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = batch.column("_text")
-            rest = [c for c in batch.schema.names if c != "_text"]
+            text = batch.column(text_name)
             for i, j in K.slices(K.buffer(text)[1], SHARD):
                 part = batch.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), *shard(part.column("_text"))], names=[*rest, "n_words", "n_hit", "items", "spans"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), *shard(part.column(text_name))], names=[*rest, "n_words", "n_hit", "items", "spans"])
 
     return run
 
@@ -202,22 +201,32 @@ def phrase_blocks(benchmark: DataFrame, id_col: str, text: str, window: int) ->
     return out
 
 
+ADDED = ("n_words", "n_hit", "items", "spans", "contaminated")
+
+
 def mark_contaminated(
-    docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 13
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 13, keep_text: bool = False
 ) -> DataFrame:
-    """Columns of ``docs`` but ``text``, then n_words, n_hit, items, spans (characters) and ``contaminated``.
+    """Columns of ``docs`` (``text`` only if ``keep_text``), then n_words, n_hit, items, spans (characters), ``contaminated``.
 
-    Contaminated: some word lies in a phrase and those words are at least 5 percent of all words.
+    Contaminated: some word lies in a phrase and those words are at least 5
+    percent of all words. Columns of ``docs`` named like an added one are replaced.
     """
     blocks = phrase_blocks(benchmark, item_id, item_text, window)
-    added = ("n_words", "n_hit", "items", "spans", "contaminated")
-    rest = [c for c in docs.columns if c not in (text, *added)]
-    plain = docs.select(*rest, F.col(text).alias("_text"))
+    rest = [c for c in docs.columns if c not in ADDED and (keep_text or c != text)]
+    plain = docs.select(*dict.fromkeys([*rest, text]))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.select(*rest).schema)
-    marked = plain.mapInArrow(_marker(blocks, window), f"{kept + ', ' if rest else ''}{_OUT}")
+    marked = plain.mapInArrow(_marker(blocks, text, rest), f"{kept + ', ' if rest else ''}{_OUT}")
     return marked.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 13) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with all their columns."""
+    plain = docs.select(*(F.col(c).alias(f"c{k}") for k, c in enumerate(docs.columns)))
+    marked = mark_contaminated(plain, benchmark, f"c{docs.columns.index(text)}", item_id, item_text, window, keep_text=True)
+    return marked.where(~F.col("contaminated")).select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)))
+
+
 def without_spans(text: str | None, spans: list) -> str | None:
     """The text with its removal spans cut out."""
     if text is None:

@@ -190,14 +190,14 @@ def spanning_links(sets: list[np.ndarray], side: np.ndarray, percent: int) -> li
     return links
 
 
-def _verifier(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _verifier(percent: int, dtype: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows (grp, p, q, own, node, shingles) sorted by (grp, p, q) -> links (a, b)."""
 
     def links_of(rows: list[tuple]) -> list[tuple[int, int]]:
         if len(rows) < 2:
             return []
         nodes = [r[0] for r in rows]
-        found = spanning_links([np.frombuffer(r[2], K.U64) for r in rows], np.array([r[1] for r in rows]), percent)
+        found = spanning_links([np.frombuffer(r[2], dtype) for r in rows], np.array([r[1] for r in rows]), percent)
         return [(nodes[i], nodes[j]) for i, j in found]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +219,7 @@ def _verifier(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     return run
 
 
-def verified_links(sets: DataFrame, percent: int) -> DataFrame:
+def verified_links(sets: DataFrame, percent: int, dtype: str = "<u8") -> DataFrame:
     """sets (node, grp, blocks, shingles binary) -> links (a, b) that connect all near pairs of each group."""
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     units = (
@@ -228,7 +228,7 @@ def verified_links(sets: DataFrame, percent: int) -> DataFrame:
         .select("grp", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "node", "shingles")
     )
     dealt = units.repartition("grp", "p", "q").sortWithinPartitions("grp", "p", "q", "node")
-    return dealt.mapInArrow(_verifier(percent), "a bigint, b bigint")
+    return dealt.mapInArrow(_verifier(percent, dtype), "a bigint, b bigint")
 
 
 def linked(base: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:

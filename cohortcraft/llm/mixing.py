@@ -76,26 +76,33 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = LIMIT, bits: int = BITS
     return np.zeros(shape, np.float32) if model is None else np.frombuffer(model, "<f4").reshape(shape)
 
 
-def memberships(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id_col, n_tokens, p_<domain>...): white-space words and domain posteriors of whole texts."""
+_MEMBERS = ("n_tokens", *(f"p_{d}" for d in DOMAINS))
+
+
+def memberships(docs: DataFrame, weights: np.ndarray, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Columns ``keep`` (default: all but ``text``), then n_tokens (white-space words) and the posteriors of whole texts."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # 2^bits rows, whatever the input
     bits = int(len(weights) - 1).bit_length() - 1
-    names = [id_col, "n_tokens", *(f"p_{d}" for d in DOMAINS)]
+    rest = [c for c in docs.columns if c != text and c not in _MEMBERS] if keep is None else keep
+    names = [*rest, *_MEMBERS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for batch in batches:
-            column = batch.column("_text")
+            column = batch.column(text)
             data, offsets = K.buffer(column)
             for i, j, flat, first in H.features(column, bits):
                 margin = H.linear(flat, first, table[:-1]) + table[-1]
                 p = np.exp(margin - margin.max(axis=1, keepdims=True))
                 p /= p.sum(axis=1, keepdims=True)
                 _, _, words = K.words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                yield pa.RecordBatch.from_arrays([batch.column(id_col).slice(i, j - i), pa.array(np.diff(words), pa.int64()), *(pa.array(p[:, k], pa.float64()) for k in range(len(DOMAINS)))], names=names)
+                part = batch.slice(i, j - i)
+                added = [pa.array(np.diff(words), pa.int64()), *(pa.array(p[:, k], pa.float64()) for k in range(len(DOMAINS)))]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), *added], names=names)
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, F.col(text).alias("_text")).mapInArrow(run, f"`{id_col}` {kind}, n_tokens bigint, " + ", ".join(f"p_{d} double" for d in DOMAINS))
+    plain = docs.select(*dict.fromkeys([*rest, text]))
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in plain.select(*rest).schema]
+    return plain.mapInArrow(run, ", ".join([*kinds, "n_tokens bigint", *(f"p_{d} double" for d in DOMAINS)]))
 
 
 def _rate(steps: list[np.ndarray]) -> Column:
@@ -129,8 +136,14 @@ def _sums(members: DataFrame, rate: Column) -> tuple[np.ndarray, np.ndarray, flo
     return v[:k], v[k : k + k * k].reshape(k, k), v[-1]
 
 
-def fit_rates(members: DataFrame, targets: dict[str, float] = TARGETS, anchor: str | None = ANCHOR, tolerance: float = 1e-9, passes: int = 60) -> Fit:
-    """Steps of the projected gradient. Without an anchor the targets share out all tokens."""
+def fit_rates(
+    members: DataFrame, targets: dict[str, float] = TARGETS, anchor: str | None = ANCHOR, repeats: bool = True, tolerance: float = 1e-9, passes: int = 60
+) -> Fit:
+    """Steps of the projected gradient.
+
+    Without an anchor the targets share out all tokens. Without ``repeats`` no
+    domain's target exceeds the total that it has.
+    """
     share = np.array([targets[d] for d in DOMAINS], float)
     share = share / share.sum()
     steps: list[np.ndarray] = []
@@ -141,6 +154,7 @@ def fit_rates(members: DataFrame, targets: dict[str, float] = TARGETS, anchor: s
         if k == 0:
             anchor_at = DOMAINS.index(anchor) if anchor else None
             goal = share * (tokens if anchor_at is None else totals[anchor_at] / share[anchor_at])
+            goal = goal if repeats else np.minimum(goal, totals)
         if tokens == 0:
             return Fit([], goal, totals, 0.0)
         residual = (totals - goal) / tokens
@@ -153,14 +167,28 @@ def fit_rates(members: DataFrame, targets: dict[str, float] = TARGETS, anchor: s
     return Fit(steps, goal, totals, error)
 
 
-def mix(docs: DataFrame, labels: DataFrame, weights: np.ndarray | None = None, targets: dict[str, float] = TARGETS) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
     """(doc_id, n_tokens, posteriors, rate, copies) per row of ``docs``.
 
     ``copies`` rounds the rate down or up by a hash of the id, so that its
     expectation is the rate and a document's draw never depends on others.
     """
-    weights = fit(docs, labels) if weights is None else weights
-    members = written(memberships(docs, weights), "memberships")
+    weights = fit(docs.select("doc_id", "text"), labels)
+    members = written(memberships(docs.select("doc_id", "text"), weights), "memberships")
     rate = _rate(fit_rates(members, targets).steps)
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("mix")), F.lit(1 << 32)) / float(1 << 32)
     return members.withColumn("rate", rate).withColumn("copies", F.floor(F.col("rate") + draw).cast("bigint"))
+
+
+def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay in the mix: rates fitted without repeats and rounded to 0 or 1.
+
+    The posteriors are computed a second time on the way out, so whole texts
+    are never shuffled to meet their rates.
+    """
+    weights = fit(docs.select("doc_id", "text"), labels)
+    members = written(memberships(docs.select("text"), weights), "memberships")
+    rate = _rate(fit_rates(members, targets, repeats=False).steps)
+    plain = docs.select(*(F.col(c).alias(f"c{k}") for k, c in enumerate(docs.columns)))
+    rated = memberships(plain, weights, f"c{docs.columns.index('text')}", keep=plain.columns)
+    return rated.where(rate >= 0.5).select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)))

@@ -68,3 +68,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         F.col("component").alias("component_id"),
         F.coalesce(F.col("id") == F.col("component"), F.lit(False)).alias("kept"),
     )
+
+
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 85, k: int = 5, banding: M.Banding = BANDING) -> DataFrame:
+    """The rows of ``docs``, all columns, of which one document of each component is left.
+
+    Rows that repeat a kept id are one document: one of them stays. Rows
+    without an id cannot be told apart from others and stay.
+    """
+    marked = written(near_duplicates(docs, id_col, text, percent, k, banding), "near-duplicates")
+    dropped = marked.where(F.col(id_col).isNotNull() & ~F.col("kept")).select(id_col).distinct()
+    left = docs.join(dropped, id_col, "left_anti").select(*docs.columns)
+    again = marked.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col)
+    if again.isEmpty():
+        return left
+    again = written(again, "repeated-ids")
+    once, repeated = left.join(again, id_col, "left_anti"), left.join(again, id_col, "left_semi")
+    return once.select(*docs.columns).unionByName(repeated.select(*docs.columns).dropDuplicates([id_col]))

@@ -169,3 +169,9 @@ def quality_rules(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
     df = df.withColumn("kept", ~F.col("base_failed") & verdict(rules))
     hidden = [c for c in df.columns if c.startswith("_") and c not in docs.columns]
     return df.drop(*hidden)
+
+
+def without_rejected(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns as they were."""
+    whole = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text).alias("_text"))
+    return quality_rules(whole, "_text", rules).where("kept").select("_row.*")

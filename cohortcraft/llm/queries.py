@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortcraft.llm import decontaminate, mixing, near_dup, quality_classifier, token_index
+from cohortcraft.llm import block_labeller, decontaminate, kd_shards, lm_scoring, mixing, near_dup, passages, quality_classifier, token_index
 from cohortcraft.llm import quality_rules as rules
 from cohortcraft.llm.storage import folder
 from cohortcraft.llm.storage import table as read_table
@@ -35,6 +35,20 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op2_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole ``documents`` in 24 shards of near-equal bytes."""
+    placed = kd_shards.shard(table(spark, sf_dir, "documents"), shards=24)
+    return placed.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        F.col("crc").alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def token_ids(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Write ``docs`` as shards under the shared folder and read every document back from them."""
     path = folder(spark, "token-ids")
@@ -65,6 +79,12 @@ def _remainder(modulus: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole ``documents``: unigram base score and attention-model score; crc32 mod 7 = 2 is held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm_scoring.scored(docs, _remainder(7) == 2, public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole ``documents``: held-out flag, score and prediction of quality."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -75,17 +95,33 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole ``pages``: the main text by the recurrent block labeller."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return block_labeller.main_text(pages, block_labeller.fit(pages))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole ``documents``: domain posteriors and the rates that meet the target token shares."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return mixing.mix(docs, table(spark, sf_dir, "labels"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole ``documents``: the documents that share passages, with the words that repeat."""
+    windows = passages.repeated_windows(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return passages.repeats_by_document(windows).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op2_kd_tree_sharding": op2_kd_tree_sharding,
     "op3_token_id_output": op3_token_id_output,
     "op4_quality_rules": op4_quality_rules,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_html_extraction": op8_html_extraction,
     "op9_mixing": op9_mixing,
+    "op10_substring_dedup": op10_substring_dedup,
 }

@@ -1,14 +1,19 @@
 """Subword ids of whole texts with the ``tokenizers`` library, word by word.
 
 The tokenizer's own steps (normalizer, pre-tokenizer, model) run once per
-distinct word and the results are kept in a bounded cache of the worker. This
+distinct word and the results are kept in bounded caches of the worker. This
 equals encoding the whole text, as no step of the tokenizer crosses ASCII white
-space; a word that holds a special token's marker goes through ``encode``.
+space. A word of Latin letters, with or without ASCII signs after them, is two
+pieces whose normal form is their lower case, so only the model has to run,
+once per distinct piece; a word that holds a special token's marker goes
+through ``encode``.
 """
 
 from __future__ import annotations
 
 import json
+import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -16,53 +21,75 @@ from tokenizers import Tokenizer
 
 from cohortcraft.llm import kernels as K
 
-CACHE = 400_000
-"""Distinct words that a worker keeps; beyond it the cache starts anew (results do not change)."""
+CACHE = 600_000
+"""Distinct words, and distinct pieces, that a worker keeps; beyond it the cache starts anew (results do not change)."""
+
+# Precomposed Latin-1 letters, then ASCII signs but the apostrophe (which opens contractions).
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 class Encoder:
     def __init__(self, path: str) -> None:
-        self.tokenizer = Tokenizer.from_file(path)
-        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.tokenizer = t = Tokenizer.from_file(path)
+        self.size = t.get_vocab_size(with_added_tokens=True)
         with open(path, encoding="utf-8") as f:
-            self.special = [t["content"] for t in json.load(f)["added_tokens"]]
+            self.special = [x["content"] for x in json.load(f)["added_tokens"]]
+        spelled = lambda c: t.pre_tokenizer.pre_tokenize_str(c)[0][0]  # noqa: E731  byte-level form of a letter
+        self.spelling = {c: s for c in range(0xDF, 0x100) if chr(c).isalpha() and (s := spelled(chr(c)))}
+        self.pieces: dict[str, list[int]] = {}
         self._reset()
 
     def _reset(self) -> None:
         self.slot: dict[bytes, int] = {}
-        self.ids: list[int] = []
-        self.lengths: list[int] = []
+        self.ids, self.lengths = array("I"), array("I")
+
+    def _piece(self, piece: str) -> list[int]:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            if len(self.pieces) >= CACHE:
+                self.pieces.clear()
+            ids = self.pieces[piece] = [x.id for x in self.tokenizer.model.tokenize(piece.translate(self.spelling))]
+        return ids
 
     def word(self, word: str) -> list[int]:
         """Ids of a text without ASCII white space inside."""
         t = self.tokenizer
-        if any(s in word for s in self.special):
+        if "<" in word and any(s in word for s in self.special):
             return t.encode(word, add_special_tokens=False).ids
+        plain = _PLAIN.fullmatch(word)
+        if plain:
+            letters, signs = plain.groups()
+            ids = self._piece(letters.lower())
+            return ids + self._piece(signs) if signs else ids
         normal = t.normalizer.normalize_str(word)
         return [x.id for piece, _ in t.pre_tokenizer.pre_tokenize_str(normal) for x in t.model.tokenize(piece)]
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids uint32, first): ids of every text, one after the other; a null has none."""
         data, offsets = K.buffer(column)
-        start, end, first = K.words(data, offsets)
-        raw = data.tobytes()
-        if len(self.slot) > CACHE:
+        _, _, first = K.words(data, offsets)
+        words = np.insert(data, offsets[1:-1], 0x20).tobytes().split()  # a space between texts
+        if len(self.slot) >= CACHE:
             self._reset()
-        slot, slots = self.slot, np.empty(len(start), np.int64)
-        for k, (a, b) in enumerate(zip(start.tolist(), end.tolist(), strict=True)):
-            word = raw[a:b]
-            at = slot.get(word)
-            if at is None:
-                ids = self.word(word.decode("utf-8"))
-                at = slot[word] = len(self.lengths)
-                self.ids.extend(ids)
-                self.lengths.append(len(ids))
-            slots[k] = at
+        slot = self.slot
+        slots = list(map(slot.get, words))
+        if None in slots:
+            for k, at in enumerate(slots):
+                if at is None:
+                    word = words[k]
+                    at = slot.get(word)
+                    if at is None:
+                        ids = self.word(word.decode("utf-8"))
+                        at = slot[word] = len(self.lengths)
+                        self.ids.extend(ids)
+                        self.lengths.append(len(ids))
+                    slots[k] = at
+        at = np.array(slots, np.int64)
         lengths = np.array(self.lengths, np.int64)
         begin = np.concatenate([[0], np.cumsum(lengths)])
-        sizes = lengths[slots]
+        sizes = lengths[at]
         out = np.concatenate([[0], np.cumsum(sizes)])
-        where = np.arange(out[-1]) - np.repeat(out[:-1] - begin[slots], sizes)
+        where = np.arange(out[-1]) - np.repeat(out[:-1] - begin[at], sizes)
         return np.array(self.ids, np.uint32)[where], out[first]
 
 

@@ -131,7 +131,7 @@ class Shard:
         if len(self.fingerprints) == 0:
             return slot
         known = (slot >= 0) & (self.fingerprints[slot] == _fingerprints(keys))
-        return np.where(known, self.ordinals[slot], -1).astype(np.int64)
+        return np.where(known, self.ordinals[slot].astype(np.int64), -1)
 
     def document(self, ordinal: int) -> np.ndarray:
         return self.ids[self.offsets[ordinal] : self.offsets[ordinal + 1]]
