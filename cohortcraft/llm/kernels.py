@@ -151,7 +151,7 @@ def shingle_hashes(hashes: np.ndarray, first: np.ndarray, k: int) -> tuple[np.nd
         return np.zeros(0, U64), out_first
     with np.errstate(over="ignore"):
         rolled = np.zeros(n, U64)
-        for j in range(k):
+        for j in range(min(k, n)):
             rolled[: n - j] += hashes[j:] * U64(pow(_BASE, j + 1, 2**64))
         doc = np.repeat(np.arange(len(counts)), sizes)
         at = first[:-1][doc] + (np.arange(total) - out_first[:-1][doc])

@@ -13,7 +13,7 @@ def test_blocks_and_references():
     )
     found = blocks(page)
     assert [b.text for b in found] == ["Home", "More", "A & B é", "one two three", "four five", "tail", "c1", "c2", "© x"]
-    assert found[0].path == ("nav", "ul", "li", "a") and found[0].link_chars == 4
+    assert found[0].path == ("html", "body", "nav", "ul", "li", "a") and found[0].link_chars == 4
     assert [B.weak_label(b.path) for b in found] == [0, 0, 1, 1, 1, 1, 1, 1, 0]
 
 
