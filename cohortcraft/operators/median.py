@@ -2,18 +2,21 @@
 
 ``percentile``/``median`` keep a value->count map per group and merge it in a
 single task, so a group holding a third of a 100 TB table would have to fit
-in one executor. This operator ranks instead:
-
-1. ``groupBy(keys, measure, value).count()`` -- map-side combined, and the
-   shuffle key includes the value, so hot groups spread over all reducers;
-2. range-partition the distinct (keys, measure, value) rows and take running
-   counts inside each partition (bounded by partition size);
-3. per-partition totals (at most #partitions + #groups rows) give each
-   partition its offset inside the group;
-4. keep the one or two rows holding ranks floor((n-1)/2) and ceil((n-1)/2)
-   and interpolate ``lo + (hi - lo) * 0.5``.
-
-NULL values are ignored; NULL keys form their own group.
+in one executor. This operator brackets the middle instead:
+
+1. one pass of mergeable quantile sketches gives each group two values around
+   its middle (rank error at most ``n / ACCURACY`` on either side) and its
+   number of values;
+2. a second pass, joined with the group-sized brackets, counts the values
+   below the bracket (one row per group and task) and the distinct values
+   inside it, combined on the map side;
+3. running counts over a group's bracket, about ``6 / ACCURACY`` of its
+   distinct values, give the exact middle values; interpolate
+   ``lo + (hi - lo) * 0.5``.
+
+A bracket that misses the middle raises an error instead of giving a wrong
+value. Results do not depend on physical partitions. NULL values are ignored;
+NULL keys form their own group.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 
 _MEASURE = "_measure"
 _VALUE = "_value"
+ACCURACY = 20_000
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -44,18 +48,15 @@ def exact_medians(
     df: DataFrame,
     keys: list[str],
     values: list[str],
-    num_partitions: int | None = None,
     prefix: str = "median_",
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """One row per group of ``keys`` with ``{prefix}{value}`` for each value column.
 
     With no keys the result is a single row (global medians). Groups and
     measures travel as one struct key ``_g`` (a struct is never NULL and
-    compares NULL fields as equal), so the joins below are plain equi-joins
-    and reuse the window's partitioning instead of re-shuffling.
+    compares NULL fields as equal), so the joins below are plain equi-joins.
     """
-    spark = df.sparkSession
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     g = F.col("_g")
     long = df.select(
         F.explode(
@@ -67,43 +68,31 @@ def exact_medians(
                 for v in values
             ])
         ).alias("_m")
-    ).select("_m._g", f"_m.{_VALUE}")
-    counts = long.where(F.col(_VALUE).isNotNull()).groupBy("_g", _VALUE).agg(F.count(F.lit(1)).alias("_cnt"))
-
-    ranged = counts.repartitionByRange(n_parts, "_g", _VALUE).withColumn("_pid", F.spark_partition_id())
-    local = Window.partitionBy("_pid", "_g").orderBy(_VALUE).rowsBetween(Window.unboundedPreceding, 0)
-    ranged = ranged.withColumn("_cum", F.sum("_cnt").over(local))
-
-    # Already partitioned by (_pid, _g): this aggregate adds no exchange.
-    totals = ranged.groupBy("_pid", "_g").agg(F.max("_cum").alias("_ptot"))
-    before = Window.partitionBy("_g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(
-        "_pid", "_g",
-        F.coalesce(F.sum("_ptot").over(before), F.lit(0)).alias("_off"),
-        F.sum("_ptot").over(Window.partitionBy("_g")).alias("_n"),
-    )
+    ).select("_m._g", f"_m.{_VALUE}").where(F.col(_VALUE).isNotNull())
 
-    placed = ranged.join(totals, ["_pid", "_g"], "inner")
-    end = F.col("_off") + F.col("_cum")
-    start = end - F.col("_cnt") + 1
+    margin = 2.0 / accuracy
+    around = F.percentile_approx(_VALUE, F.array(F.lit(0.5 - margin), F.lit(0.5 + margin)), F.lit(accuracy))
+    bracket = long.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"), around.alias("_q")).select(
+        "_g", "_n", F.col("_q")[0].alias("_low"), F.col("_q")[1].alias("_high")
+    )
+    near = long.join(bracket, "_g").where(F.col(_VALUE) <= F.col("_high"))
+    # NULL stands for every value below the bracket and sorts before it
+    inside = F.when(F.col(_VALUE) >= F.col("_low"), F.col(_VALUE)).alias("_v")
+    counts = near.groupBy("_g", "_n", inside).agg(F.count(F.lit(1)).alias("_cnt"))
+    running = Window.partitionBy("_g").orderBy(F.col("_v").asc_nulls_first())
+    end = F.sum("_cnt").over(running.rowsBetween(Window.unboundedPreceding, 0))
+    placed = counts.withColumn("_end", end).withColumn("_start", F.col("_end") - F.col("_cnt") + 1)
     lo_rank = F.floor((F.col("_n") - 1) / 2) + 1
     hi_rank = F.floor(F.col("_n") / 2) + 1
-    holds_lo = (lo_rank >= start) & (lo_rank <= end)
-    holds_hi = (hi_rank >= start) & (hi_rank <= end)
-    picked = placed.where(holds_lo | holds_hi).select(
-        *[g[k].alias(k) for k in keys], g[_MEASURE].alias(_MEASURE),
-        F.when(holds_lo, F.col(_VALUE)).alias("_lo"), F.when(holds_hi, F.col(_VALUE)).alias("_hi"),
-    )
-    # At most two rows per (group, measure) remain; one grouped pass pivots them.
-    aggs = []
-    for v in values:
-        is_v = F.col(_MEASURE) == v
-        aggs += [F.max(F.when(is_v, F.col("_lo"))).alias(f"_lo_{v}"), F.max(F.when(is_v, F.col("_hi"))).alias(f"_hi_{v}")]
-    wide = picked.groupBy(*keys).agg(*aggs)
-    return wide.select(
-        *keys,
-        *[(F.col(f"_lo_{v}") + (F.col(f"_hi_{v}") - F.col(f"_lo_{v}")) * 0.5).alias(f"{prefix}{v}") for v in values],
+    at = lambda rank: F.max(F.when((rank >= F.col("_start")) & (rank <= F.col("_end")), F.col("_v")))
+    picked = placed.groupBy("_g").agg(at(lo_rank).alias("_lo"), at(hi_rank).alias("_hi"))
+    missed = F.raise_error(F.lit("a median lies outside its bracket; raise the sketch accuracy"))
+    middle = F.when(F.col("_lo").isNull() | F.col("_hi").isNull(), missed.cast("double")).otherwise(
+        F.col("_lo") + (F.col("_hi") - F.col("_lo")) * 0.5
     )
+    found = picked.select(*[g[k].alias(k) for k in keys], g[_MEASURE].alias(_MEASURE), middle.alias(_VALUE))
+    wide = found.groupBy(*keys).agg(*[F.max(F.when(F.col(_MEASURE) == v, F.col(_VALUE))).alias(f"{prefix}{v}") for v in values])
+    return wide
 
 
 def approx_medians(df: DataFrame, keys: list[str], values: list[str], accuracy: int = 10000,

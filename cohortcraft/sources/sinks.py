@@ -1,6 +1,7 @@
 """Writers for tables, extracts and documents, and per-file digests.
 
-* Tables: Parquet with zstd; ``partition_by`` lets later scans prune
+* Tables: Parquet with zstd; rows of a partition value are gathered first (and a
+  hot value is split again), so files do not multiply with tasks; ``partition_by`` lets later scans prune
   (e.g. the typed layer by ``issue_year``); ``max_records_per_file`` bounds
   file size. Parquet row groups are sized in bytes (``parquet.block.size``).
 * Extracts: CSV with a header; only aggregate-sized results are coalesced
@@ -12,10 +13,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+from collections.abc import Iterator
 from datetime import date, datetime
-from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +31,8 @@ def write_columnar(
     max_records_per_file: int | None = None,
     block_size_bytes: int | None = None,
 ) -> str:
-    writer = df.write.mode("overwrite").option("compression", compression)
+    dealt = df.hint("rebalance", *partition_by) if partition_by else df
+    writer = dealt.write.mode("overwrite").option("compression", compression)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if block_size_bytes:
@@ -83,23 +87,56 @@ def with_generated_at(doc: DataFrame) -> DataFrame:
     return doc.select(stamp.alias("generated_at_utc"), *doc.columns)
 
 
-def write_document(doc: DataFrame, path: str) -> str:
-    """Write a one-row document as pretty JSON (driver-side; the row is tiny)."""
-    p = Path(path)
-    p.parent.mkdir(parents=True, exist_ok=True)
-    p.write_text(document_text(doc), encoding="utf-8")
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, Hadoop path) of any URI that Spark can write."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> str:
+    """Write a small text to any URI; without ``overwrite`` an existing file is an error (atomic create)."""
+    fs, target = file_system(spark, path)
+    out = fs.create(target, overwrite)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
     return path
 
 
-def file_digests(spark: SparkSession, path_glob: str) -> DataFrame:
-    """(path, size_bytes, sha256) per file, computed on the executors.
+def write_document(doc: DataFrame, path: str) -> str:
+    """Write a one-row document as pretty JSON to any URI (the row is tiny)."""
+    return write_text(doc.sparkSession, path, document_text(doc))
+
+
+DIGEST_CHUNK = 8 << 20
+DIGEST_TASK_BYTES = 1 << 30
+
+
+def _digest_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    from pyarrow import fs as arrow_fs
+
+    for batch in batches:
+        digests = []
+        for path in batch["path"]:
+            uri = "file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path
+            store, name = arrow_fs.FileSystem.from_uri(uri)
+            digest = hashlib.sha256()
+            with store.open_input_stream(name) as stream:
+                while chunk := stream.read(DIGEST_CHUNK):
+                    digest.update(chunk)
+            digests.append(digest.hexdigest())
+        yield batch.assign(sha256=digests)
+
+
+def file_digests(spark: SparkSession, path_glob: str | list[str]) -> DataFrame:
+    """(path, size_bytes, sha256) per file.
 
-    ``binaryFile`` loads each file whole into one row (< 2 GB), so list part
-    files rather than one huge file.
+    Files are listed by their metadata and dealt to tasks of about
+    ``DIGEST_TASK_BYTES`` each; a task reads its files in chunks, so a file may
+    have any size and no row holds content.
     """
-    files = spark.read.format("binaryFile").load(path_glob)
-    return files.select(
-        "path",
-        F.col("length").alias("size_bytes"),
-        F.sha2(F.col("content"), 256).alias("sha256"),
-    )
+    files = spark.read.format("binaryFile").load(path_glob).select("path", F.col("length").alias("size_bytes"))
+    size = files.agg(F.count("*").alias("n"), F.sum("size_bytes").alias("b")).first()
+    tasks = max(1, min(size["n"], -(-(size["b"] or 0) // DIGEST_TASK_BYTES) * 4))
+    return files.repartition(tasks, "path").mapInPandas(_digest_files, "path string, size_bytes bigint, sha256 string")

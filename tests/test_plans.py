@@ -8,6 +8,7 @@ aggregates partially before the exchange, and runs no Python on rows.
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from cohortcraft.operators import claims, rollup
 from cohortcraft.operators.cohort import analysis_cohort
@@ -67,12 +68,20 @@ def test_no_unbounded_broadcast_hints(spark):
     assert "broadcast" not in adapter.lower().replace("broadcastexchange", "")
 
 
-def test_exact_median_ranks_instead_of_collecting(typed_table):
+def test_exact_median_shuffles_only_its_bracket(typed_table):
     from cohortcraft.operators.median import exact_medians
 
     p = plan(exact_medians(analysis_cohort(typed_table), ["issue_quarter"], ["loan_amount"]))
-    assert "rangepartitioning" in p  # distinct values are spread by range, hot groups included
-    assert "percentile" not in p.lower()  # no per-group value map merged in one task
+    assert "rangepartitioning" not in p and "spark_partition_id" not in p.lower()
+    assert "partial_percentile_approx" in p.lower() or "partial_approx" in p.lower()  # mergeable sketches first
+
+
+def test_files_per_year_do_not_grow_with_tasks(spark, tmp_path):
+    df = spark.range(4000).select(F.col("id"), (2014 + F.col("id") % 2).cast("int").alias("issue_year"))
+    for tasks in (2, 32):
+        out = write_columnar(df.repartition(tasks), str(tmp_path / f"t{tasks}"), partition_by=["issue_year"])
+        for year in (2014, 2015):
+            assert len(list((tmp_path / f"t{tasks}" / f"issue_year={year}").glob("*.parquet"))) == 1, out
 
 
 def test_scope_metrics_single_scan(typed_table):
