@@ -10,102 +10,110 @@ summary row per model).
 from __future__ import annotations
 
 import hashlib
+import inspect
 import uuid
 from collections.abc import Callable
-from functools import lru_cache
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cohortcraft.functions import classify, parse
 from cohortcraft.functions.metrics import n_rows
-from cohortcraft.operators import claims, quality, rollup, stats
-from cohortcraft.operators.cohort import SENSITIVITY_SCOPES, SCOPES, analysis_cohort, dashboard_extract
+from cohortcraft.operators import claims, quality, rollup, stats, typed
+from cohortcraft.operators.audit import audit_sample
+from cohortcraft.operators.cohort import (
+    GRADE_SCOPES, PRIMARY_SCOPE, SCOPES, SENSITIVITY_SCOPES, SUBGRADE_SCOPES, analysis_cohort, dashboard_extract,
+)
 from cohortcraft.operators.document import governed_metrics
-from cohortcraft.operators.model import binary_logit, rounded_single_predictor, vintage_logit
+from cohortcraft.operators.model import binary_logit, fitted_totals, rounded_single_predictor, vintage_logit
 from cohortcraft.operators.typed import TYPED_COLUMNS, typed_contracts
 from cohortcraft.session import checkpoint_dir
+from cohortcraft.sources import contract, sinks
 from cohortcraft.sources.columnar import driver_table
 from cohortcraft.sources.contract import contract_raw, lineitem_contracts
-from cohortcraft.sources.sinks import write_columnar
+from cohortcraft.sources.sinks import file_system, write_columnar, write_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 # Layer materialization. The raw and typed layers are written once per input
 # version as Parquet tables under the shared folder named by
-# ``spark.checkpoint.dir`` (the typed layer partitioned by issue_year) and
-# every query reads them back: lineage is cut at stable storage (a lost
-# executor's work is recomputed from the written layer, never from the raw
-# text), and scans get pushdown and partition pruning. The key covers the input files (path, size, modification time)
-# and the layer version, so changed inputs or code never reuse stale tables.
-LAYER_VERSION = "1"
+# ``spark.checkpoint.dir`` (the typed layer partitioned by issue_year) and every
+# query reads them back: lineage is cut at stable storage, and scans get
+# pushdown and partition pruning. The key covers the input files (path, size,
+# modification time; summed on the executors) and the sources of the modules
+# that make the layers, and is computed anew on every call, so neither changed
+# inputs nor changed code can meet an old layer.
 _INPUTS = ("orders", "customer")
+_LAYER_MODULES = (contract, typed, parse, classify, sinks)
 
 
-def _input_key(spark: SparkSession, sf_dir: str) -> str:
-    meta = (
-        spark.read.format("binaryFile")
-        .load([f"{sf_dir.rstrip('/')}/{t}.parquet" for t in _INPUTS])
-        .select("path", "length", "modificationTime")  # content is never read
-        .collect()  # one row per input file: metadata only
-    )
-    text = "|".join(sorted(f"{r.path}:{r.length}:{r.modificationTime}" for r in meta))
-    return hashlib.sha1(f"{LAYER_VERSION}|{sf_dir}|{text}".encode()).hexdigest()[:16]
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+def _code_version() -> str:
+    text = "".join(inspect.getsource(m) for m in _LAYER_MODULES)
+    return hashlib.sha1(text.encode()).hexdigest()
 
 
-def _committed(spark: SparkSession, path: str) -> bool:
-    fs, hpath = _fs(spark, path + "/_SUCCESS")
-    return fs.exists(hpath)
+def _input_key(spark: SparkSession, sf_dir: str) -> str:
+    files = spark.read.format("binaryFile").load([f"{sf_dir.rstrip('/')}/{t}.parquet" for t in _INPUTS])
+    mark = F.xxhash64("path", "length", "modificationTime")  # metadata only, content is never read
+    seen = files.agg(F.count("*").alias("n"), F.sum(mark.cast("decimal(38,0)")).alias("s"), F.bit_xor(mark).alias("x")).first()
+    return hashlib.sha1(f"{_code_version()}|{sf_dir}|{seen['n']}|{seen['s']}|{seen['x']}".encode()).hexdigest()[:16]
+
+
+def _published(spark: SparkSession, pointer: str) -> str | None:
+    """Folder that the pointer file names; None while there is no pointer."""
+    fs, target = file_system(spark, pointer)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
 
 
 def _materialized(spark: SparkSession, df_fn: Callable[[], DataFrame], path: str,
                   partition_by: list[str] | None = None) -> DataFrame:
-    """Read the committed table at ``path``, building it first if needed.
+    """Read the published table at ``path``, building it first if needed.
 
-    Builders write to a private folder and rename it into place, so
-    concurrent builders never read each other's partial output; the first
-    rename wins and a loser keeps reading its own complete copy.
+    A builder writes a folder of its own and then creates one small pointer
+    file, which fails if there is one: the first builder publishes, the others
+    read what it published. Nothing is renamed or overwritten.
     """
-    if _committed(spark, path):
-        return spark.read.parquet(path)
-    private = f"{path}.build-{uuid.uuid4().hex[:12]}"
-    write_columnar(df_fn(), private, partition_by=partition_by)
-    fs, target = _fs(spark, path)
-    _, source = _fs(spark, private)
-    try:
-        if not fs.exists(target):
-            fs.rename(source, target)
-    except Exception:  # another builder won the race
-        pass
-    return spark.read.parquet(path if _committed(spark, path) else private)
+    pointer = f"{path}.pointer"
+    place = _published(spark, pointer)
+    if place is None:
+        own = f"{path}-{uuid.uuid4().hex}"
+        write_columnar(df_fn(), own, partition_by=partition_by)
+        try:
+            write_text(spark, pointer, own, overwrite=False)
+        except Py4JJavaError:
+            if _published(spark, pointer) is None:
+                raise
+        place = _published(spark, pointer)
+    return spark.read.parquet(place)
 
 
-@lru_cache(maxsize=16)
 def _layer_root(spark: SparkSession, sf_dir: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/cohortcraft-layers/{_input_key(spark, sf_dir)}"
 
 
-@lru_cache(maxsize=16)
-def raw_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _materialized(spark, lambda: contract_raw(spark, sf_dir), f"{_layer_root(spark, sf_dir)}/raw")
+def raw_layer(spark: SparkSession, sf_dir: str, root: str | None = None) -> DataFrame:
+    root = root or _layer_root(spark, sf_dir)
+    return _materialized(spark, lambda: contract_raw(spark, sf_dir), f"{root}/raw")
 
 
-@lru_cache(maxsize=16)
 def typed_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _layer_root(spark, sf_dir)
     return _materialized(
         spark,
-        lambda: typed_contracts(raw_layer(spark, sf_dir)),
-        f"{_layer_root(spark, sf_dir)}/typed",
+        lambda: typed_contracts(raw_layer(spark, sf_dir, root)),
+        f"{root}/typed",
         partition_by=["issue_year"],
     ).select(*TYPED_COLUMNS)
 
 
-@lru_cache(maxsize=16)
 def cohort_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis_cohort(typed_layer(spark, sf_dir))
 
@@ -193,13 +201,17 @@ QUERIES: dict[str, Query] = {
     "quarter_trend_pivot": _on_cohort(stats.quarter_trend),
     "vintage_logit": _on_cohort(rounded_single_predictor),
     "vintage_logit_full": _on_cohort(vintage_logit),
+    "vintage_logit_totals": _on_cohort(fitted_totals),
+    "band_lookup": _on_cohort(lambda c: stats.band_shift(c).where(F.col("dti_band") == "30+")),
     # multi-scope claim validation
     "scope_metrics": _on_typed(claims.scope_metrics),
     "claim_status": _on_typed(_claim_status),
     "claim_verdict": _on_typed(_claim_verdict),
     "scope_reconcile": _scope_reconcile,
     "sensitivity_scope_metrics": _on_typed(lambda t: claims.scope_metrics(t, SCOPES + SENSITIVITY_SCOPES)),
+    "segment_scope_metrics": _on_typed(lambda t: claims.scope_metrics(t, (PRIMARY_SCOPE, *GRADE_SCOPES, *SUBGRADE_SCOPES))),
     "cohort_assertions": _on_cohort(quality.key_and_domain),
+    "audit_sample": lambda spark, d: audit_sample(driver_table(spark, d, "events").select("event_id", "ts"), "event_id", "ts", 0.1),
     # the same statistics on a second 2x2 input: toxic rate by quality label
     "labels_ztest": lambda spark, d: stats.group_proportion_test(driver_table(spark, d, "labels"), "quality", "toxic", 1, 0),
     "labels_logit": lambda spark, d: binary_logit(driver_table(spark, d, "labels"), "toxic", "quality", "toxic_by_quality"),

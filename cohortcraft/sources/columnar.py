@@ -24,17 +24,3 @@ def read_document(spark: SparkSession, path: str, schema: T.StructType | None =
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's Parquet tables (``{sf_dir}/{name}.parquet``)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than there are cores.
-
-    A file with a single row group is read by one task, which leaves the
-    row-wise parsing downstream on one core. Large inputs (many files or row
-    groups) already have enough splits and pass through untouched, so no
-    extra shuffle is added at scale.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df

@@ -36,6 +36,7 @@ def read_text(
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", mode)
+        .option("enforceSchema", False)  # a file whose header has another order fails instead of shifting columns
     )
     if columns is not None:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))

@@ -6,7 +6,8 @@ the Parquet file sink partitioned by ``issue_year``. The file sink's commit
 log makes the output exactly-once; the checkpoint lives under the shared
 ``spark.checkpoint.dir`` unless a location is given, so a restarted driver
 or lost executors resume where the last committed batch ended.
-``available_now`` processes everything present and stops (a scheduled
+A malformed record or a file with another header fails the batch, as in the
+batch build; nothing is dropped silently. ``available_now`` processes everything present and stops (a scheduled
 batch); otherwise the query keeps running with ``processing_time``.
 """
 
@@ -39,7 +40,8 @@ def land_raw_files(
         .option("multiLine", True)
         .option("quote", '"')
         .option("escape", '"')
-        .option("mode", "DROPMALFORMED")
+        .option("mode", "FAILFAST")
+        .option("enforceSchema", False)
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

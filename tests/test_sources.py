@@ -7,6 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from cohortcraft.operators.typed import TYPED_COLUMNS
 from cohortcraft.plans import jobs
 from cohortcraft.sources import sinks, text
 from cohortcraft.sources.contract import contract_raw
@@ -77,16 +78,19 @@ def test_layered_jobs_end_to_end(spark, tmp_path):
     assert doc["overall_portfolio"]["total_loans"] == cohort.count()
     assert doc["generated_at_utc"].endswith("+00:00")
     check = spark.read.option("header", True).csv(paths["cohort"] + "/governed_metrics_check")
-    assert check.count() == 17 and check.where("passed = 'false'").count() == 0
+    assert check.count() == 10 and check.where("passed = 'false'").count() == 0
     q = json.loads(open(out + "/typed/quality.json").read())
     assert sum(q["status_groups"].values()) == q["row_count"] == typed.count()
     assert {"name": "term_months", "type": "smallint", "nullable": True} in q["columns"]
     man = json.loads(open(paths["cohort"] + "/manifest.json").read())
     assert man["cohort_definition"]["term_months"] == 36 and man["row_count"] == cohort.count()
-    some = next(k for k in man["files"] if k.startswith("analysis_cohort/"))
-    local = os.path.join(paths["cohort"], some)
-    assert man["files"][some]["size_bytes"] == os.path.getsize(local)
-    assert man["files"][some]["sha256"] == hashlib.sha256(open(local, "rb").read()).hexdigest()
+    table = spark.read.parquet(out + "/cohort_files").collect()
+    assert man["file_count"] == len(table) and man["total_bytes"] == sum(r.size_bytes for r in table)
+    some = next(r for r in table if r.folder == "analysis_cohort")
+    local = os.path.join(paths["cohort"], some.folder, some.file)
+    assert some.size_bytes == os.path.getsize(local)
+    assert some.sha256 == hashlib.sha256(open(local, "rb").read()).hexdigest()
+    assert [c["name"] for c in q["columns"]] == list(TYPED_COLUMNS)  # layer order
     prof = json.loads(open(out + "/raw/profile.json").read())
     assert sum(prof["loan_status_distribution"].values()) == prof["row_count"]
     counts = list(prof["loan_status_distribution"].values())
@@ -107,7 +111,7 @@ def test_run_from_gzip_text(spark, tmp_path):
     raw.coalesce(1).write.option("header", True).option("escape", '"').option("compression", "gzip").csv(src)
     assert any(f.endswith(".csv.gz") for f in os.listdir(src))
     out = str(tmp_path / "out")
-    paths = jobs.run_from_text(spark, src, out, partitions=4)
+    paths = jobs.run_from_text(spark, src, out)
     landed = spark.read.parquet(paths["landed"])
     assert landed.count() == raw.count()
     from cohortcraft.operators.typed import typed_contracts as tc
@@ -121,3 +125,37 @@ def test_run_from_text_rejects_missing_columns(spark, tmp_path):
     _write(p, "id,loan_amnt\n1,5\n")
     with pytest.raises(ValueError):
         jobs.run_from_text(spark, str(p), str(tmp_path / "o"))
+
+
+def test_document_goes_to_a_uri(spark, tmp_path):
+    doc = spark.range(1).select(F.col("id").alias("n"))
+    sinks.write_document(doc, f"file://{tmp_path}/deep/doc.json")
+    assert json.loads((tmp_path / "deep" / "doc.json").read_text()) == {"n": 0}
+    with pytest.raises(Exception):
+        sinks.write_text(spark, f"file://{tmp_path}/deep/doc.json", "x", overwrite=False)
+
+
+def test_other_header_order_fails(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    _write(tmp_path / "in" / "a.csv", "a,b\n1,2\n")
+    _write(tmp_path / "in" / "b.csv", "b,a\n1,2\n")
+    with pytest.raises(Exception):
+        text.read_text(spark, str(tmp_path / "in"), columns=["a", "b"]).collect()
+
+
+def test_strict_jobs_stop_on_a_broken_output(spark, tmp_path):
+    out = str(tmp_path / "out")
+    paths = jobs.run_all(spark, contract_raw(spark, "/root/testdata/sf0.001"), out)
+    gold = paths["cohort"]
+    broken = text.read_typed_text(spark, f"{gold}/risk_by_grade").withColumn("total_loans", F.col("total_loans") + 1)
+    sinks.write_extract(spark.createDataFrame(broken.collect(), broken.schema), f"{gold}/risk_by_grade", single_file=True)
+    with pytest.raises(jobs.CheckFailed):
+        jobs.require(jobs.written_rollup_checks(spark, gold), "written rollups")
+    jobs.require(jobs.written_rollup_checks(spark, gold), "written rollups", strict=False)
+    stored = spark.read.parquet(f"{gold}/governed_metrics")
+    wrong = stored.withColumn("overall_total_loans", F.col("overall_total_loans") + 1)
+    sinks.write_columnar(spark.createDataFrame(wrong.collect(), wrong.schema), f"{gold}/governed_metrics")
+    with pytest.raises(jobs.CheckFailed):
+        jobs.require(jobs.metric_checks(spark, gold), "governed metrics")
+    with pytest.raises(RuntimeError):
+        jobs.claims_job(spark, paths["typed"] , gold, out)  # the governed row no longer agrees with the scope
