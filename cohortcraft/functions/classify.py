@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -138,7 +136,3 @@ def two_way(cond: Column, true_label: str, false_label: str) -> Column:
 def period_label(year: ColumnOrName, early_year: int = 2014, early: str = "2014", late: str = "2015") -> Column:
     """Two-period label: the early year, everything else (NULL too) is late."""
     return F.when(_col(year) == early_year, F.lit(early)).otherwise(F.lit(late))
-
-
-def any_of(*conds: Column) -> Column:
-    return reduce(lambda a, b: a | b, conds)

@@ -48,11 +48,6 @@ def pct(c: ColumnOrName, where: Column | None = None) -> Column:
     return F.lit(100.0) * mean(c, where)
 
 
-def share_pct(cond: Column) -> Column:
-    """Percentage of all rows where ``cond`` holds."""
-    return pct(indicator(cond, 1.0, 0.0))
-
-
 def round_to(c: ColumnOrName, digits: int = 2) -> Column:
     """``ROUND(x, d)`` of a double as the reference engine does it.
 

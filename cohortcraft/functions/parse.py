@@ -88,11 +88,20 @@ def quarter_label(d: ColumnOrName) -> Column:
     return F.concat(F.year(d).cast("string"), F.lit("-Q"), F.quarter(d).cast("string"))
 
 
+def plain_number(c: ColumnOrName) -> Column:
+    """Double -> shortest plain decimal text with at least one decimal (``12345678.5``, ``0.0001``).
+
+    Spark's cast switches to exponents at 1e7 and below 1e-3; a fingerprint
+    must not depend on that. Exact for magnitudes from 1e-4 up to 1e15.
+    """
+    digits = F.regexp_replace(_col(c).cast("decimal(38,18)").cast("string"), "0+$", "")
+    return F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+
+
 def row_fingerprint(*parts: ColumnOrName) -> Column:
     """md5 of the parts joined with ``|``; NULL parts count as empty text.
 
-    Doubles are rendered by Spark's cast; between 1e-3 and 1e7 that text is
-    the shortest round-trip form and agrees with other engines.
+    Parts are cast to text by Spark; pass doubles through ``plain_number``.
     """
     texts = [F.coalesce(_col(p).cast("string"), F.lit("")) for p in parts]
     return F.md5(F.concat_ws("|", *texts))

@@ -17,6 +17,7 @@ def audit_sample(answers: DataFrame, id_col: str, ts_col: str, fraction: float,
     """Rows kept with probability ``fraction`` per answer, tagged with their period start."""
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must be in [0, 1]")
-    u = (F.xxhash64(F.col(id_col).cast("string"), F.lit(seed)).bitwiseAND(F.lit((1 << 53) - 1))
-         / float(1 << 53))
+    # 52 bits of an md5, so any engine repeats the draw
+    digest = F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.lit(str(seed))))
+    u = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(1 << 52)
     return answers.where(u < fraction).withColumn("audit_period", F.date_trunc(period, F.col(ts_col)).cast("date"))

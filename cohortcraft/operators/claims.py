@@ -259,12 +259,6 @@ def claim_verdict(statuses: DataFrame) -> DataFrame:
     return g.withColumn("verdict", verdict)
 
 
-def wide_claims(statuses: DataFrame) -> DataFrame:
-    """Pivot the long claim statuses back to one column per claim."""
-    metrics = [m for m, _, _, _ in CLAIMS]
-    return statuses.groupBy("scope_id").pivot("metric", metrics).agg(F.first("status"))
-
-
 def scope_reconcile(metrics: DataFrame, governed: DataFrame | None = None, primary: str = "primary_gold") -> DataFrame:
     """Internal-consistency rules per scope, and primary scope vs governed metrics.
 

@@ -170,3 +170,18 @@ SENSITIVITY_SCOPES = (
         (2014, 2015),
     ),
 )
+
+
+def segment_scopes(column: str, values: tuple[str, ...]) -> tuple[Scope, ...]:
+    """The primary scope restricted to each value of a column (documented sensitivity check)."""
+    return tuple(
+        Scope(
+            f"primary_{column}_{v.lower()}", f"{PRIMARY_SCOPE.label}, {column} {v}", f"{PRIMARY_SCOPE.predicate} AND {column} = '{v}'",
+            True, f"Sensitivity: the primary scope within one {column}.", PRIMARY_SCOPE.years,
+        )
+        for v in values
+    )
+
+
+GRADE_SCOPES = segment_scopes("grade", tuple("ABCDEFG"))
+SUBGRADE_SCOPES = segment_scopes("sub_grade", tuple(f"{g}{k}" for g in "ABCDEFG" for k in range(1, 6)))

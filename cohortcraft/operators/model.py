@@ -39,31 +39,75 @@ def model_frame(cohort: DataFrame) -> DataFrame:
     )
 
 
-def fit_logit(frame: DataFrame, terms: tuple[str, ...], label: str = "default_flag") -> dict:
-    """Fit the GLM on a (persisted) model frame; returns coefficients and fit stats."""
+TOLERANCE, MAX_ITERATIONS = 1e-8, 50
+
+
+def cells(frame: DataFrame, terms: tuple[str, ...], label: str = "default_flag") -> DataFrame:
+    """One weighted row per combination of categorical terms and outcome.
+
+    The likelihood of a model without continuous terms depends on these
+    counts alone, so the fit runs over a handful of rows.
+    """
+    return frame.groupBy(*terms, label).agg(F.count("*").cast("double").alias("weight"))
+
+
+def fit_logit(frame: DataFrame, terms: tuple[str, ...], label: str = "default_flag", weight: str | None = None) -> dict:
+    """Fit the GLM; returns coefficients (in the terms' own units) and fit stats.
+
+    Continuous terms are standardised first, which lets the iteration reach
+    ``TOLERANCE`` in few passes; raises when it does not.
+    """
+    kinds = dict(frame.dtypes)
+    numeric = [t for t in terms if kinds[t] == "double"]
+    moments = frame.agg(
+        *(F.avg(t).alias(f"m_{t}") for t in numeric), *(F.stddev_pop(t).alias(f"s_{t}") for t in numeric),
+        (F.sum(weight) if weight else F.count("*")).alias("n"),
+    ).first()
+    wide = [t for t in numeric if t not in BASIC_TERMS and moments[f"s_{t}"]] if weight is None else []
+    scaled = frame.withColumns({t: (F.col(t) - moments[f"m_{t}"]) / moments[f"s_{t}"] for t in wide})
     formula = RFormula(
         formula=f"{label} ~ " + " + ".join(terms),
         featuresCol="features",
         labelCol="label",
         stringIndexerOrderType="alphabetDesc",
     )
-    features = formula.fit(frame).transform(frame).select("features", "label")
-    glm = GeneralizedLinearRegression(
-        family="binomial", link="logit", regParam=0.0, maxIter=50, tol=1e-6, featuresCol="features",
-        labelCol="label",
-    )
-    model = glm.fit(features)
-    summary = model.summary
-    names = [a["name"] for a in sorted(_attrs(features.schema["features"].metadata), key=lambda a: a["idx"])]
-    return {
-        "coefficients": list(model.coefficients),
-        "intercept": model.intercept,
-        "std_errors": list(summary.coefficientStandardErrors),
-        "deviance": summary.deviance,
-        "null_deviance": summary.nullDeviance,
-        "n_obs": summary.numInstances,
-        "names": names,
-    }
+    features = formula.fit(scaled).transform(scaled).select("features", "label", *([weight] if weight else []))
+    features = features.persist(StorageLevel.MEMORY_AND_DISK)  # every iteration reads it
+    try:
+        glm = GeneralizedLinearRegression(
+            family="binomial", link="logit", regParam=0.0, maxIter=MAX_ITERATIONS, tol=TOLERANCE, featuresCol="features",
+            labelCol="label",
+        )
+        model = (glm.setWeightCol(weight) if weight else glm).fit(features)
+        summary = model.summary
+        if summary.numIterations >= MAX_ITERATIONS:
+            raise RuntimeError(f"the fit of {terms} did not converge in {MAX_ITERATIONS} iterations")
+        names = [a["name"] for a in sorted(_attrs(features.schema["features"].metadata), key=lambda a: a["idx"])]
+        raw = dict(zip(names, model.coefficients, strict=True))
+        errors = list(summary.coefficientStandardErrors)
+        unit = {t: moments[f"s_{t}"] for t in wide}
+        return {
+            "coefficients": [raw[n] / unit.get(n, 1.0) for n in names],
+            "intercept": model.intercept - sum(raw[t] * moments[f"m_{t}"] / unit[t] for t in wide),
+            "std_errors": [e / unit.get(n, 1.0) for n, e in zip(names, errors, strict=False)] + errors[len(names):],
+            "deviance": summary.deviance,
+            "null_deviance": summary.nullDeviance,
+            "n_obs": int(round(moments["n"])),
+            "names": names,
+        }
+    finally:
+        features.unpersist()
+
+
+def fitted_probability(fit: dict) -> Column:
+    """The model's probability for a row of its frame."""
+    margin = F.lit(float(fit["intercept"]))
+    for name, c in zip(fit["names"], fit["coefficients"], strict=True):
+        if name.startswith("grade_"):
+            margin = margin + F.when(F.col("grade") == name.removeprefix("grade_"), float(c)).otherwise(0.0)
+        else:
+            margin = margin + float(c) * F.col(name)
+    return 1.0 / (1.0 + F.exp(-margin))
 
 
 def _attrs(meta: dict) -> list[dict]:
@@ -99,20 +143,27 @@ RESULT_SCHEMA = (
 )
 
 
+def _fits(frame: DataFrame, models: dict[str, tuple[str, ...]]) -> dict[str, dict]:
+    """Each model fitted: over weighted cells when it has no continuous term, else over the rows."""
+    out = {}
+    for name, terms in models.items():
+        if set(terms) <= set(BASIC_TERMS):
+            out[name] = fit_logit(cells(frame, terms), terms, weight="weight")
+        else:
+            out[name] = fit_logit(frame, terms)
+    return out
+
+
+MODELS = {"grade_only": BASIC_TERMS, "grade_and_controls": FULL_TERMS}
+
+
 def vintage_logit(cohort: DataFrame, models: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """One row per model: the vintage odds ratio and fit statistics.
 
     Runs the fits (actions) and returns a result-sized DataFrame.
     """
-    models = models or {"grade_only": BASIC_TERMS, "grade_and_controls": FULL_TERMS}
-    # Seven numeric/short columns per contract, shared by every fit; each IRLS
-    # iteration re-reads it, so it is persisted (spilling to disk if needed)
-    # instead of recomputing the cohort lineage per pass.
-    frame = model_frame(cohort).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows = [odds_ratio_row(fit_logit(frame, terms), label) for label, terms in models.items()]
-    finally:
-        frame.unpersist()
+    frame = model_frame(cohort)
+    rows = [odds_ratio_row(fit, label) for label, fit in _fits(frame, models or MODELS).items()]
     return cohort.sparkSession.createDataFrame(
         [tuple(r[k] for k in ("model", "coefficient", "std_error", "odds_ratio", "or_ci95_low", "or_ci95_high",
                               "z_stat", "p_value", "p_value_display", "pseudo_r2", "n_obs")) for r in rows],
@@ -120,6 +171,35 @@ def vintage_logit(cohort: DataFrame, models: dict[str, tuple[str, ...]] | None =
     )
 
 
+def fitted_totals(cohort: DataFrame, models: dict[str, tuple[str, ...]] | None = None, digits: int = 2) -> DataFrame:
+    """(model, term, level, total): fitted defaults per period and grade, and fitted covariate sums.
+
+    At the maximum of the likelihood these equal the observed totals, term by
+    term, so a wrong fit of any coefficient shows here.
+    """
+    frame = model_frame(cohort)
+    out = None
+    for name, terms in _fits_terms(frame, models or MODELS):
+        fit, used = terms
+        rows = frame.withColumn("_p", fitted_probability(fit))
+        continuous = [t for t in used if t not in BASIC_TERMS]
+        sums = rows.groupBy("late", "grade").agg(F.sum("_p").alias("_p"), *(F.sum(F.col("_p") * F.col(t)).alias(t) for t in continuous))
+        parts = [
+            sums.groupBy(F.lit("late").alias("term"), F.col("late").cast("int").cast("string").alias("level")).agg(F.sum("_p").alias("total")),
+            sums.groupBy(F.lit("grade").alias("term"), F.col("grade").alias("level")).agg(F.sum("_p").alias("total")),
+            *(sums.groupBy(F.lit(t).alias("term"), F.lit("all").alias("level")).agg(F.sum(t).alias("total")) for t in continuous),
+        ]
+        for part in parts:
+            row = part.select(F.lit(name).alias("model"), "term", "level", round_to("total", digits).alias("total"))
+            out = row if out is None else out.unionByName(row)
+    return out
+
+
+def _fits_terms(frame: DataFrame, models: dict[str, tuple[str, ...]]):
+    fits = _fits(frame, models)
+    return [(name, (fits[name], terms)) for name, terms in models.items()]
+
+
 def rounded_single_predictor(cohort: DataFrame, digits: int = 4) -> DataFrame:
     """``default_flag ~ late`` fitted by the GLM, rounded for comparison."""
     df = vintage_logit(cohort, {"late_only": ("late",)})
@@ -138,11 +218,9 @@ def binary_logit(df: DataFrame, label: str, predictor: str, model_label: str, di
     """``label ~ predictor`` for a 0/1 predictor on any table: odds ratio, Wald CI, SE, fit."""
     frame = df.where(F.col(label).isNotNull() & F.col(predictor).isNotNull()).select(
         F.col(label).cast("double").alias(label), F.col(predictor).cast("double").alias(predictor)
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        row = odds_ratio_row(fit_logit(frame, (predictor,), label=label), model_label, term=predictor)
-    finally:
-        frame.unpersist()
+    )
+    fit = fit_logit(cells(frame, (predictor,), label), (predictor,), label=label, weight="weight")
+    row = odds_ratio_row(fit, model_label, term=predictor)
     out = df.sparkSession.createDataFrame([tuple(row[k] for k in ("model", "coefficient", "std_error", "odds_ratio",
         "or_ci95_low", "or_ci95_high", "z_stat", "p_value", "p_value_display", "pseudo_r2", "n_obs"))], RESULT_SCHEMA)
     return out.select(

@@ -221,9 +221,14 @@ def maturity(typed: DataFrame) -> DataFrame:
 
 
 def table_fingerprint(df: DataFrame, hash_col: str = "record_hash") -> DataFrame:
-    """Order-independent content digest: row count and XOR of 60-bit hash prefixes."""
-    part = F.conv(F.substring(F.col(hash_col), 1, 15), 16, 10).cast("long")
-    return df.agg(n_rows().alias("rows"), F.bit_xor(part).alias("xor_digest"), F.sum(part.cast("decimal(38,0)")).alias("sum_digest"))
+    """Order-independent content digest: row count, XOR and sum of both 64-bit halves of each hash."""
+    halves = {"high": F.substring(F.col(hash_col), 1, 16), "low": F.substring(F.col(hash_col), 17, 16)}
+    xor = lambda h: F.lpad(F.lower(F.hex(F.bit_xor(F.conv(h, 16, -10).cast("long")))), 16, "0")
+    return df.agg(
+        n_rows().alias("rows"),
+        *(xor(h).alias(f"xor_{k}") for k, h in halves.items()),
+        *(F.sum(F.conv(h, 16, 10).cast("decimal(20,0)")).cast("decimal(38,0)").alias(f"sum_{k}") for k, h in halves.items()),
+    )
 
 
 def schema_rows(df: DataFrame) -> list[tuple[str, str, bool]]:

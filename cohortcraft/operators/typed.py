@@ -13,6 +13,7 @@ from cohortcraft.functions.parse import (
     ordinal_years,
     percent,
     quarter_label,
+    plain_number,
     row_fingerprint,
     to_double,
     to_int,
@@ -79,7 +80,7 @@ def typed_contracts(raw: DataFrame, taxonomy: StatusTaxonomy = TAXONOMY) -> Data
     p = _parsed(raw).where(F.col("issue_date").isNotNull() & F.col("loan_status").isNotNull())
     status = F.col("loan_status")
     derived = {
-        "record_hash": row_fingerprint("loan_id", "issue_date", "loan_amount", "grade", "sub_grade", "loan_status"),
+        "record_hash": row_fingerprint("loan_id", "issue_date", plain_number("loan_amount"), "grade", "sub_grade", "loan_status"),
         "is_grade_de": in_set_or_false("grade", LOW_GRADES),
         "issue_year": F.year("issue_date"),
         "issue_quarter": quarter_label("issue_date"),

@@ -80,6 +80,15 @@ def test_band_shift_total_includes_dropped_band(spark):
     assert rows["30+"].portfolio_share_pct == 50.0 and rows["< 10"].portfolio_share_pct == 25.0
 
 
+def test_tail_column_equals_erfc(spark):
+    zs = [0.0, 1e-3, 0.5, 1.0, 1.959963984540054, 2.4999, 2.5, 3.3, 6.0, 12.0, 25.0, 37.0]
+    zs += [-z for z in zs]
+    for alternative in ("two-sided", "larger", "smaller"):
+        rows = spark.createDataFrame([(z, alternative) for z in zs], "z double, a string")
+        for r in rows.select("z", stats.tail_probability(F.col("z"), F.col("a")).alias("p")).collect():
+            assert r.p == pytest.approx(stats.p_value(r.z, alternative), rel=1e-10)
+
+
 def test_p_value_tails():
     assert stats.p_value(0.0, "two-sided") == pytest.approx(1.0)
     assert stats.p_value(1.959963984540054, "two-sided") == pytest.approx(0.05, rel=1e-9)
