@@ -17,8 +17,8 @@ from __future__ import annotations
 
 import numpy as np
 
-D, SPAN, CLASSES = 8, 16, 64
-BLOCK = 8192
+D, SPAN, CLASSES = 16, 8, 256
+BLOCK = 2048
 _PARTS = ("E", "Q", "K", "V", "b", "A", "B", "a", "O", "o")
 
 
@@ -68,10 +68,9 @@ def _forward(p: dict, ids: np.ndarray, place: np.ndarray) -> dict:
 def class_log_probabilities(p: dict, ids: np.ndarray, place: np.ndarray, target: np.ndarray, skip: int) -> np.ndarray:
     """ln P(class of the next symbol) after symbols ``skip``.. of the block."""
     h = _forward(p, ids, place)["h"][:, skip:]
-    z = h.T @ p["O"] + p["o"]
-    top = z.max(axis=1)
-    rows = np.arange(len(z))
-    return z[rows, target[skip:]] - top - np.log(np.exp(z - top[:, None]).sum(axis=1))
+    z = p["O"].T @ h + p["o"][:, None]  # |h| < 1 bounds z, so exp needs no shift
+    own = z[target[skip:], np.arange(z.shape[1])]
+    return own - np.log(np.exp(z, out=z).sum(axis=0))
 
 
 def sequences(ids: np.ndarray, first: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -132,7 +131,7 @@ def gradient(p: dict, ids: np.ndarray, place: np.ndarray, target: np.ndarray) ->
     return loss, g, own
 
 
-def train(p: dict, texts: list[np.ndarray], end: int, class_of: np.ndarray, step: float, size: int = 2048) -> tuple[dict, float]:
+def train(p: dict, texts: list[np.ndarray], end: int, class_of: np.ndarray, step: float, size: int = 512) -> tuple[dict, float]:
     """One pass of adaptive gradient steps over ``texts``; returns the parameters and the mean loss."""
     p = {k: v.copy() for k, v in p.items()}
     squares = {k: np.full(v.shape, 1e-6, np.float32) for k, v in p.items()}
@@ -189,4 +188,4 @@ def neighbour_classes(texts: list[np.ndarray], counts: np.ndarray, end: int, cla
 def in_class_logs(counts: np.ndarray, class_of: np.ndarray) -> np.ndarray:
     """ln P(id | class) from corpus counts, one added to each."""
     plus = counts.astype(np.float64) + 1
-    return np.log(plus) - np.log(np.bincount(class_of, plus, CLASSES))[class_of]
+    return np.log(plus) - np.log(np.maximum(np.bincount(class_of, plus, CLASSES), 1))[class_of]

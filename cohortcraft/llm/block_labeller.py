@@ -8,9 +8,9 @@ as content are joined in page order.
 There are no labelled blocks, so the network is fitted on weak labels: on a
 bounded draw of pages (``LIMIT``), names of a block's path that mean content or
 boilerplate by convention label it. While fitting, these names are exchanged
-for others of the same meaning and sometimes hidden, so that the network knows
-conventions that the drawn pages do not use and falls back on words, shape and
-neighbours.
+for others of the same meaning and sometimes hidden, and boilerplate with other
+pages' words is put in, so that the network knows conventions that the drawn
+pages do not use and falls back on words, shape and neighbours.
 
 Defined cases: null or empty page, or no content block: empty text. A page is
 never cut; nothing is dropped but blocks labelled as boilerplate. Repeated
@@ -222,37 +222,53 @@ class Batch:
 
 def _exchanged(page: list[Block], rng: np.random.Generator) -> list[list[int]]:
     """Path slots of a page with names swapped for others of the same meaning (one draw per name and page)."""
-    other: dict[str, str] = {}
+    other: dict[str, tuple[str, ...]] = {}
     out = []
     for b in page:
-        names = []
+        names: list[str] = []
         for n in b.path:
             if n in _CONTENT or n in _BOILERPLATE:
                 if n not in other:
                     pool = CONTENT_NAMES if n in _CONTENT else BOILERPLATE_NAMES
-                    other[n] = n if rng.random() < 0.4 else pool[rng.integers(len(pool))]
-                names.append(other[n])
+                    chosen = n if rng.random() < 0.25 else pool[rng.integers(len(pool))]
+                    other[n] = (("div", "section")[rng.integers(2)], chosen) if chosen[0] == "." and n[0] != "." else (chosen,)
+                names.extend(other[n])
             else:
                 names.append(n)
         out.append(_path_slots(tuple(names)))
     return out
 
 
+_INNER = ((), ("p",), ("div",), ("div", "p"), ("ul", "li"), ("section", "p"), ("span",))
+
+
+def _with_boilerplate(page: list[Block], other: list[Block], rng: np.random.Generator) -> list[Block]:
+    """The page with some boilerplate added whose words are those of another page (as in readers' comments)."""
+    out = list(page)
+    for _ in range(int(rng.integers(0, 4))):
+        mark = BOILERPLATE_NAMES[rng.integers(len(BOILERPLATE_NAMES))]
+        marked = (("div", "section", "ul", "p")[rng.integers(4)], mark) if mark[0] == "." else (mark,)
+        inside = out[rng.integers(len(out))].path[:-1] if rng.random() < 0.3 else ("html", "body")
+        block = other[rng.integers(len(other))]
+        out.insert(int(rng.integers(len(out) + 1)), Block((*inside, *marked, *_INNER[rng.integers(len(_INNER))]), block.text, block.link_chars))
+    return out
+
+
 def train(pages: list[list[Block]], epochs: int = 12, size: int = 16, step: float = 0.02, seed: int = 3) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
     p = initial()
     first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
-    labels = [np.array([weak_label(b.path) for b in page], float) for page in pages]
     order = np.argsort([len(x) for x in pages], kind="stable")
     groups = [order[i : i + size] for i in range(0, len(order), size)]
     t = 0
     for epoch in range(epochs):
         rate = step * 0.5 ** (epoch // 4)
         for k in rng.permutation(len(groups)):
-            chosen = [pages[i] for i in groups[k]]
+            chosen = [_with_boilerplate(pages[i], pages[rng.integers(len(pages))], rng) for i in groups[k]]
+            labels = [weak_label(b.path) for page in chosen for b in page]
             paths = [x for page in chosen for x in _exchanged(page, rng)]
             hide = (rng.random(len(paths)) < 0.03).astype(float)
-            _, g = Batch(chosen, paths, hide).gradient(p, np.concatenate([labels[i] for i in groups[k]]))
+            _, g = Batch(chosen, paths, hide).gradient(p, np.array(labels, float))
             t += 1
             for name in p:
                 first[name] = 0.9 * first[name] + 0.1 * g[name]

@@ -2,7 +2,8 @@
 
 ``fit`` learns from the training rows: word counts and subword counts over all
 of them, classes and attention weights from a hash draw of one text in
-``DRAW`` (so what it reads grows with the corpus). The attention model is
+``DRAW``, but about ``LEAST_DRAWN`` texts at least (so what it reads grows with
+the corpus). The attention model is
 trained in rounds: every partition of a round's texts runs its own pass from
 the same parameters and the results are averaged by number of symbols, summed
 on the executors. ``scored`` gives each whole text its base score (smoothed
@@ -33,8 +34,8 @@ from cohortcraft.llm.storage import written
 from cohortcraft.llm.subwords import encoder
 
 HEAD = 1 << 18
-DRAW = 24
-ROUNDS = 2
+DRAW, LEAST_DRAWN = 48, 3000
+ROUNDS, EPOCHS = 2, 3
 TRAINER_TEXTS = 1500
 """Texts that one training pass takes, about."""
 
@@ -185,7 +186,9 @@ def _trainer(shared, step: float):
             texts += [np.frombuffer(x, m.dtype) for x in batch.column("ids").to_pylist()]
         if not texts:
             return
-        p, _ = A.train(m.parameters, texts, m.end, m.class_of, step)
+        p = m.parameters
+        for _ in range(EPOCHS):
+            p, _ = A.train(p, texts, m.end, m.class_of, step)
         flat, weight = A.pack(p).astype(np.float64), float(sum(len(t) + 1 for t in texts))
         pieces = range(0, len(flat), _PIECE)
         yield pa.RecordBatch.from_arrays(
@@ -209,7 +212,8 @@ def fit_model(encoded: DataFrame, vocabulary: int, dtype: str) -> Model:
     for r in sums.collect():  # one row per subword id
         counts[r["i"]] = r["n"]
     counts[end] = encoded.count()
-    drawn = encoded.where(F.pmod(F.col("key"), F.lit(DRAW)) == 0).select("key", "ids")
+    rate = min(1.0, max(1 / DRAW, LEAST_DRAWN / max(1, int(counts[end]))))
+    drawn = encoded.where(F.pmod(F.col("key"), F.lit(1 << 24)) < int(rate * (1 << 24))).select("key", "ids")
     n_drawn = drawn.count()
     first = drawn.orderBy("key").limit(TRAINER_TEXTS).select("ids").toArrow()["ids"].to_pylist()  # bounded: names the classes only
     class_of = A.neighbour_classes([np.frombuffer(x, dtype) for x in first], counts, end)

@@ -11,14 +11,14 @@ def _docs(n=400):
 def test_shards_are_even_and_slots_gapless(spark, docs_of, monkeypatch):
     monkeypatch.setattr(kd_shards, "SLOT_BLOCK", 10)
     pairs = _docs()
-    rows = kd_shards.shard(docs_of(pairs), shards=24).collect()
+    rows = kd_shards.shard(docs_of(pairs), shards=6).collect()
     assert len(rows) == len(pairs)
     sizes, slots = {}, {}
     for r in rows:
         sizes[r.shard] = sizes.get(r.shard, 0) + r.size
         slots.setdefault(r.shard, []).append(r.slot)
-    assert sorted(sizes) == list(range(24))
-    mean = sum(sizes.values()) / 24
+    assert sorted(sizes) == list(range(6))
+    mean = sum(sizes.values()) / 6
     assert max(sizes.values()) <= 1.1 * mean + 910 and min(sizes.values()) >= 0.9 * mean - 910
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     known = {(i, zlib.crc32((t or "").encode())): len((t or "").encode()) + 8 for i, t in pairs}
@@ -29,8 +29,8 @@ def test_target_bytes_fix_the_leaves_and_edges(spark, docs_of):
     docs = docs_of(_docs(100))
     total = sum(r.size for r in kd_shards.shard(docs, shards=1).collect())
     assert kd_shards.shard(docs, target_bytes=total // 5 + 1).select("shard").distinct().count() == 5
-    assert kd_shards.shard(docs.limit(0), shards=24).count() == 0
-    few = kd_shards.shard(docs_of([(1, "a"), (2, "b")]), shards=24).collect()
+    assert kd_shards.shard(docs.limit(0), shards=4).count() == 0
+    few = kd_shards.shard(docs_of([(1, "a"), (2, "b")]), shards=4).collect()
     assert len(few) == 2 and all(r.slot == 0 for r in few) or len({r.shard for r in few}) == 1
 
 
