@@ -60,6 +60,15 @@ def _i(x: Column) -> Column:
     return x.cast("int")
 
 
+def _once(x: Column) -> Column:
+    """``x``, computed where it stands.
+
+    The condition always holds; being non-deterministic it keeps the optimiser
+    from copying ``x`` into every later use, such as a filter on the verdict.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, x)
+
+
 def _with_words(docs: DataFrame, text: str) -> DataFrame:
     trimmed = F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(SEPARATORS))
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, _SPLIT))
@@ -85,8 +94,8 @@ def _candidates(df: DataFrame) -> DataFrame:
     pairs = F.sort_array(F.transform(at, lambda i: F.struct(window_hash(i).alias("h"), i.alias("i"))))
     df = df.withColumns(
         {
-            "_packed": F.when(n <= _POSITIONS, packed).otherwise(F.array().cast("array<bigint>")),
-            "_pairs": F.when(n > _POSITIONS, pairs).otherwise(F.array().cast("array<struct<h:bigint,i:int>>")),
+            "_packed": _once(F.when(n <= _POSITIONS, packed).otherwise(F.array().cast("array<bigint>"))),
+            "_pairs": _once(F.when(n > _POSITIONS, pairs).otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))),
         }
     )
     p, q = F.col("_packed"), F.col("_pairs")
@@ -104,7 +113,7 @@ def _candidates(df: DataFrame) -> DataFrame:
         F.transform(in_packed, lambda x: _i(x.bitwiseAND(F.lit(_POSITIONS - 1)))),
         F.transform(in_pairs, lambda x: x["i"]),
     )
-    return df.withColumn("_pos", positions)
+    return df.withColumn("_pos", _once(positions))
 
 
 def _repeated(df: DataFrame) -> DataFrame:
@@ -113,16 +122,16 @@ def _repeated(df: DataFrame) -> DataFrame:
     grams = F.sort_array(
         F.transform(F.col("_pos"), lambda i: F.struct(F.concat_ws(" ", w[i], w[i + 1], w[i + 2]).alias("g"), i.alias("i")))
     )
-    df = df.withColumn("_grams", grams)
+    df = df.withColumn("_grams", _once(grams))
     g, last = F.col("_grams"), F.size("_grams") - 1
     twice = F.filter(
         g,
         lambda x, k: ((k > 0) & (F.get(g, k - 1)["g"] == x["g"])) | ((k < last) & (F.get(g, k + 1)["g"] == x["g"])),
     )
-    df = df.withColumn("_twice", F.sort_array(F.transform(twice, lambda x: x["i"])))
+    df = df.withColumn("_twice", _once(F.sort_array(F.transform(twice, lambda x: x["i"]))))
     t, end = F.col("_twice"), F.size("_twice") - 1
     covered = F.transform(t, lambda x, k: F.when(k == end, F.lit(3)).otherwise(F.least(F.lit(3), F.get(t, k + 1) - x)))
-    return df.withColumn("n_repeat_words", F.aggregate(covered, F.lit(0).cast("long"), lambda a, x: a + x))
+    return df.withColumn("n_repeat_words", _once(F.aggregate(covered, F.lit(0).cast("long"), lambda a, x: a + x)))
 
 
 def verdict(rules: tuple[Rule, ...] = RULES) -> Column:
@@ -146,12 +155,12 @@ def quality_rules(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
     per_word = lambda x: x / F.greatest(F.size("_w"), F.lit(1))
     df = df.withColumns(
         {
-            "n_words": n,
-            "word_chars": F.char_length(F.array_join("_w", "")).cast("long"),
-            "n_symbols": F.regexp_count(body, F.lit(SYMBOLS)).cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
+            "n_words": _once(n),
+            "word_chars": _once(F.char_length(F.array_join("_w", "")).cast("long")),
+            "n_symbols": _once(F.regexp_count(body, F.lit(SYMBOLS)).cast("long")),
+            "n_dup_lines": _once((F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long")),
             "_n_lines": F.size("_lines").cast("long"),
-            "n_stop_words": F.size(F.filter("_w", lambda x: x.isin(stop))).cast("long"),
+            "n_stop_words": _once(F.size(F.filter("_w", lambda x: x.isin(stop))).cast("long")),
             "_n_shouts": F.regexp_count(body, F.lit("!")).cast("long"),
         }
     )
