@@ -20,7 +20,7 @@ def test_changed_input_is_seen_in_the_same_session(spark, tmp_path):
     d = _inputs(tmp_path)
     before = catalog.typed_layer(spark, d).count()
     half = spark.read.parquet(f"{SMOKE}/orders.parquet").where("o_orderkey % 2 = 0").toPandas()
-    half.to_parquet(f"{d}/orders.parquet")
+    half.to_parquet(f"{d}/orders.parquet", coerce_timestamps="us")
     after = catalog.typed_layer(spark, d).count()
     assert 0 < after < before
 
