@@ -78,7 +78,8 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str =
     """
     marked = written(near_duplicates(docs, id_col, text, percent, k, banding), "near-duplicates")
     dropped = marked.where(F.col(id_col).isNotNull() & ~F.col("kept")).select(id_col).distinct()
-    left = docs.join(dropped, id_col, "left_anti").select(*docs.columns)
+    # dealt by id at every size (no switch between join forms); the ids are hashed, texts are not sorted
+    left = docs.join(dropped.hint("shuffle_hash"), id_col, "left_anti").select(*docs.columns)
     again = marked.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col)
     if again.isEmpty():
         return left
