@@ -21,7 +21,7 @@ from tokenizers import Tokenizer
 
 from cohortcraft.llm import kernels as K
 
-CACHE = 600_000
+CACHE = 400_000
 """Distinct words, and distinct pieces, that a worker keeps; beyond it the cache starts anew (results do not change)."""
 
 # Precomposed Latin-1 letters, then ASCII signs but the apostrophe (which opens contractions).
@@ -43,52 +43,51 @@ class Encoder:
         self.slot: dict[bytes, int] = {}
         self.ids, self.lengths = array("I"), array("I")
 
-    def _piece(self, piece: str) -> list[int]:
+    def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
             if len(self.pieces) >= CACHE:
                 self.pieces.clear()
-            ids = self.pieces[piece] = [x.id for x in self.tokenizer.model.tokenize(piece.translate(self.spelling))]
+            ids = self.pieces[piece] = array("I", [x.id for x in self.tokenizer.model.tokenize(piece.translate(self.spelling))]).tobytes()
         return ids
 
-    def word(self, word: str) -> list[int]:
-        """Ids of a text without ASCII white space inside."""
+    def word(self, word: str) -> bytes:
+        """Ids (32 bits each) of a text without ASCII white space inside."""
         t = self.tokenizer
         if "<" in word and any(s in word for s in self.special):
-            return t.encode(word, add_special_tokens=False).ids
+            return array("I", t.encode(word, add_special_tokens=False).ids).tobytes()
         plain = _PLAIN.fullmatch(word)
         if plain:
             letters, signs = plain.groups()
             ids = self._piece(letters.lower())
             return ids + self._piece(signs) if signs else ids
         normal = t.normalizer.normalize_str(word)
-        return [x.id for piece, _ in t.pre_tokenizer.pre_tokenize_str(normal) for x in t.model.tokenize(piece)]
+        return array("I", [x.id for piece, _ in t.pre_tokenizer.pre_tokenize_str(normal) for x in t.model.tokenize(piece)]).tobytes()
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids uint32, first): ids of every text, one after the other; a null has none."""
         data, offsets = K.buffer(column)
-        _, _, first = K.words(data, offsets)
-        words = np.insert(data, offsets[1:-1], 0x20).tobytes().split()  # a space between texts
+        start, end, first = K.words(data, offsets)
+        # equal words of the batch are looked up once
+        _, spot, which = np.unique(K.word_hashes(data, start, end), return_index=True, return_inverse=True)
+        raw = data.tobytes()
         if len(self.slot) >= CACHE:
             self._reset()
-        slot = self.slot
-        slots = list(map(slot.get, words))
-        if None in slots:
-            for k, at in enumerate(slots):
-                if at is None:
-                    word = words[k]
-                    at = slot.get(word)
-                    if at is None:
-                        ids = self.word(word.decode("utf-8"))
-                        at = slot[word] = len(self.lengths)
-                        self.ids.extend(ids)
-                        self.lengths.append(len(ids))
-                    slots[k] = at
-        at = np.array(slots, np.int64)
+        slot, slots = self.slot, []
+        for a, b in zip(start[spot].tolist(), end[spot].tolist(), strict=True):
+            word = raw[a:b]
+            at = slot.get(word)
+            if at is None:
+                ids = self.word(word.decode("utf-8"))
+                at = slot[word] = len(self.lengths)
+                self.ids.frombytes(ids)
+                self.lengths.append(len(ids) // 4)
+            slots.append(at)
+        at = np.array(slots, np.int64)[which.reshape(-1)] if slots else np.zeros(0, np.int64)
         lengths = np.array(self.lengths, np.int64)
-        begin = np.concatenate([[0], np.cumsum(lengths)])
+        begin = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
         sizes = lengths[at]
-        out = np.concatenate([[0], np.cumsum(sizes)])
+        out = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
         where = np.arange(out[-1]) - np.repeat(out[:-1] - begin[at], sizes)
         return np.array(self.ids, np.uint32)[where], out[first]
 
