@@ -21,7 +21,7 @@ from tokenizers import Tokenizer
 
 from cohortcraft.llm import kernels as K
 
-CACHE = 400_000
+CACHE = 250_000
 """Distinct words, and distinct pieces, that a worker keeps; beyond it the cache starts anew (results do not change)."""
 
 # Precomposed Latin-1 letters, then ASCII signs but the apostrophe (which opens contractions).
