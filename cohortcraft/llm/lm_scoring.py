@@ -222,7 +222,7 @@ def fit_model(encoded: DataFrame, vocabulary: int, dtype: str) -> Model:
     turn = F.pmod(F.shiftright("key", 32), F.lit(ROUNDS))
     for k in range(ROUNDS):
         shared = context.broadcast(model)
-        texts = drawn.where(turn == k).repartition(trainers, "key").sortWithinPartitions("key")
+        texts = drawn.where(turn == k).repartition(trainers).sortWithinPartitions("key")
         rows = texts.mapInArrow(_trainer(shared, 0.1), "piece int, weight double, values binary")
         partial = written(rows, "trained")
         kind = "piece int, weight double, values binary"
