@@ -29,7 +29,7 @@ from cohortcraft.llm.storage import written
 DIMENSIONS = ("n_chars", "lang", "source")
 GRID_BITS = 30
 TIE_BITS = 32
-BINS = 4096
+BINS = 1 << 15
 SLOT_BLOCK = 50_000
 """Rows of a shard, on average, that one task numbers."""
 
@@ -130,7 +130,7 @@ def _split(points: DataFrame, root: Node, open_: list[Node], n_dims: int, tolera
                 s.update(lo=b_lo, hi=b_hi, before=below)
 
 
-def kd_tree(points: DataFrame, shards: int, n_dims: int, tolerance: float = 1e-4) -> Node:
+def kd_tree(points: DataFrame, shards: int, n_dims: int, tolerance: float = 1e-3) -> Node:
     root = Node(shards, 0)
     open_ = [root]
     while open_ := [n for n in open_ if n.leaves > 1]:
