@@ -1,12 +1,10 @@
 """LM scoring: corpus counts and a causal self-attention model over subword ids.
 
-``fit`` learns from the training rows: word counts and subword counts over all
-of them, classes and attention weights from a hash draw of one text in
-``DRAW``, but about ``LEAST_DRAWN`` texts at least (so what it reads grows with
-the corpus). The attention model is
-trained in rounds: every partition of a round's texts runs its own pass from
-the same parameters and the results are averaged by number of symbols, summed
-on the executors. ``scored`` gives each whole text its base score (smoothed
+``fit`` learns from the training rows: word counts, subword counts and
+attention weights over all of them, classes from the first ``CLASS_TEXTS`` by
+hash. The attention model is trained in rounds that share out the texts by a hash: every partition of a
+round's texts runs its own pass from the same parameters and the results are
+averaged by number of symbols, summed on the executors. ``scored`` gives each whole text its base score (smoothed
 word unigrams) and the model's log10 probability.
 
 Word counts are joined, not broadcast: only the words that occur most, at most
@@ -34,10 +32,12 @@ from cohortcraft.llm.storage import written
 from cohortcraft.llm.subwords import encoder
 
 HEAD = 1 << 18
-DRAW, LEAST_DRAWN = 48, 3000
 ROUNDS, EPOCHS = 2, 3
-TRAINER_TEXTS = 1500
-"""Texts that one training pass takes, about."""
+TRAINER_IDS = 4 << 20
+"""Subword ids that one training pass takes, about."""
+
+CLASS_TEXTS = 1500
+"""Texts that name the classes."""
 
 SLICE = 2 << 20
 _PIECE = 1 << 15  # parameters in one row of a training result
@@ -212,17 +212,14 @@ def fit_model(encoded: DataFrame, vocabulary: int, dtype: str) -> Model:
     for r in sums.collect():  # one row per subword id
         counts[r["i"]] = r["n"]
     counts[end] = encoded.count()
-    rate = min(1.0, max(1 / DRAW, LEAST_DRAWN / max(1, int(counts[end]))))
-    drawn = encoded.where(F.pmod(F.col("key"), F.lit(1 << 24)) < int(rate * (1 << 24))).select("key", "ids")
-    n_drawn = drawn.count()
-    first = drawn.orderBy("key").limit(TRAINER_TEXTS).select("ids").toArrow()["ids"].to_pylist()  # bounded: names the classes only
+    first = encoded.select("key", "ids").orderBy("key").limit(CLASS_TEXTS).select("ids").toArrow()["ids"].to_pylist()  # bounded: names the classes only
     class_of = A.neighbour_classes([np.frombuffer(x, dtype) for x in first], counts, end)
     model = Model(A.pack(A.initial(end + 1)), class_of, A.in_class_logs(counts, class_of), end, dtype)
-    trainers = max(1, -(-n_drawn // (ROUNDS * TRAINER_TEXTS)))
+    trainers = max(1, -(-int(counts.sum()) // (ROUNDS * TRAINER_IDS)))
     turn = F.pmod(F.shiftright("key", 32), F.lit(ROUNDS))
     for k in range(ROUNDS):
         shared = context.broadcast(model)
-        texts = drawn.where(turn == k).repartition(trainers).sortWithinPartitions("key")
+        texts = encoded.where(turn == k).repartition(trainers).sortWithinPartitions("key")
         rows = texts.mapInArrow(_trainer(shared, 0.1), "piece int, weight double, values binary")
         partial = written(rows, "trained")
         kind = "piece int, weight double, values binary"

@@ -108,3 +108,18 @@ def test_edges(spark, docs_of):
     assert lm_scoring.scored(docs_of([]), F.lit(False), PATH).count() == 0
     rows = lm_scoring.scored(docs_of([(1, None), (None, "a b"), (1, None)]), F.lit(True), PATH).collect()
     assert sorted(r.n_tokens for r in rows) == [1, 1, 3] and all(r.n_known == 0 and r.train_tokens == 0 for r in rows)
+
+
+def test_training_takes_every_row(spark, docs_of, monkeypatch):
+    keep, trained = lm_scoring.written, []
+
+    def watched(df, name):
+        out = keep(df, name)
+        if name == "trained":
+            trained.append(out)
+        return out
+
+    monkeypatch.setattr(lm_scoring, "written", watched)
+    rows = spark.range(4000).select(F.xxhash64("id").alias("key"), F.lit(b"\x01\x00\x02\x00").alias("ids"))
+    lm_scoring.fit_model(rows, 100, "<u2")
+    assert sum(t.where("piece = 0").agg(F.sum("weight")).first()[0] or 0 for t in trained) == 4000 * 3
