@@ -18,6 +18,9 @@ from __future__ import annotations
 import numpy as np
 
 D, SPAN, CLASSES = 16, 8, 256
+PROFILE = 48
+"""Numbers that describe an id's neighbours."""
+
 BLOCK = 2048
 _PARTS = ("E", "Q", "K", "V", "b", "A", "B", "a", "O", "o")
 
@@ -150,22 +153,30 @@ def train(p: dict, texts: list[np.ndarray], end: int, class_of: np.ndarray, step
     return p, float(np.mean(losses))
 
 
-def neighbour_classes(texts: list[np.ndarray], counts: np.ndarray, end: int, classes: int = CLASSES, seed: int = 23) -> np.ndarray:
-    """Class of every id: frequent ids alone or by their neighbours (k-means), the rest with the nearest centre or by frequency."""
-    size = len(counts)
+def projection(size: int, seed: int = 23) -> np.ndarray:
+    """Random vectors of the ids; multiples of 1/1024, so that sums of them are exact in any order."""
+    return np.round(np.random.default_rng(seed).normal(0, 1, (PROFILE // 2, size)) * 1024) / 1024
+
+
+def add_neighbours(total: np.ndarray, texts: list[np.ndarray], project: np.ndarray) -> None:
+    """Add to ``total`` (PROFILE, ids) the vectors of the symbols before and after every occurrence in ``texts``."""
+    size, half = project.shape[1], len(project)
+    if not texts:
+        return
     first = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-    symbols, _, following, _ = sequences(np.concatenate(texts) if texts else np.zeros(0, np.int64), first, end)
-    rng = np.random.default_rng(seed)
-    project = rng.normal(0, 1, (size, 24)).astype(np.float32)
-    profile = np.zeros((size, 48), np.float32)
-    for j in range(24):
-        profile[:, j] = np.bincount(following, project[symbols, j], size)[:size]
-        profile[:, 24 + j] = np.bincount(symbols, project[following, j], size)[:size]
-    seen = np.bincount(following, minlength=size)[:size]
-    profile /= np.sqrt(np.maximum(1, seen))[:, None]
+    symbols, _, following, _ = sequences(np.concatenate(texts), first, size - 1)
+    for j in range(half):
+        total[j] += np.bincount(following, project[j][symbols], size)
+        total[half + j] += np.bincount(symbols, project[j][following], size)
+
+
+def neighbour_classes(sums: np.ndarray, seen: np.ndarray, classes: int = CLASSES) -> np.ndarray:
+    """Class of every id from its neighbours' sums and its count: frequent ids alone or by their neighbours (k-means), rare ones in the last class."""
+    size = len(seen)
+    profile = (sums / np.sqrt(np.maximum(1, seen))[:, None]).astype(np.float32)
     norm = np.linalg.norm(profile, axis=1)
     profile /= np.maximum(norm, 1e-6)[:, None]
-    order = np.argsort(-counts, kind="stable")
+    order = np.argsort(-seen, kind="stable")
     out = np.full(size, classes - 1, np.int64)
     alone = classes // 4
     out[order[:alone]] = np.arange(alone)
@@ -178,7 +189,7 @@ def neighbour_classes(texts: list[np.ndarray], counts: np.ndarray, end: int, cla
         which = np.zeros(len(known), np.int64)
         for _ in range(8):
             which = (profile[known] @ centre.T).argmax(axis=1)
-            for k in range(48):
+            for k in range(PROFILE):
                 centre[:, k] = np.bincount(which, weight * profile[known, k], centres)
             centre /= np.maximum(np.linalg.norm(centre, axis=1), 1e-6)[:, None]
         out[known] = alone + which

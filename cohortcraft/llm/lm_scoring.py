@@ -1,8 +1,8 @@
 """LM scoring: corpus counts and a causal self-attention model over subword ids.
 
-``fit`` learns from the training rows: word counts, subword counts and
-attention weights over all of them, classes from the first ``CLASS_TEXTS`` by
-hash. The attention model is trained in rounds that share out the texts by a hash: every partition of a
+``fit`` learns from the training rows: word counts, subword counts, neighbour
+classes and attention weights, each over all of them. The attention model is
+trained in rounds that share out the texts by a hash: every partition of a
 round's texts runs its own pass from the same parameters and the results are
 averaged by number of symbols, summed on the executors. ``scored`` gives each whole text its base score (smoothed
 word unigrams) and the model's log10 probability.
@@ -36,8 +36,8 @@ ROUNDS, EPOCHS = 2, 3
 TRAINER_IDS = 4 << 20
 """Subword ids that one training pass takes, about."""
 
-CLASS_TEXTS = 1500
-"""Texts that name the classes."""
+PROFILE_IDS = 1 << 20
+"""Subword ids whose neighbours are summed at a time."""
 
 SLICE = 2 << 20
 _PIECE = 1 << 15  # parameters in one row of a training result
@@ -203,6 +203,40 @@ def _trainer(shared, step: float):
     return run
 
 
+def _count_neighbours(dtype: str, size: int):
+    """Rows (ids) -> (i, p0 ..): neighbour profiles of the ids that occur, one table of fixed size per task."""
+    names = [f"p{k}" for k in range(A.PROFILE)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        project, total = A.projection(size), np.zeros((A.PROFILE, size))
+        held, waiting = [], 0
+        for batch in batches:
+            for cell in batch.column("ids").to_pylist():
+                held.append(np.frombuffer(cell, dtype))
+                waiting += len(held[-1]) + 1
+                if waiting >= PROFILE_IDS:
+                    A.add_neighbours(total, held, project)
+                    held, waiting = [], 0
+        A.add_neighbours(total, held, project)
+        own = np.flatnonzero(total.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(own), *(pa.array(row[own]) for row in total)], names=["i", *names])
+
+    return run
+
+
+def _profiles(encoded: DataFrame, counts: np.ndarray, dtype: str) -> np.ndarray:
+    """(ids, PROFILE) sums over the neighbours of every occurrence in ``encoded``; only this table reaches the driver."""
+    names = [f"p{k}" for k in range(A.PROFILE)]
+    tasks = max(1, -(-int(counts.sum()) // (4 * TRAINER_IDS)))  # few, as each may return a row for every id
+    rows = encoded.select("ids").coalesce(tasks).mapInArrow(_count_neighbours(dtype, len(counts)), ", ".join(["i bigint", *(f"{c} double" for c in names)]))
+    sums = rows.groupBy("i").agg(*(F.sum(c).alias(c) for c in names)).toArrow()
+    out = np.zeros((len(counts), A.PROFILE))
+    at = sums["i"].to_numpy()
+    for k, c in enumerate(names):
+        out[at, k] = sums[c].to_numpy()
+    return out
+
+
 def fit_model(encoded: DataFrame, vocabulary: int, dtype: str) -> Model:
     """encoded (key, ids) of the training rows."""
     context = encoded.sparkSession.sparkContext
@@ -212,8 +246,7 @@ def fit_model(encoded: DataFrame, vocabulary: int, dtype: str) -> Model:
     for r in sums.collect():  # one row per subword id
         counts[r["i"]] = r["n"]
     counts[end] = encoded.count()
-    first = encoded.select("key", "ids").orderBy("key").limit(CLASS_TEXTS).select("ids").toArrow()["ids"].to_pylist()  # bounded: names the classes only
-    class_of = A.neighbour_classes([np.frombuffer(x, dtype) for x in first], counts, end)
+    class_of = A.neighbour_classes(_profiles(encoded, counts, dtype), counts)
     model = Model(A.pack(A.initial(end + 1)), class_of, A.in_class_logs(counts, class_of), end, dtype)
     trainers = max(1, -(-int(counts.sum()) // (ROUNDS * TRAINER_IDS)))
     turn = F.pmod(F.shiftright("key", 32), F.lit(ROUNDS))

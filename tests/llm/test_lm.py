@@ -123,3 +123,11 @@ def test_training_takes_every_row(spark, docs_of, monkeypatch):
     rows = spark.range(4000).select(F.xxhash64("id").alias("key"), F.lit(b"\x01\x00\x02\x00").alias("ids"))
     lm_scoring.fit_model(rows, 100, "<u2")
     assert sum(t.where("piece = 0").agg(F.sum("weight")).first()[0] or 0 for t in trained) == 4000 * 3
+
+
+def test_classes_come_from_all_rows(spark):
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 300, 20) for _ in range(1600)] + [rng.integers(300, 310, 20) for _ in range(30)]
+    rows = spark.createDataFrame([(k, bytearray(t.astype("<u2").tobytes())) for k, t in enumerate(texts)], "key bigint, ids binary")
+    class_of = lm_scoring.fit_model(rows, 310, "<u2").class_of
+    assert (class_of[300:310] < A.CLASSES - 1).all()  # not the class of ids without context
