@@ -109,8 +109,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole ``documents``: the documents that share passages, with the words that repeat."""
-    windows = passages.repeated_windows(table(spark, sf_dir, "documents").select("doc_id", "text"), paragraphs=True)
-    return passages.repeats_by_document(windows).withColumnRenamed("id", "doc_id")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    spans = passages.repeated_spans(docs, passages.repeated_windows(docs, paragraphs=True))
+    return passages.repeats_by_document(spans).withColumnRenamed("id", "doc_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
