@@ -21,6 +21,7 @@ its total of 0, whatever its target. Rows that repeat an id get equal rates.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,6 +45,10 @@ TARGETS = {"clean": 0.95, "low": 0.03, "toxic": 0.02}
 """Target shares of tokens. The anchor's total stays what it is and fixes the scale."""
 
 
+REPORTED = 1e-3
+"""Share of all tokens by which fitted totals may miss the targets without a warning."""
+
+
 def domain_label() -> Column:
     """Domain of a labelled row: toxic before low before clean."""
     return F.when(F.col("toxic") == 1, 2).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 0)
@@ -164,6 +169,8 @@ def fit_rates(
         # a ridge keeps the step finite when a domain has no active document; shorter steps near the bound
         step = np.linalg.solve(gram / tokens + 1e-9 * np.eye(len(DOMAINS)), residual)
         steps.append(np.clip(step, -1e6, 1e6))
+    if error > REPORTED:
+        warnings.warn(f"mixing: totals miss the targets by up to {error:.3g} of all tokens", stacklevel=2)
     return Fit(steps, goal, totals, error)
 
 

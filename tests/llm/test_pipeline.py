@@ -79,3 +79,9 @@ def test_stages_take_odd_rows(spark, docs_of, tmp_path):
     for rows in (odd, odd.limit(0)):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, rows, str(tmp_path)).collect()
+
+
+def test_a_fit_that_misses_its_targets_warns(spark):
+    members = spark.createDataFrame([(100, 0.5, 0.5, 0.0)], "n_tokens bigint, p_clean double, p_low double, p_toxic double")
+    with pytest.warns(UserWarning, match="miss the targets"):
+        mixing.fit_rates(members)
