@@ -15,6 +15,9 @@ from cohortcraft.llm.queries import table, token_ids
 from cohortcraft.llm.storage import written
 from cohortcraft.llm.workers import ship_package
 
+NEAR_PERCENT = 85
+"""Similarity of the near-dedup stage, in percent of five-word shingles: op5's contract."""
+
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the threshold table keeps."""
@@ -22,9 +25,9 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component."""
+    """One document of each near-duplicate component, at op5's similarity so that stage and query agree."""
     ship_package(spark)
-    return near_dup.without_near_duplicates(docs)
+    return near_dup.without_near_duplicates(docs, percent=NEAR_PERCENT)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
