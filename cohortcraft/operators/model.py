@@ -15,7 +15,7 @@ import math
 from pyspark import StorageLevel
 from pyspark.ml.feature import RFormula
 from pyspark.ml.regression import GeneralizedLinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortcraft.operators.stats import LATE, p_value, with_period
@@ -40,24 +40,67 @@ def model_frame(cohort: DataFrame) -> DataFrame:
 
 
 TOLERANCE, MAX_ITERATIONS = 1e-8, 50
+MAX_STD_ERROR = 30.0
+"""Wald errors of categorical terms beyond this mean that the likelihood has no maximum.
+
+Every level has an event of each outcome, which alone keeps its error near 1;
+collinear continuous terms may have larger ones, so they are not judged by it.
+"""
+
+
+class SeparationError(ValueError):
+    """The terms split the outcomes perfectly, so an odds ratio would be infinite."""
 
 
 def cells(frame: DataFrame, terms: tuple[str, ...], label: str = "default_flag") -> DataFrame:
-    """One weighted row per combination of categorical terms and outcome.
+    """One row per combination of categorical terms: share of successes and number of trials.
 
     The likelihood of a model without continuous terms depends on these
-    counts alone, so the fit runs over a handful of rows.
+    counts alone, so the fit runs over a handful of rows. The share is the
+    response and the trials are its weight; 0/1 rows weighted by their counts
+    would start the iteration at fitted values of 0 and 1.
     """
-    return frame.groupBy(*terms, label).agg(F.count("*").cast("double").alias("weight"))
+    grouped = frame.groupBy(*terms).agg(F.sum(label).alias("successes"), F.count("*").cast("double").alias("trials"))
+    return grouped.withColumn(label, F.col("successes") / F.col("trials"))
+
+
+def _degenerate_levels(cells_: DataFrame, terms: tuple[str, ...]) -> list[str]:
+    """``term=level`` whose outcomes are all equal, over the cells (each term's levels are few)."""
+    out = []
+    for t in terms:
+        rows = cells_.groupBy(t).agg(F.sum("successes").alias("s"), F.sum("trials").alias("n"))
+        out += [f"{t}={r[t]}" for r in rows.where("s <= 0 or s >= n").collect()]
+    return out
+
+
+def _cell_deviances(cells_: DataFrame, fit: dict) -> tuple[float, float]:
+    """-2 log-likelihood of the 0/1 outcomes behind the cells: fitted model and constant model."""
+    p, s, n = fitted_probability(fit), F.col("successes"), F.col("trials")
+    # xlogy: a cell without successes (or failures) adds nothing for them
+    part = lambda count, chance: F.when(count > 0, count * F.log(chance)).otherwise(0.0)
+    row = cells_.agg(
+        F.sum(part(s, p) + part(n - s, 1.0 - p)).alias("ll"), F.sum(s).alias("s"), F.sum(n).alias("n")
+    ).first()
+    rate = row["s"] / row["n"]
+    null = row["s"] * math.log(rate) + (row["n"] - row["s"]) * math.log1p(-rate)
+    return -2.0 * row["ll"], -2.0 * null
 
 
 def fit_logit(frame: DataFrame, terms: tuple[str, ...], label: str = "default_flag", weight: str | None = None) -> dict:
     """Fit the GLM; returns coefficients (in the terms' own units) and fit stats.
 
-    Continuous terms are standardised first, which lets the iteration reach
-    ``TOLERANCE`` in few passes; raises when it does not.
+    ``frame`` holds 0/1 outcomes, or, with ``weight="trials"``, the table of
+    ``cells``. Continuous terms are standardised first, which lets the
+    iteration reach ``TOLERANCE`` in few passes. Raises ``SeparationError``
+    where the likelihood has no maximum and ``RuntimeError`` where the
+    iteration does not converge. Deviances are those of the 0/1 outcomes in
+    both forms.
     """
     kinds = dict(frame.dtypes)
+    if weight:
+        degenerate = _degenerate_levels(frame, terms)
+        if degenerate:
+            raise SeparationError(f"all outcomes are equal for {', '.join(degenerate)}")
     numeric = [t for t in terms if kinds[t] == "double"]
     moments = frame.agg(
         *(F.avg(t).alias(f"m_{t}") for t in numeric), *(F.stddev_pop(t).alias(f"s_{t}") for t in numeric),
@@ -85,16 +128,20 @@ def fit_logit(frame: DataFrame, terms: tuple[str, ...], label: str = "default_fl
         names = [a["name"] for a in sorted(_attrs(features.schema["features"].metadata), key=lambda a: a["idx"])]
         raw = dict(zip(names, model.coefficients, strict=True))
         errors = list(summary.coefficientStandardErrors)
+        if weight and not all(e < MAX_STD_ERROR for e in errors):
+            raise SeparationError(f"the outcomes are separated by {terms}: standard errors {errors}")
         unit = {t: moments[f"s_{t}"] for t in wide}
-        return {
+        fit = {
             "coefficients": [raw[n] / unit.get(n, 1.0) for n in names],
             "intercept": model.intercept - sum(raw[t] * moments[f"m_{t}"] / unit[t] for t in wide),
             "std_errors": [e / unit.get(n, 1.0) for n, e in zip(names, errors, strict=False)] + errors[len(names):],
-            "deviance": summary.deviance,
-            "null_deviance": summary.nullDeviance,
             "n_obs": int(round(moments["n"])),
             "names": names,
         }
+        fit["deviance"], fit["null_deviance"] = (
+            _cell_deviances(frame, fit) if weight else (summary.deviance, summary.nullDeviance)
+        )
+        return fit
     finally:
         features.unpersist()
 
@@ -144,11 +191,11 @@ RESULT_SCHEMA = (
 
 
 def _fits(frame: DataFrame, models: dict[str, tuple[str, ...]]) -> dict[str, dict]:
-    """Each model fitted: over weighted cells when it has no continuous term, else over the rows."""
+    """Each model fitted: over cells when it has no continuous term, else over the rows."""
     out = {}
     for name, terms in models.items():
         if set(terms) <= set(BASIC_TERMS):
-            out[name] = fit_logit(cells(frame, terms), terms, weight="weight")
+            out[name] = fit_logit(cells(frame, terms), terms, weight="trials")
         else:
             out[name] = fit_logit(frame, terms)
     return out
@@ -219,7 +266,7 @@ def binary_logit(df: DataFrame, label: str, predictor: str, model_label: str, di
     frame = df.where(F.col(label).isNotNull() & F.col(predictor).isNotNull()).select(
         F.col(label).cast("double").alias(label), F.col(predictor).cast("double").alias(predictor)
     )
-    fit = fit_logit(cells(frame, (predictor,), label), (predictor,), label=label, weight="weight")
+    fit = fit_logit(cells(frame, (predictor,), label), (predictor,), label=label, weight="trials")
     row = odds_ratio_row(fit, model_label, term=predictor)
     out = df.sparkSession.createDataFrame([tuple(row[k] for k in ("model", "coefficient", "std_error", "odds_ratio",
         "or_ci95_low", "or_ci95_high", "z_stat", "p_value", "p_value_display", "pseudo_r2", "n_obs"))], RESULT_SCHEMA)

@@ -66,7 +66,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 SPARK_TO_DUCK = {
     "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "double": "DOUBLE", "string": "VARCHAR",
-    "boolean": "BOOLEAN", "date": "DATE",
+    "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
 }
 
 

@@ -12,7 +12,7 @@ def _inputs(tmp_path):
     d = tmp_path / "sf"
     d.mkdir()
     for t in ("orders", "customer"):
-        shutil.copy(f"{SMOKE}/{t}.parquet", d / f"{t}.parquet")
+        shutil.copyfile(f"{SMOKE}/{t}.parquet", d / f"{t}.parquet")
     return str(d)
 
 
