@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortcraft.llm import block_labeller, decontaminate, kd_shards, lm_scoring, mixing, near_dup, passages, quality_classifier, token_index
+from cohortcraft.llm import block_labeller, byte_bpe, decontaminate, kd_shards, lm_scoring, mixing, near_dup, passages, quality_classifier, token_index
 from cohortcraft.llm import quality_rules as rules
 from cohortcraft.llm.storage import folder
 from cohortcraft.llm.storage import table as read_table
@@ -114,6 +114,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeats_by_document(spans).withColumnRenamed("id", "doc_id")
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole ``documents``: byte-level BPE ids, digests of the ids and of the bytes they decode to."""
+    files = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    ids = byte_bpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), *files)
+    return byte_bpe.decoded(ids.drop("text"), *files).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_kd_tree_sharding": op2_kd_tree_sharding,
@@ -125,4 +137,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_mixing": op9_mixing,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_byte_bpe": op12_byte_bpe,
 }
