@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortcraft.llm import block_labeller, byte_bpe, decontaminate, kd_shards, lm_scoring, mixing, near_dup, passages, quality_classifier, token_index
+from cohortcraft.llm import block_labeller, block_max, byte_bpe, decontaminate, kd_shards, lm_scoring, mixing, near_dup, passages, quality_classifier, token_index
 from cohortcraft.llm import quality_rules as rules
 from cohortcraft.llm.storage import folder
 from cohortcraft.llm.storage import table as read_table
@@ -126,6 +126,12 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole ``documents`` ranked for every ``benchmark`` item: shards with block maxima, searched by MaxScore."""
+    shards = block_max.build(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return block_max.search(shards, table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_kd_tree_sharding": op2_kd_tree_sharding,
@@ -138,4 +144,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_substring_dedup": op10_substring_dedup,
     "op12_byte_bpe": op12_byte_bpe,
+    "op13_ranked_search": op13_ranked_search,
 }

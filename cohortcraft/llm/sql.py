@@ -66,8 +66,31 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coa
 FROM d LEFT JOIN hits h USING (r) LEFT JOIN items x USING (r)
 """
 
+_TERMS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"  # of lower-cased text
+
+_RANKED_SEARCH = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+size AS (SELECT count(*) AS big_n, sum(len(w))::BIGINT AS big_l FROM d WHERE len(w) > 0),
+posting AS (
+  SELECT r, doc_id, term, count(*) AS tf, any_value(n) AS n
+  FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM d) GROUP BY r, doc_id, term),
+asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+weighted AS (
+  SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight
+  FROM posting, size WHERE term IN (SELECT term FROM asked) GROUP BY term, big_n),
+scored AS (
+  SELECT item_id, r, doc_id,
+         sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * big_n) // big_l))))::BIGINT AS score
+  FROM asked JOIN weighted USING (term) JOIN posting USING (term), size GROUP BY item_id, r, doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 
 ORACLE: dict[str, str] = {
     "op1_benchmark_decontamination": _DECONTAMINATION,
     "op4_quality_rules": _quality_rules(),
+    "op13_ranked_search": _RANKED_SEARCH,
 }
