@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortcraft.llm import block_labeller, block_max, byte_bpe, decontaminate, kd_shards, lm_scoring, mixing, near_dup, passages, quality_classifier, token_index
+from cohortcraft.llm import block_labeller, block_max, byte_bpe, conversation_repair, decontaminate, kd_shards, lm_scoring, mixing, near_dup, passages, quality_classifier, token_index
 from cohortcraft.llm import quality_rules as rules
 from cohortcraft.llm.storage import folder
 from cohortcraft.llm.storage import table as read_table
@@ -114,6 +114,22 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeats_by_document(spans).withColumnRenamed("id", "doc_id")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole ``conversations``, damaged by the contract's draw: faults, cheapest repair, digest of the repaired turns."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    summaries, turns = conversation_repair.repair(conversation_repair.damaged(rows))
+    hashes = conversation_repair.text_hashes(turns)
+    ids = rows.select("conv_id").distinct().alias("i")
+    same = lambda other: F.col("i.conv_id").eqNullSafe(F.col(f"{other}.conv_id"))
+    counts = [F.coalesce(F.col(f"s.{c}"), F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return ids.join(summaries.alias("s"), same("s"), "left").join(hashes.alias("h"), same("h"), "left").select(
+        "i.conv_id",
+        *counts,
+        F.coalesce("s.audit", F.lit("")).alias("audit"),
+        F.coalesce("h.repaired_sha256", F.lit(conversation_repair.EMPTY_HASH)).alias("repaired_sha256"),
+    )
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole ``documents``: byte-level BPE ids, digests of the ids and of the bytes they decode to."""
     files = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -143,6 +159,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_mixing": op9_mixing,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_byte_bpe": op12_byte_bpe,
     "op13_ranked_search": op13_ranked_search,
 }
