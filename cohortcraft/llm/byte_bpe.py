@@ -13,6 +13,11 @@ crosses the seam. ``Vocabulary.neighbours`` decides this by undoing their merges
 latest first and asking at each step whether a merge over the seam would have
 come before the merges that are still undone.
 
+Over a batch of texts the tables of all new pieces grow together, byte by byte,
+in numpy (``prefix_tables``). Texts are cut before white space that follows other
+characters, where no match of the pattern can reach over, and equal chunks are
+encoded once; a worker keeps their ids.
+
 A vocabulary file holds one token and its rank per line, in base64; ranks are
 ids. A match that is itself a token takes its id, as the public library does.
 """
@@ -33,10 +38,10 @@ from pyspark.sql import types as T
 from cohortcraft.llm import kernels as K
 from cohortcraft.llm.workers import ship_package
 
-CACHE = 300_000
-"""Distinct matches, and distinct neighbour pairs, that a worker keeps; beyond it the cache starts anew (results do not change)."""
-LONGEST_CACHED = 64
-"""Longer matches are encoded each time, so the cache's memory is bounded."""
+CACHE = 600_000
+"""Distinct chunks, and distinct neighbour pairs, that a worker keeps; beyond it the cache starts anew (results do not change)."""
+LONGEST = 48
+"""Bytes of the longest piece whose table grows with those of others, and of the longest chunk that is kept."""
 SLICE = 4 << 20
 """Bytes of text behind one output batch (a longer text stands alone)."""
 
@@ -54,7 +59,6 @@ class Vocabulary:
         self.longest = max(map(len, self.rank))
         self.parts: dict[int, tuple[int, int] | None] = {}
         self.pairs: dict[int, bool] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
 
     def merged(self, data: bytes) -> list[int]:
         """Ids of ``data`` by plain merging, lowest rank and leftmost first (used for single tokens)."""
@@ -110,23 +114,16 @@ class Vocabulary:
         key = left << 32 | right
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= 4 * CACHE:
+            if len(self.pairs) >= 2 * CACHE:
                 self.pairs.clear()
             known = self.pairs[key] = self.reachable(left) and self.reachable(right) and self._seam(left, right)
         return known
 
-    def piece(self, piece: str) -> tuple[int, ...]:
+    def piece(self, piece: str) -> list[int]:
         """Ids of one match of the pattern."""
-        ids = self.known.get(piece)
-        if ids is None:
-            data = piece.encode("utf-8")
-            whole = self.rank.get(data)
-            ids = (whole,) if whole is not None else tuple(PrefixTable(self, data).ids())
-            if len(piece) <= LONGEST_CACHED:
-                if len(self.known) >= CACHE:
-                    self.known.clear()
-                self.known[piece] = ids
-        return ids
+        data = piece.encode("utf-8")
+        whole = self.rank.get(data)
+        return [whole] if whole is not None else PrefixTable(self, data).ids()
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text; a null has none."""
@@ -251,20 +248,169 @@ class EditedText:
         return [i for m in self.matches for i in self.vocabulary.piece(m)]
 
 
-_VOCABULARIES: dict[tuple[str, str], Vocabulary] = {}
+def _joined(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of byte strings."""
+    return np.frombuffer(b"".join(parts), np.uint8), np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
 
 
-def vocabulary(path: str, pattern: str) -> Vocabulary:
-    """The worker's vocabulary for a file and a pattern."""
-    if (path, pattern) not in _VOCABULARIES:
-        _VOCABULARIES[path, pattern] = Vocabulary(path, pattern)
-    return _VOCABULARIES[path, pattern]
+class _Pairs:
+    """Which pairs of tokens are neighbours, as a direct-mapped table in front of the vocabulary's own answers."""
 
+    BITS = 20
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        self.vocabulary = vocabulary
+        self.key = np.full(1 << self.BITS, -1, np.int64)
+        self.valid = np.zeros(1 << self.BITS, bool)
 
-def _id_lists(rows: list[list[int]]) -> pa.Array:
-    offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
-    values = np.fromiter(chain.from_iterable(rows), np.int32, int(offsets[-1]))
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+    def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left << 32 | right
+        spot = (K.mix(key.astype(np.uint64)) >> np.uint64(64 - self.BITS)).astype(np.int64)
+        out = self.valid[spot]
+        new = np.flatnonzero(self.key[spot] != key)
+        if len(new):
+            answers = self.vocabulary.neighbours
+            found = np.fromiter(map(answers, left[new].tolist(), right[new].tolist()), bool, len(new))
+            out[new] = found
+            self.key[spot[new]] = key[new]
+            self.valid[spot[new]] = False  # spots that two new keys share are settled below
+            same = self.key[spot[new]] == key[new]
+            self.valid[spot[new[same]]] = found[same]
+        return out
+
+
+class BatchEncoder:
+    """Ids of whole columns of texts."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        self.vocabulary = v = vocabulary
+        tokens = sorted(v.token.items())
+        flat, at = _joined([t for _, t in tokens])
+        hashes = K.word_hashes(flat, at[:-1], at[1:])
+        order = np.argsort(hashes)
+        self.hashes, self.ids_by_hash = hashes[order], np.array([r for r, _ in tokens], np.int64)[order]
+        self.size = np.zeros(max(v.token) + 1, np.int64)
+        self.size[[r for r, _ in tokens]] = np.diff(at)
+        self.pairs = _Pairs(v)
+        self._reset()
+
+    def _reset(self) -> None:
+        self.slot: dict[bytes, int] = {}
+        self.kept, self.lengths = array("I"), array("I")
+
+    def prefix_tables(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of many pieces; all tables grow by one byte at a time."""
+        flat, at = _joined(pieces)
+        begin, size = at[:-1], np.diff(at)
+        longest = int(size.max(initial=0))
+        last = np.full((len(pieces), longest + 1), -1, np.int64)
+        for end in range(1, longest + 1):
+            rows = np.flatnonzero(size >= end)
+            for start in range(end - 1, max(-1, end - 1 - self.vocabulary.longest), -1):
+                if not len(rows):
+                    break
+                token = self._tokens(flat, begin[rows] + start, end - start)
+                there = token >= 0
+                valid = there.copy()
+                if start:
+                    spots = np.flatnonzero(there)
+                    valid[spots] = self.pairs(last[rows[spots], start], token[spots])
+                else:
+                    valid[there] = [self.vocabulary.reachable(t) for t in token[there].tolist()]
+                last[rows[valid], end] = token[valid]
+                rows = rows[~valid]
+            if len(rows):
+                raise ValueError(f"no token ends at byte {end} of {pieces[rows[0]]!r}")
+        out: list[list[int]] = [[] for _ in pieces]
+        left, rows = size.copy(), np.flatnonzero(size)
+        while len(rows):  # read off backwards
+            token = last[rows, left[rows]]
+            for r, t in zip(rows.tolist(), token.tolist(), strict=True):
+                out[r].append(t)
+            left[rows] -= self.size[token]
+            rows = rows[left[rows] > 0]
+        return [ids[::-1] for ids in out]
+
+    def _tokens(self, flat: np.ndarray, begin: np.ndarray, size: int) -> np.ndarray:
+        """Token that each run of ``size`` bytes is, -1 where it is none."""
+        value = K.run_hashes(flat, begin, size)
+        at = np.minimum(np.searchsorted(self.hashes, value), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == value, self.ids_by_hash[at], -1)
+
+    def _new_chunks(self, chunks: list[bytes]) -> list[list[int]]:
+        v, rank = self.vocabulary, self.vocabulary.rank
+        pieces = [[p.encode("utf-8") for p in v.split(c.decode("utf-8"))] for c in chunks]
+        unknown = {p for ps in pieces for p in ps if p not in rank}
+        known = {p: PrefixTable(v, p).ids() for p in unknown if len(p) > LONGEST}
+        short = [p for p in unknown if len(p) <= LONGEST]
+        for p, ids in zip(short, self.prefix_tables(short), strict=True):
+            known[p] = ids if v.decode(ids) == p else PrefixTable(v, p).ids()  # hashes only found the tokens
+        return [[i for p in ps for i in ((rank[p],) if p in rank else known[p])] for ps in pieces]
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, first): ids of every text, one after the other; a null has none."""
+        data, offsets = K.buffer(column)
+        start = chunk_starts(data, offsets)
+        end = np.append(start[1:], len(data))
+        _, spot, which = np.unique(K.word_hashes(data, start, end), return_index=True, return_inverse=True)
+        raw = data.tobytes()
+        if len(self.slot) >= CACHE:
+            self._reset()
+        words = [raw[a:b] for a, b in zip(start[spot].tolist(), end[spot].tolist(), strict=True)]
+        slots = list(map(self.slot.get, words))
+        new = [i for i, s in enumerate(slots) if s is None]
+        for i, ids in zip(new, self._new_chunks([words[i] for i in new]), strict=True):
+            slots[i] = len(self.lengths)
+            if len(words[i]) <= LONGEST:
+                self.slot[words[i]] = slots[i]
+            self.kept.extend(ids)
+            self.lengths.append(len(ids))
+        at = np.array(slots, np.int64)[which.reshape(-1)] if slots else np.zeros(0, np.int64)
+        lengths = np.array(self.lengths, np.int64)
+        begin = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+        sizes = lengths[at]
+        out = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        where = np.arange(out[-1]) - np.repeat(out[:-1] - begin[at], sizes)
+        return np.array(self.kept, np.uint32)[where], out[np.searchsorted(start, offsets)]
+
+
+def _space_ends(data: np.ndarray) -> np.ndarray:
+    """Bytes that may end a white-space character of any kind (or a control that some call white space)."""
+    out = K.SPACE[data] | ((data >= 0x1C) & (data <= 0x1F))
+    back = lambda k: np.concatenate([np.zeros(min(k, len(data)), np.uint8), data[: len(data) - k]]) if k else data
+    two = (back(1) == 0xC2) & ((data == 0x85) | (data == 0xA0))
+    lead, mid = back(2), back(1)
+    three = (
+        ((lead == 0xE1) & (mid == 0x9A) & (data == 0x80))
+        | ((lead == 0xE2) & (mid == 0x80) & (((data >= 0x80) & (data <= 0x8A)) | np.isin(data, [0xA8, 0xA9, 0xAF])))
+        | ((lead == 0xE2) & (mid == 0x81) & (data == 0x9F))
+        | ((lead == 0xE3) & (mid == 0x80) & (data == 0x80))
+    )
+    return out | two | three
+
+
+def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where texts may be cut: at their starts, and before ASCII white space that follows anything else."""
+    cut = np.zeros(len(data) + 1, bool)
+    if len(data):
+        cut[1:-1] = K.SPACE[data[1:]] & ~_space_ends(data)[:-1]
+    cut[offsets] = True
+    cut[len(data) :] = False
+    return np.flatnonzero(cut)
+
+
+_ENCODERS: dict[tuple[str, str], BatchEncoder] = {}
+
+
+def encoder(path: str, pattern: str) -> BatchEncoder:
+    """The worker's encoder for a vocabulary file and a pattern."""
+    if (path, pattern) not in _ENCODERS:
+        _ENCODERS[path, pattern] = BatchEncoder(Vocabulary(path, pattern))
+    return _ENCODERS[path, pattern]
+
+
+def vocabulary(path: str, pattern: str) -> Vocabulary:
+    return encoder(path, pattern).vocabulary
 
 
 def _mapped(df: DataFrame, column: str, out: str, kind: T.DataType, work) -> DataFrame:
@@ -294,9 +440,10 @@ def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: s
     """
 
     def work(values: pa.Array):
-        encode = vocabulary(path, pattern).encode
+        encode = encoder(path, pattern).encode
         for a, b in K.slices(K.buffer(values)[1], SLICE):
-            yield a, b, _id_lists([encode(t) for t in values.slice(a, b - a).to_pylist()])
+            ids, first = encode(values.slice(a, b - a))
+            yield a, b, pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids.astype(np.int32)))
 
     return _mapped(docs, text, ids, T.ArrayType(T.IntegerType(), False), work)
 
@@ -308,8 +455,7 @@ def decoded(docs: DataFrame, path: str, pattern: str, ids: str = "ids", out: str
         decode = vocabulary(path, pattern).decode
         step = 256
         for a in range(0, len(values), step):
-            b = min(len(values), a + step)
-            rows = values.slice(a, b - a)
-            yield a, b, pa.array([decode(r) if r else b"" for r in rows.to_pylist()], pa.binary())
+            rows = values.slice(a, step)
+            yield a, a + len(rows), pa.array([decode(r) if r else b"" for r in rows.to_pylist()], pa.binary())
 
     return _mapped(docs, ids, out, T.BinaryType(), work)

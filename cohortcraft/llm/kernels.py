@@ -136,6 +136,15 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix(value)
 
 
+def run_hashes(data: np.ndarray, begin: np.ndarray, size: int) -> np.ndarray:
+    """64-bit hash of the runs of ``size`` bytes at ``begin``; equal to ``word_hashes`` of them."""
+    value = np.zeros(len(begin), U64)
+    with np.errstate(over="ignore"):
+        for k in range(size):
+            value += _TABLE[data[begin + k]] * U64(pow(_BASE, k, 2**64))
+    return mix(value)
+
+
 def shingle_hashes(hashes: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(values, first): hash of every run of ``k`` words inside a document.
 

@@ -5,6 +5,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -41,6 +42,26 @@ def test_ids_equal_the_library(vocabulary, library, text):
     assert vocabulary.decode(ids) == text.encode()
 
 
+UNICODE_SPACES = st.text(alphabet=st.sampled_from(list("ab'1. \n\t\r\x0b\x1c\x1f\x85\xa0\u1680\u2003\u2028\u202f\u205f\u3000é")), max_size=40)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), LETTERS, UNICODE_SPACES), max_size=8))
+def test_batches_equal_the_library(library, texts):
+    """Tables of many pieces at once, texts cut at white space."""
+    ids, first = byte_bpe.encoder(PATH, PATTERN).encode(pa.array(texts, pa.string()))
+    for i, t in enumerate(texts):
+        assert ids[first[i] : first[i + 1]].tolist() == library.encode_ordinary(t or "")
+
+
+def test_caches_start_anew(library, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "CACHE", 5)
+    encoder = byte_bpe.BatchEncoder(byte_bpe.vocabulary(PATH, PATTERN))
+    for texts in (["some words here and more of them"], ["other words", "here and there"], ["some words here"]):
+        ids, first = encoder.encode(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == [library.encode_ordinary(t) for t in texts]
+
+
 def test_plain_merging_agrees(vocabulary):
     rng = random.Random(4)
     for _ in range(300):
