@@ -60,5 +60,39 @@ def round_to(c: ColumnOrName, digits: int = 2) -> Column:
     return F.round(_col(c) * scale, 0) / scale
 
 
+_SPLIT = float(2**27 + 1)
+"""Splits a double into two halves of 26 bits (Dekker)."""
+
+
+def half_even(c: ColumnOrName, digits: int = 2) -> Column:
+    """A double rounded to ``digits`` decimals by its exact binary value, ties to even.
+
+    The documents' rule: 2.675 is a little less than it looks and gives 2.67,
+    while 0.125 is a true tie and gives 0.12. The product ``x * 10^digits`` is
+    formed exactly as a double and its error (two halves of each factor multiply
+    without rounding), so it is known on which side of the half it lies.
+    """
+    if not 0 <= digits <= 15:
+        raise ValueError("digits must be between 0 and 15")
+    x = _col(c)
+    size, scale = F.abs(x), float(10**digits)
+    product = size * scale
+    high = size * _SPLIT - (size * _SPLIT - size)
+    low = size - high
+    scale_high = scale * _SPLIT - (scale * _SPLIT - scale)
+    scale_low = scale - scale_high
+    error = ((high * scale_high - product) + high * scale_low + low * scale_high) + low * scale_low
+    whole = F.floor(product).cast("double")
+    part = product - whole
+    even = whole % 2.0 == 0.0
+    up = (part > 0.5) | ((part == 0.5) & ((error > 0.0) | ((error == 0.0) & ~even)))
+    # from 2^52 on the product is whole and its error, of one half at most, decides ties alone
+    tie = (product >= float(2**52)) & ~even & (F.abs(error) == 0.5)
+    step = F.when(tie, 2.0 * error).when(up & (product < float(2**52)), 1.0).otherwise(0.0)
+    # from 2^53 on neighbouring doubles are more than a unit of the last digit apart: the value is its own nearest
+    near = F.when(product < float(2**53), (whole + step) / scale).otherwise(size)
+    return F.when(x.isNull() | F.isnan(x), x).when(x < 0, -near).otherwise(near)
+
+
 def rounded(c: Column, digits: int = 2) -> Column:
     return round_to(c, digits)

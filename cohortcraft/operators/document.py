@@ -8,7 +8,9 @@ exact-median operator. ``governed_metrics`` is the flat one-row table,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortcraft.functions.classify import MID_GRADES
@@ -43,9 +45,14 @@ OVERALL_FIELDS = (
 )
 
 
-def governed_metrics(cohort: DataFrame, segment: str = SEGMENT_PURPOSE, medians: bool = True) -> DataFrame:
+def governed_metrics(
+    cohort: DataFrame, segment: str = SEGMENT_PURPOSE, medians: bool = True, rounding: Callable[[Column, int], Column] = round_to
+) -> DataFrame:
     """Flat one-row governed metrics: ``overall_*`` and ``segment_*`` columns.
 
+    ``rounding`` is the rule of the printed digits: that of SQL, or
+    ``metrics.half_even`` for documents.
+
     ``medians=False`` leaves the two median columns NULL and skips their
     stages (for reconciliations that do not compare them).
     """
@@ -80,21 +87,21 @@ def governed_metrics(cohort: DataFrame, segment: str = SEGMENT_PURPOSE, medians:
     return full.select(
         c("o_n").alias("overall_total_loans"),
         c("o_d").alias("overall_defaulted_loans"),
-        round_to(100.0 * c("o_rate"), 4).alias("overall_default_rate_pct"),
-        round_to(c("o_amount"), 2).alias("overall_average_loan_amount_usd"),
-        round_to(c("o_int"), 4).alias("overall_average_interest_rate_pct"),
+        rounding(100.0 * c("o_rate"), 4).alias("overall_default_rate_pct"),
+        rounding(c("o_amount"), 2).alias("overall_average_loan_amount_usd"),
+        rounding(c("o_int"), 4).alias("overall_average_interest_rate_pct"),
         c("s_n").alias("segment_total_loans"),
-        round_to(F.try_divide(100.0 * c("s_n"), c("o_n")), 4).alias("segment_portfolio_share_pct"),
+        rounding(F.try_divide(100.0 * c("s_n"), c("o_n")), 4).alias("segment_portfolio_share_pct"),
         c("s_d").alias("segment_defaulted_loans"),
-        round_to(100.0 * c("s_rate"), 4).alias("segment_default_rate_pct"),
-        round_to(c("s_amount"), 2).alias("segment_average_loan_amount_usd"),
-        round_to(c("median_loan_amount"), 2).alias("segment_median_loan_amount_usd"),
-        round_to(100.0 * c("s_bc"), 4).alias("segment_grade_bc_share_pct"),
-        round_to(c("s_int"), 4).alias("segment_average_interest_rate_pct"),
-        round_to(c("s_income"), 2).alias("segment_average_annual_income_usd"),
-        round_to(c("median_annual_income"), 2).alias("segment_median_annual_income_usd"),
-        round_to(c("s_dti"), 4).alias("segment_average_dti"),
-        round_to(c("s_fico"), 2).alias("segment_average_fico_score"),
+        rounding(100.0 * c("s_rate"), 4).alias("segment_default_rate_pct"),
+        rounding(c("s_amount"), 2).alias("segment_average_loan_amount_usd"),
+        rounding(c("median_loan_amount"), 2).alias("segment_median_loan_amount_usd"),
+        rounding(100.0 * c("s_bc"), 4).alias("segment_grade_bc_share_pct"),
+        rounding(c("s_int"), 4).alias("segment_average_interest_rate_pct"),
+        rounding(c("s_income"), 2).alias("segment_average_annual_income_usd"),
+        rounding(c("median_annual_income"), 2).alias("segment_median_annual_income_usd"),
+        rounding(c("s_dti"), 4).alias("segment_average_dti"),
+        rounding(c("s_fico"), 2).alias("segment_average_fico_score"),
     )
 
 

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from cohortcraft.functions import classify, parse
 from cohortcraft.functions.metrics import n_rows
 from cohortcraft.operators import claims, quality, rollup, stats, typed
-from cohortcraft.operators.audit import audit_sample
+from cohortcraft.operators.audit import audit_sample, reconciled_audit
+from cohortcraft.operators.claim_table import check_claims, metric_values
 from cohortcraft.operators.cohort import (
     GRADE_SCOPES, PRIMARY_SCOPE, SCOPES, SENSITIVITY_SCOPES, SUBGRADE_SCOPES, analysis_cohort, dashboard_extract,
 )
@@ -29,7 +30,7 @@ from cohortcraft.operators.document import governed_metrics
 from cohortcraft.operators.model import binary_logit, fitted_totals, rounded_single_predictor, vintage_logit
 from cohortcraft.operators.typed import TYPED_COLUMNS, typed_contracts
 from cohortcraft.session import checkpoint_dir
-from cohortcraft.sources import contract, sinks
+from cohortcraft.sources import adapters, contract, records, sinks, text
 from cohortcraft.sources.columnar import driver_table
 from cohortcraft.sources.contract import contract_raw, lineitem_contracts
 from cohortcraft.sources.sinks import file_system, write_columnar, write_text
@@ -169,7 +170,29 @@ def _claim_verdict(typed: DataFrame) -> DataFrame:
     return claims.claim_verdict(claims.claim_status(claims.scope_metrics(typed)))
 
 
+def _landed_orders(spark: SparkSession, sf_dir: str, broken: bool, strict: bool) -> tuple[DataFrame, DataFrame]:
+    source = adapters.orders_text(spark, sf_dir, broken)
+    out = f"{checkpoint_dir(spark).rstrip('/')}/orders-landed-{uuid.uuid4().hex}"
+    return records.land(spark, source, adapters.ORDER_COLUMNS, out, header=False, strict=strict)
+
+
+def _typed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``customer`` through the CSV sink, its header check and the typed scan."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/customer-csv-{uuid.uuid4().hex}"
+    source = driver_table(spark, sf_dir, "customer")
+    sinks.write_extract(source, path)
+    missing = text.missing_columns(text.read_header(spark, path), source.columns)
+    if missing:
+        raise ValueError(f"missing columns: {missing}")
+    return text.read_typed_text(spark, path, source.schema)
+
+
 QUERIES: dict[str, Query] = {
+    # text sources
+    "text_rows": lambda spark, d: _landed_orders(spark, d, broken=False, strict=True)[0],
+    "text_rows_lenient": lambda spark, d: _landed_orders(spark, d, broken=True, strict=False)[0],
+    "text_rejects": lambda spark, d: _landed_orders(spark, d, broken=True, strict=False)[1].select("text", "reason"),
+    "text_typed": _typed_customers,
     # raw and typed layers
     "raw_profile": lambda spark, d: quality.raw_profile(raw_layer(spark, d)),
     "silver_rows": typed_layer,
@@ -211,6 +234,8 @@ QUERIES: dict[str, Query] = {
     "sensitivity_scope_metrics": _on_typed(lambda t: claims.scope_metrics(t, SCOPES + SENSITIVITY_SCOPES)),
     "segment_scope_metrics": _on_typed(lambda t: claims.scope_metrics(t, (PRIMARY_SCOPE, *GRADE_SCOPES, *SUBGRADE_SCOPES))),
     "cohort_assertions": _on_cohort(quality.key_and_domain),
+    "claim_table": lambda spark, d: check_claims(adapters.customer_claims(spark, d), metric_values(typed_layer(spark, d))),
+    "audit_reconciled": lambda spark, d: reconciled_audit(adapters.event_answers(spark, d), adapters.event_metric_versions(spark, d), 25),
     "audit_sample": lambda spark, d: audit_sample(driver_table(spark, d, "events").select("event_id", "ts"), "event_id", "ts", 0.1),
     # the same statistics on a second 2x2 input: toxic rate by quality label
     "labels_ztest": lambda spark, d: stats.group_proportion_test(driver_table(spark, d, "labels"), "quality", "toxic", 1, 0),

@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortcraft.functions.metrics import half_even
 from cohortcraft.operators import claims, quality, rollup, stats
 from cohortcraft.operators.cohort import analysis_cohort, dashboard_extract
 from cohortcraft.operators.document import governed_document, governed_metrics
@@ -120,7 +121,7 @@ def cohort_job(spark: SparkSession, typed_path: str, out_root: str, strict: bool
     write_extract(rollup.quarterly_rollup(cohort), f"{gold}/{ROLLUPS['quarterly']}", single_file=True)
     write_extract(rollup.grade_rollup(cohort), f"{gold}/{ROLLUPS['grade']}", single_file=True)
     write_extract(rollup.purpose_rollup(cohort), f"{gold}/{ROLLUPS['purpose']}", single_file=True)
-    flat = governed_metrics(cohort)
+    flat = governed_metrics(cohort, rounding=half_even)
     write_columnar(flat.coalesce(1), f"{gold}/governed_metrics")
     stored = read_columnar(spark, f"{gold}/governed_metrics")
     write_document(with_generated_at(governed_document(stored)), f"{gold}/governed_metrics.json")
