@@ -40,6 +40,10 @@ GRADE_DOMAIN = ("A", "B", "C", "D", "E", "F", "G")
 # ---------------------------------------------------------------------------
 
 
+# The groups that a status can fall into.
+STATUS_GROUPS = ("resolved_paid", "resolved_default", "active_current", "active_delinquent", "unknown")
+
+
 @dataclass(frozen=True)
 class StatusTaxonomy:
     """Ordered status classes; the first match wins, anything else is unknown."""

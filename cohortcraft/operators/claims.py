@@ -111,15 +111,18 @@ def claim_columns(metric: str) -> tuple[str, str]:
 
 
 def scope_metrics(typed: DataFrame, scopes: tuple[Scope, ...] = SCOPES, segment: str = SEGMENT_PURPOSE,
-                  claims: tuple[Claim, ...] = CLAIMS) -> DataFrame:
+                  claims: tuple[Claim, ...] = CLAIMS, aggregates: DataFrame | None = None) -> DataFrame:
     """One row per scope: identity, counts, rounded metrics, claims and statuses.
 
+    ``aggregates`` are the scopes' raw counts and means where they are known
+    already (``scope_cube``); otherwise one scan of ``typed`` gives them.
+
     ``scope_status`` is ``ok``, ``empty_scope``, ``empty_segment``,
     ``no_known_outcome`` or ``no_known_segment_outcome``; metrics of a non-ok
     scope are NULL and its claims FAIL. Use :func:`assert_scopes_ok` to turn a bad status into an error.
     """
     spark = typed.sparkSession
-    agg = scope_aggregates(typed, scopes, segment)
+    agg = scope_aggregates(typed, scopes, segment) if aggregates is None else aggregates
     j = scope_spine(spark, scopes).join(agg, "scope_id", "left")
     col = F.col
     total = F.coalesce(col("total_loans"), F.lit(0))

@@ -10,9 +10,12 @@ in one executor. This operator brackets the middle instead:
 2. a second pass, joined with the group-sized brackets, counts the values
    below the bracket (one row per group and task) and the distinct values
    inside it, combined on the map side;
-3. running counts over a group's bracket, about ``6 / ACCURACY`` of its
-   distinct values, give the exact middle values; interpolate
-   ``lo + (hi - lo) * 0.5``.
+3. the bracket, about ``6 / ACCURACY`` of a group's distinct values, is cut into
+   ``CELLS`` cells of equal width; running counts over the cells (a bounded
+   number of rows) tell which one or two hold the middle;
+4. running counts inside these give the exact middle values; interpolate
+   ``lo + (hi - lo) * 0.5``. A task ranks about ``6 / (ACCURACY * CELLS)`` of a
+   group's distinct values.
 
 A bracket that misses the middle raises an error instead of giving a wrong
 value. Results do not depend on physical partitions. NULL values are ignored;
@@ -29,6 +32,7 @@ from pyspark.sql import functions as F
 _MEASURE = "_measure"
 _VALUE = "_value"
 ACCURACY = 20_000
+CELLS = 4096
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -44,20 +48,8 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str =
     return _null_safe_join(left, right, keys, how)
 
 
-def exact_medians(
-    df: DataFrame,
-    keys: list[str],
-    values: list[str],
-    prefix: str = "median_",
-    accuracy: int = ACCURACY,
-) -> DataFrame:
-    """One row per group of ``keys`` with ``{prefix}{value}`` for each value column.
-
-    With no keys the result is a single row (global medians). Groups and
-    measures travel as one struct key ``_g`` (a struct is never NULL and
-    compares NULL fields as equal), so the joins below are plain equi-joins.
-    """
-    g = F.col("_g")
+def _placed(df: DataFrame, keys: list[str], values: list[str], accuracy: int, cells: int) -> DataFrame:
+    """Ranked values of the cells that hold a group's middle."""
     long = df.select(
         F.explode(
             F.array(*[
@@ -77,13 +69,47 @@ def exact_medians(
     )
     near = long.join(bracket, "_g").where(F.col(_VALUE) <= F.col("_high"))
     # NULL stands for every value below the bracket and sorts before it
-    inside = F.when(F.col(_VALUE) >= F.col("_low"), F.col(_VALUE)).alias("_v")
-    counts = near.groupBy("_g", "_n", inside).agg(F.count(F.lit(1)).alias("_cnt"))
-    running = Window.partitionBy("_g").orderBy(F.col("_v").asc_nulls_first())
-    end = F.sum("_cnt").over(running.rowsBetween(Window.unboundedPreceding, 0))
-    placed = counts.withColumn("_end", end).withColumn("_start", F.col("_end") - F.col("_cnt") + 1)
-    lo_rank = F.floor((F.col("_n") - 1) / 2) + 1
-    hi_rank = F.floor(F.col("_n") / 2) + 1
+    inside_value = F.when(F.col(_VALUE) >= F.col("_low"), F.col(_VALUE))
+    inside = inside_value.alias("_v")
+    width = F.col("_high") - F.col("_low")
+    even = (width > 0) & (width < float("inf"))
+    # -1 holds every value below the bracket; a bracket without a finite width is one cell
+    cell = F.when(inside_value.isNull(), -1).when(even, F.least(F.floor((F.col(_VALUE) - F.col("_low")) / width * cells), F.lit(cells - 1))).otherwise(0)
+    counts = near.groupBy("_g", "_n", cell.cast("int").alias("_cell"), inside).agg(F.count(F.lit(1)).alias("_cnt"))
+    lo_rank, hi_rank = _middle_ranks()
+
+    def placed_by(rows: DataFrame, parts: list[str], order, before) -> DataFrame:
+        running = Window.partitionBy(*parts).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        return rows.withColumn("_end", before + F.sum("_cnt").over(running)).withColumn("_start", F.col("_end") - F.col("_cnt") + 1)
+
+    by_cell = placed_by(counts.groupBy("_g", "_n", "_cell").agg(F.sum("_cnt").alias("_cnt")), ["_g"], "_cell", F.lit(0))
+    holds = lambda rank: (F.col("_start") <= rank) & (rank <= F.col("_end"))
+    middle_cells = by_cell.where(holds(lo_rank) | holds(hi_rank)).select("_g", "_cell", (F.col("_start") - 1).alias("_before"))
+    placed = placed_by(counts.join(middle_cells, ["_g", "_cell"]), ["_g", "_cell"], F.col("_v").asc_nulls_first(), F.col("_before"))
+    return placed
+
+
+def _middle_ranks():
+    return F.floor((F.col("_n") - 1) / 2) + 1, F.floor(F.col("_n") / 2) + 1
+
+
+def exact_medians(
+    df: DataFrame,
+    keys: list[str],
+    values: list[str],
+    prefix: str = "median_",
+    accuracy: int = ACCURACY,
+    cells: int = CELLS,
+) -> DataFrame:
+    """One row per group of ``keys`` with ``{prefix}{value}`` for each value column.
+
+    With no keys the result is a single row (global medians). Groups and
+    measures travel as one struct key ``_g`` (a struct is never NULL and
+    compares NULL fields as equal), so the joins below are plain equi-joins.
+    """
+    g = F.col("_g")
+    placed = _placed(df, keys, values, accuracy, cells)
+    lo_rank, hi_rank = _middle_ranks()
     at = lambda rank: F.max(F.when((rank >= F.col("_start")) & (rank <= F.col("_end")), F.col("_v")))
     picked = placed.groupBy("_g").agg(at(lo_rank).alias("_lo"), at(hi_rank).alias("_hi"))
     missed = F.raise_error(F.lit("a median lies outside its bracket; raise the sketch accuracy"))

@@ -256,14 +256,15 @@ def key_and_domain(df: DataFrame, key: str = "loan_id", flag: str = "default_fla
     )
 
 
-def manifest_check(digests: DataFrame, manifest: DataFrame) -> DataFrame:
+def manifest_check(digests: DataFrame, manifest: DataFrame, name: Column | None = None) -> DataFrame:
     """Files on disk against a manifest (file, size_bytes, sha256).
 
-    Full outer join on the file name (both sides are file lists): reports
+    ``name`` gives a file's name in the manifest from its ``path`` (default: its
+    last part). Full outer join on the file name (both sides are file lists): reports
     missing files, unexpected files, size and digest mismatches.
     """
     on_disk = digests.select(
-        F.element_at(F.split("path", "/"), -1).alias("file"),
+        (F.element_at(F.split("path", "/"), -1) if name is None else name).alias("file"),
         F.col("size_bytes").alias("disk_size"),
         F.col("sha256").alias("disk_sha256"),
     )

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from cohortcraft.functions import classify, parse
 from cohortcraft.functions.metrics import n_rows
-from cohortcraft.operators import claims, quality, rollup, stats, typed
+from cohortcraft.operators import claims, difference, layer_profile, quality, rollup, scope_cube, stats, typed
 from cohortcraft.operators.audit import audit_sample, reconciled_audit
 from cohortcraft.operators.claim_table import check_claims, metric_values
 from cohortcraft.operators.cohort import (
@@ -176,6 +176,37 @@ def _landed_orders(spark: SparkSession, sf_dir: str, broken: bool, strict: bool)
     return records.land(spark, source, adapters.ORDER_COLUMNS, out, header=False, strict=strict)
 
 
+def _orders_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders against a written later version of them: some keys gone, some new, some values changed."""
+    old = driver_table(spark, sf_dir, "orders")
+    out = f"{checkpoint_dir(spark).rstrip('/')}/orders-version-{uuid.uuid4().hex}"
+    write_columnar(adapters.next_orders(old), out)
+    return difference.difference(old, spark.read.parquet(out), ["o_orderkey"])
+
+
+CUBE_SCOPES = (*SCOPES, *SENSITIVITY_SCOPES, *GRADE_SCOPES, *SUBGRADE_SCOPES)
+
+
+def _scope_cube(typed: DataFrame) -> DataFrame:
+    fine = scope_cube.cells(typed)
+    return claims.scope_metrics(typed, CUBE_SCOPES, aggregates=scope_cube.scope_aggregates(fine, CUBE_SCOPES))
+
+
+def _partition_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters per year, stored in two arrivals and merged without a rescan; the sketch is held against the exact count."""
+    typed_ = typed_layer(spark, sf_dir)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/profiles-{uuid.uuid4().hex}"
+    late = F.col("issue_year") >= 2013
+    for arrival in (typed_.where(~late), typed_.where(late)):
+        layer_profile.store_profiles(layer_profile.partition_profiles(arrival, ["issue_year"]), path)
+    merged = layer_profile.merged_profile(spark.read.parquet(path), ["issue_year"])
+    exact = typed_.agg(F.count_distinct("loan_id").alias("distinct_non_null_loan_ids"))
+    both = merged.withColumn("_one", F.lit(1)).join(exact.withColumn("_one", F.lit(1)), "_one").drop("_one")  # two single rows
+    off = F.abs(F.col("estimated_distinct_loan_ids") - F.col("distinct_non_null_loan_ids"))
+    within = off <= F.ceil(4 * layer_profile.STANDARD_ERROR * F.col("distinct_non_null_loan_ids"))
+    return both.withColumn("sketch_within_error", within).drop("estimated_distinct_loan_ids")
+
+
 def _typed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``customer`` through the CSV sink, its header check and the typed scan."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/customer-csv-{uuid.uuid4().hex}"
@@ -234,6 +265,9 @@ QUERIES: dict[str, Query] = {
     "sensitivity_scope_metrics": _on_typed(lambda t: claims.scope_metrics(t, SCOPES + SENSITIVITY_SCOPES)),
     "segment_scope_metrics": _on_typed(lambda t: claims.scope_metrics(t, (PRIMARY_SCOPE, *GRADE_SCOPES, *SUBGRADE_SCOPES))),
     "cohort_assertions": _on_cohort(quality.key_and_domain),
+    "scope_cube": _on_typed(_scope_cube),
+    "partition_profile": _partition_profile,
+    "orders_difference": _orders_difference,
     "claim_table": lambda spark, d: check_claims(adapters.customer_claims(spark, d), metric_values(typed_layer(spark, d))),
     "audit_reconciled": lambda spark, d: reconciled_audit(adapters.event_answers(spark, d), adapters.event_metric_versions(spark, d), 25),
     "audit_sample": lambda spark, d: audit_sample(driver_table(spark, d, "events").select("event_id", "ts"), "event_id", "ts", 0.1),

@@ -20,8 +20,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortcraft.functions.metrics import half_even
-from cohortcraft.operators import claims, quality, rollup, stats
+from cohortcraft.functions.classify import STATUS_GROUPS
+from cohortcraft.functions.metrics import half_even, n_where
+from cohortcraft.operators import claims, layer_profile, quality, rollup, stats
 from cohortcraft.operators.cohort import analysis_cohort, dashboard_extract
 from cohortcraft.operators.document import governed_document, governed_metrics
 from cohortcraft.operators.model import vintage_logit
@@ -54,19 +55,36 @@ def _one_row_join(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.withColumn("_one", F.lit(1)).join(right.withColumn("_one", F.lit(1)), "_one").drop("_one")
 
 
-def typed_job(raw: DataFrame, out_root: str) -> str:
+def typed_job(raw: DataFrame, out_root: str, exact_distinct: bool = True) -> str:
+    """Write the typed layer and its quality document.
+
+    The counters and the status distribution come from the write itself. The
+    exact distinct id count reads the written id column once; without
+    ``exact_distinct`` a sketch of the same pass gives it and nothing is read.
+    """
     path = f"{out_root}/typed/contracts"
-    write_columnar(typed_contracts(raw), path, partition_by=["issue_year"])
-    typed = read_columnar(raw.sparkSession, path).select(*TYPED_COLUMNS)
-    profile = quality.typed_profile(typed)
-    groups = quality.distribution_map(quality.status_distribution(typed), "status_group").withColumnRenamed(
-        "distribution", "status_groups"
+    spark = raw.sparkSession
+    typed = typed_contracts(raw)
+    groups = [n_where(F.col("status_group") == g).alias(f"group_{i}") for i, g in enumerate(STATUS_GROUPS)]
+    measures = [*layer_profile.counters(typed), *groups]
+    if not exact_distinct:
+        measures.append(layer_profile.sketch())
+    seen = layer_profile.write_profiled(typed, path, measures, partition_by=["issue_year"])
+    counted = {g: seen.pop(f"group_{i}") for i, g in enumerate(STATUS_GROUPS)}
+    written = read_columnar(spark, path).select(*TYPED_COLUMNS)
+    if exact_distinct:
+        distinct = written.agg(F.count_distinct("loan_id").alias("n")).first()["n"]
+    else:
+        held = spark.createDataFrame([(seen.pop("loan_id_sketch"),)], "s binary")
+        distinct = held.select(F.hll_sketch_estimate("s").alias("n")).first()["n"]
+    columns = [(n, t, nl) for n, t, nl in quality.schema_rows(written)]
+    first = {"row_count": seen.pop("row_count"), "distinct_non_null_loan_ids": distinct}
+    fields = {**first, **seen, "status_groups": {g: n for g, n in counted.items() if n}}
+    kinds = [f"{name} {'date' if name.endswith('issue_date') else 'bigint'}" for name in fields if name != "status_groups"]
+    doc = spark.createDataFrame(
+        [(*fields.values(), columns)],
+        ", ".join([*kinds, "status_groups map<string,bigint>", "columns array<struct<name:string,type:string,nullable:boolean>>"]),
     )
-    schema = F.array(*[
-        F.struct(F.lit(n).alias("name"), F.lit(t).alias("type"), F.lit(nl).alias("nullable"))
-        for n, t, nl in quality.schema_rows(typed)
-    ])
-    doc = _one_row_join(profile, groups).withColumn("columns", schema)
     write_document(with_generated_at(doc), f"{out_root}/typed/quality.json")
     return path
 

@@ -68,6 +68,16 @@ def event_metric_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return means.select("metric", F.date_add("day", 1).alias("valid_from"), "actual_value")
 
 
+def next_orders(orders: DataFrame) -> DataFrame:
+    """A later version of ``orders``: keys mod 101 = 7 gone, mod 103 = 9 repeated under new keys, mod 97 and 89 changed."""
+    key = F.col("o_orderkey")
+    kept = orders.where(key % 101 != 7).withColumns({
+        "o_orderstatus": F.when(key % 97 == 1, "X").otherwise(F.col("o_orderstatus")),
+        "o_orderpriority": F.when(key % 89 == 2, F.lit(None)).otherwise(F.col("o_orderpriority")),
+    })
+    return kept.unionByName(orders.where(key % 103 == 9).withColumn("o_orderkey", key + 10**12))
+
+
 def orders_text(spark: SparkSession, sf_dir: str, broken: bool) -> str:
     """``orders`` as delimited text in the shared folder; returns the folder.
 

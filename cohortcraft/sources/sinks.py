@@ -129,14 +129,14 @@ def _digest_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.assign(sha256=digests)
 
 
-def file_digests(spark: SparkSession, path_glob: str | list[str]) -> DataFrame:
-    """(path, size_bytes, sha256) per file.
+def file_digests(spark: SparkSession, path_glob: str | list[str], recursive: bool = False) -> DataFrame:
+    """(path, size_bytes, sha256) per file; ``recursive`` takes all files below the folders.
 
     Files are listed by their metadata and dealt to tasks of about
     ``DIGEST_TASK_BYTES`` each; a task reads its files in chunks, so a file may
     have any size and no row holds content.
     """
-    files = spark.read.format("binaryFile").load(path_glob).select("path", F.col("length").alias("size_bytes"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path_glob).select("path", F.col("length").alias("size_bytes"))
     size = files.agg(F.count("*").alias("n"), F.sum("size_bytes").alias("b")).first()
     tasks = max(1, min(size["n"], -(-(size["b"] or 0) // DIGEST_TASK_BYTES) * 4))
     return files.repartition(tasks, "path").mapInPandas(_digest_files, "path string, size_bytes bigint, sha256 string")
