@@ -27,6 +27,7 @@ from __future__ import annotations
 import base64
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -38,20 +39,25 @@ from pyspark.sql import types as T
 from cohortcraft.llm import kernels as K
 from cohortcraft.llm.workers import ship_package
 
-CACHE = 600_000
-"""Distinct chunks, and distinct neighbour pairs, that a worker keeps; beyond it the cache starts anew (results do not change)."""
+CACHE = 300_000
+"""Distinct chunks that a worker keeps; beyond it the cache starts anew (results do not change)."""
 LONGEST = 48
 """Bytes of the longest piece whose table grows with those of others, and of the longest chunk that is kept."""
-SLICE = 4 << 20
+SLICE = 1 << 20
 """Bytes of text behind one output batch (a longer text stands alone)."""
 
 
+def tokens(path: str) -> dict[int, bytes]:
+    """Id -> bytes of a vocabulary file."""
+    with open(path, "rb") as f:
+        pairs = (line.split() for line in f if line.strip())
+        return {int(rank): base64.b64decode(token) for token, rank in pairs}
+
+
 class Vocabulary:
     def __init__(self, path: str, pattern: str) -> None:
-        with open(path, "rb") as f:
-            pairs = (line.split() for line in f if line.strip())
-            self.rank = {base64.b64decode(token): int(rank) for token, rank in pairs}
-        self.token = {rank: token for token, rank in self.rank.items()}
+        self.token = tokens(path)
+        self.rank = {token: rank for rank, token in self.token.items()}
         self.split = regex.compile(pattern).findall
         # every ending of a token, with its id where it is one itself, else -1: ends the search for tokens at a byte
         self.endings = {token[k:]: -1 for token in self.rank for k in range(len(token))}
@@ -111,14 +117,18 @@ class Vocabulary:
                 return True
 
     def neighbours(self, left: int, right: int) -> bool:
+        """Whether two tokens may stand side by side in an encoding."""
         key = left << 32 | right
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= 2 * CACHE:
+            if len(self.pairs) >= CACHE // 4:
                 self.pairs.clear()
-            known = self.pairs[key] = self.reachable(left) and self.reachable(right) and self._seam(left, right)
+            known = self.pairs[key] = self.joins_here(left, right)
         return known
 
+    def joins_here(self, left: int, right: int) -> bool:
+        return self.reachable(left) and self.reachable(right) and self._seam(left, right)
+
     def piece(self, piece: str) -> list[int]:
         """Ids of one match of the pattern."""
         data = piece.encode("utf-8")
@@ -269,7 +279,7 @@ class _Pairs:
         out = self.valid[spot]
         new = np.flatnonzero(self.key[spot] != key)
         if len(new):
-            answers = self.vocabulary.neighbours
+            answers = self.vocabulary.joins_here
             found = np.fromiter(map(answers, left[new].tolist(), right[new].tolist()), bool, len(new))
             out[new] = found
             self.key[spot[new]] = key[new]
@@ -292,6 +302,7 @@ class BatchEncoder:
         self.size = np.zeros(max(v.token) + 1, np.int64)
         self.size[[r for r, _ in tokens]] = np.diff(at)
         self.pairs = _Pairs(v)
+        self.reach = np.full(max(v.token) + 1, -1, np.int8)  # -1: not asked yet
         self._reset()
 
     def _reset(self) -> None:
@@ -316,7 +327,10 @@ class BatchEncoder:
                     spots = np.flatnonzero(there)
                     valid[spots] = self.pairs(last[rows[spots], start], token[spots])
                 else:
-                    valid[there] = [self.vocabulary.reachable(t) for t in token[there].tolist()]
+                    own = token[there]
+                    for t in np.unique(own[self.reach[own] < 0]).tolist():
+                        self.reach[t] = self.vocabulary.reachable(t)
+                    valid[there] = self.reach[own] == 1
                 last[rows[valid], end] = token[valid]
                 rows = rows[~valid]
             if len(rows):
@@ -343,8 +357,10 @@ class BatchEncoder:
         unknown = {p for ps in pieces for p in ps if p not in rank}
         known = {p: PrefixTable(v, p).ids() for p in unknown if len(p) > LONGEST}
         short = [p for p in unknown if len(p) <= LONGEST]
-        for p, ids in zip(short, self.prefix_tables(short), strict=True):
-            known[p] = ids if v.decode(ids) == p else PrefixTable(v, p).ids()  # hashes only found the tokens
+        tables = self.prefix_tables(short)
+        if v.decode(chain.from_iterable(tables)) != b"".join(short):  # hashes only found the tokens
+            tables = [ids if v.decode(ids) == p else PrefixTable(v, p).ids() for p, ids in zip(short, tables, strict=True)]
+        known.update(zip(short, tables, strict=True))
         return [[i for p in ps for i in ((rank[p],) if p in rank else known[p])] for ps in pieces]
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -448,14 +464,19 @@ def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: s
     return _mapped(docs, text, ids, T.ArrayType(T.IntegerType(), False), work)
 
 
-def decoded(docs: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
+def decoded(docs: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``docs`` with the bytes of its ids as binary; a null list has none. A column named like ``out`` is replaced."""
 
     def work(values: pa.Array):
-        decode = vocabulary(path, pattern).decode
+        token = _token_table(path).__getitem__
         step = 256
         for a in range(0, len(values), step):
             rows = values.slice(a, step)
-            yield a, a + len(rows), pa.array([decode(r) if r else b"" for r in rows.to_pylist()], pa.binary())
+            yield a, a + len(rows), pa.array([b"".join(map(token, r)) if r else b"" for r in rows.to_pylist()], pa.binary())
 
     return _mapped(docs, ids, out, T.BinaryType(), work)
+
+
+@lru_cache(maxsize=2)
+def _token_table(path: str) -> dict[int, bytes]:
+    return tokens(path)

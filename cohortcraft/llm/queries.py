@@ -134,7 +134,7 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole ``documents``: byte-level BPE ids, digests of the ids and of the bytes they decode to."""
     files = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     ids = byte_bpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), *files)
-    return byte_bpe.decoded(ids.drop("text"), *files).select(
+    return byte_bpe.decoded(ids.drop("text"), files[0]).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

@@ -115,7 +115,7 @@ def test_edited_text_equals_the_library(vocabulary, library, text, new, start, l
 def test_operator_on_odd_rows(spark, docs_of, library):
     docs = docs_of(list(enumerate(ODD)) + [(3, "same id"), (3, "same id"), (None, "no id")])
     docs = docs.withColumnRenamed("lang", "ids").withColumnRenamed("source", "decoded")  # clashing names
-    out = byte_bpe.decoded(byte_bpe.encoded(docs, PATH, PATTERN), PATH, PATTERN)
+    out = byte_bpe.decoded(byte_bpe.encoded(docs, PATH, PATTERN), PATH)
     assert set(out.columns) == {"doc_id", "text", "n_chars", "ids", "decoded"}
     rows = out.collect()
     assert len(rows) == docs.count()
