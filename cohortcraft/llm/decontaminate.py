@@ -11,8 +11,11 @@ The index alphabet is the benchmark's vocabulary: a word that no item has ends
 a run, and runs too short for any phrase cannot hold one, so leaving them out of
 the index loses nothing.
 
-The benchmark reaches the tasks in blocks of about ``BLOCK`` bytes of item text,
-read one at a time; every block is searched in every shard.
+Phrases are built by tasks over the benchmark, in blocks of about ``BLOCK`` bytes
+of item text, and written to the shared folder. A pass over the documents
+searches at most ``HELD`` blocks, which are all that the driver or a worker holds
+at a time; a larger benchmark takes several passes, each of which hands on what
+the passes before it found.
 
 Defined cases: null or empty text: no words, no hits. Null item text: no
 phrases. Items without an id are searched under the empty id; items that
@@ -22,6 +25,8 @@ benchmark marks nothing.
 
 from __future__ import annotations
 
+import pickle
+import uuid
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from hashlib import sha256
@@ -33,9 +38,13 @@ from pyspark.sql import functions as F
 
 from cohortcraft.llm import kernels as K
 from cohortcraft.llm.fm_index import FMIndex
+from cohortcraft.llm.storage import written
+from cohortcraft.llm.workers import ship_package
 
 SHARD = 8 << 20
 BLOCK = 4 << 20
+HELD = 8
+"""Blocks of phrases that one pass searches."""
 
 
 class Phrases:
@@ -130,23 +139,34 @@ def find(codes: np.ndarray, first: np.ndarray, phrases: Phrases) -> tuple[np.nda
 
 _SPAN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 _OUT = "n_words bigint, n_hit bigint, items array<string>, spans array<struct<start:bigint,end:bigint>>"
+_COVER, _FOUND = "_cover", "_found"
+_PASSED = f"{_COVER} array<bigint>, {_FOUND} array<string>"
 
 
-def _marker(blocks: list, text_name: str, rest: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def shard(column: pa.Array) -> list[pa.Array]:
+def _marker(blocks: list, text_name: str, rest: list[str], later: bool, last: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """One pass. ``later``: rows carry what earlier passes found; ``last``: the result's columns, else what the next pass needs.
+
+    Between passes a row carries the word ranges it has covered (start, end in
+    turns) and the items it holds.
+    """
+
+    def shard(part: pa.RecordBatch) -> list[pa.Array]:
+        column = part.column(text_name)
         data, offsets = K.buffer(column)
         lowered = K.lower(data)
         start, end, first = K.words(lowered, offsets, K.ALNUM_BREAK)
         hashes = K.word_hashes(lowered, start, end)
-        rows = len(offsets) - 1
         mark = np.zeros(len(start) + 1, np.int64)
-        items: list[set[str]] = [set() for _ in range(rows)]
-        for block in blocks:
-            phrases: Phrases = block.value
-            found, pairs = find(phrases.codes(hashes), first, phrases)
+        items: list[set[str]] = [set() for _ in range(len(offsets) - 1)]
+        if later:
+            for d, (cover, found) in enumerate(zip(part.column(_COVER).to_pylist(), part.column(_FOUND).to_pylist(), strict=True)):
+                np.add.at(mark, np.array(cover, np.int64) + first[d], np.resize([1, -1], len(cover)))
+                items[d].update(found)
+        for block in _phrases(blocks):
+            found, pairs = find(block.codes(hashes), first, block)
             mark += found
             for d, i in pairs:
-                items[d].add(phrases.item_ids[i])
+                items[d].add(block.item_ids[i])
         hit = np.cumsum(mark[:-1]) > 0
         total = np.concatenate([[0], np.cumsum(hit)])
         opens, closes = hit.copy(), hit.copy()
@@ -155,9 +175,13 @@ def _marker(blocks: list, text_name: str, rest: list[str]) -> Callable[[Iterator
         opens[1:] &= ~hit[:-1] | cut[1:-1]
         closes[:-1] &= ~hit[1:] | cut[1:-1]
         a, b = np.flatnonzero(opens), np.flatnonzero(closes)
-        chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)]) if len(a) else None
         span_first = np.searchsorted(a, first)
         doc = np.searchsorted(first, a, "right") - 1
+        names = pa.array([sorted(x) for x in items], pa.list_(pa.string()))
+        if not last:
+            ranges = np.stack([a - first[doc], b + 1 - first[doc]], axis=1).reshape(-1)
+            return [pa.ListArray.from_arrays(pa.array((2 * span_first).astype(np.int32)), pa.array(ranges, pa.int64())), names]
+        chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)]) if len(a) else None
         base = chars[offsets[doc]] if len(a) else a
         spans = pa.StructArray.from_arrays(
             [pa.array((chars[start[a]] - base) if len(a) else a, pa.int64()), pa.array((chars[end[b]] - base) if len(a) else b, pa.int64())],
@@ -166,39 +190,58 @@ def _marker(blocks: list, text_name: str, rest: list[str]) -> Callable[[Iterator
         return [
             pa.array(np.diff(first), pa.int64()),
             pa.array(np.diff(total[first]), pa.int64()),
-            pa.array([sorted(x) for x in items], pa.list_(pa.string())),
+            names,
             pa.ListArray.from_arrays(pa.array(span_first.astype(np.int32)), spans),
         ]
 
+    added = ["n_words", "n_hit", "items", "spans"] if last else [_COVER, _FOUND]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.column(text_name)
             for i, j in K.slices(K.buffer(text)[1], SHARD):
                 part = batch.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), *shard(part.column(text_name))], names=[*rest, "n_words", "n_hit", "items", "spans"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), *shard(part)], names=[*rest, *added])
 
     return run
 
 
-def phrase_blocks(benchmark: DataFrame, id_col: str, text: str, window: int) -> list:
-    """Broadcast blocks of phrases; the driver holds one block of items at a time."""
-    context = benchmark.sparkSession.sparkContext
-    out, ids, texts, size = [], [], [], 0
+_HELD: dict[str, list[Phrases]] = {}
 
-    def close() -> None:
-        nonlocal ids, texts, size
+
+def _phrases(blocks: list) -> list[Phrases]:
+    """The phrases of a pass's broadcast, unpacked once per worker; those of the pass before are let go."""
+    if not blocks:
+        return []
+    (shared,) = blocks
+    if shared[0] not in _HELD:
+        _HELD.clear()
+        _HELD[shared[0]] = [pickle.loads(b) for b in shared[1].value]
+    return _HELD[shared[0]]
+
+
+def phrase_blocks(benchmark: DataFrame, id_col: str, text: str, window: int) -> DataFrame:
+    """(block, phrases): written blocks of phrases, built by tasks. Items are dealt by a hash, so blocks are about equal."""
+    items = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("i"), F.col(text).alias("t")).where("t IS NOT NULL")
+    size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    blocks = max(1, -(-size // BLOCK))
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("i", "t"), F.lit(blocks)).cast("int"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, ids, texts = None, [], []
+        row = lambda: pa.RecordBatch.from_arrays([pa.array([held], pa.int32()), pa.array([pickle.dumps(Phrases(ids, texts, window))], pa.binary())], names=["block", "phrases"])
+        for batch in batches:
+            for block, i, t in zip(*(batch.column(c).to_pylist() for c in ("block", "i", "t")), strict=True):
+                if block != held:
+                    if ids:
+                        yield row()
+                    held, ids, texts = block, [], []
+                ids.append(i)
+                texts.append(t)
         if ids:
-            out.append(context.broadcast(Phrases(ids, texts, window)))
-        ids, texts, size = [], [], 0
+            yield row()
 
-    for row in benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("i"), F.col(text).alias("t")).toLocalIterator():
-        ids.append(row["i"])
-        texts.append(row["t"])
-        size += len((row["t"] or "").encode())
-        if size >= BLOCK:
-            close()
-    close()
-    return out
+    return written(dealt.repartition("block").sortWithinPartitions("block").mapInArrow(run, "block int, phrases binary"), "phrases")
 
 
 ADDED = ("n_words", "n_hit", "items", "spans", "contaminated")
@@ -212,11 +255,25 @@ def mark_contaminated(
     Contaminated: some word lies in a phrase and those words are at least 5
     percent of all words. Columns of ``docs`` named like an added one are replaced.
     """
-    blocks = phrase_blocks(benchmark, item_id, item_text, window)
+    ship_package(docs.sparkSession)
+    context = docs.sparkSession.sparkContext
+    table = phrase_blocks(benchmark, item_id, item_text, window)
+    numbers = sorted(r["block"] for r in table.select("block").collect())  # small integers, one per ``BLOCK`` bytes
+    groups = [numbers[k : k + HELD] for k in range(0, len(numbers), HELD)] or [[]]
     rest = [c for c in docs.columns if c not in ADDED and (keep_text or c != text)]
-    plain = docs.select(*dict.fromkeys([*rest, text]))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.select(*rest).schema)
-    marked = plain.mapInArrow(_marker(blocks, text, rest), f"{kept + ', ' if rest else ''}{_OUT}")
+    rows = docs.select(*dict.fromkeys([*rest, text]))
+    kinds = lambda names: [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*names).schema]
+    for k, group in enumerate(groups):
+        last = k == len(groups) - 1
+        held = [bytes(r["phrases"]) for r in table.where(F.col("block").isin(group)).collect()] if group else []  # at most HELD blocks
+        shared = context.broadcast(held)
+        blocks = [(uuid.uuid4().hex, shared)] if held else []
+        keep = rest if last else rows.columns if k == 0 else [c for c in rows.columns if c not in (_COVER, _FOUND)]
+        found = rows.mapInArrow(_marker(blocks, text, keep, k > 0, last), ", ".join([*kinds(keep), _OUT if last else _PASSED]))
+        if not last:
+            rows = written(found, "marked")
+            shared.destroy()
+    marked = found
     return marked.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 

@@ -24,8 +24,9 @@ def test_equals_brute_force_also_in_many_blocks_and_shards(spark, docs_of, monke
     docs, items = _tables()
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
     expected = contamination(docs, [("" if i is None else i, t) for i, t in items])
-    for block, shard in ((decontaminate.BLOCK, decontaminate.SHARD), (300, 500)):
+    for block, shard, held in ((decontaminate.BLOCK, decontaminate.SHARD, 8), (300, 500, 8), (300, 700, 1), (100, 900, 3)):
         monkeypatch.setattr(decontaminate, "BLOCK", block)
+        monkeypatch.setattr(decontaminate, "HELD", held)
         monkeypatch.setattr(decontaminate, "SHARD", shard)
         rows = decontaminate.mark_contaminated(docs_of(docs), benchmark, keep_text=True).collect()
         assert len(rows) == len(docs)
