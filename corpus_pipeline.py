@@ -19,6 +19,10 @@ NEAR_PERCENT = 85
 """Similarity of the near-dedup stage, in percent of five-word shingles: op5's contract."""
 
 
+TARGETS = {"clean": 0.96, "low": 0.03, "toxic": 0.01}
+"""Token shares of the mixing stage; toxic text is drawn down to what its classifier cannot tell from the rest."""
+
+
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the threshold table keeps."""
     return quality_rules.without_rejected(docs)
@@ -37,7 +41,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that stay when domains are brought to their target token shares."""
-    return mixing.mixed(docs, table(spark, sf_dir, "labels"))
+    return mixing.mixed(docs, table(spark, sf_dir, "labels"), TARGETS)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
