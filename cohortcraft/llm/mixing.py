@@ -11,7 +11,9 @@ where G is the posteriors' token-weighted Gram matrix over documents whose rate
 is above 0 (it conditions the step, so a rare domain moves as fast as a common
 one). A rate depends on the posteriors and the past steps alone, so a pass over
 the compact table (id, tokens, posteriors) recomputes it and sums K totals and
-K*K products; only those reach the driver.
+K*K products; only those reach the driver. A step that does not bring the totals
+nearer is halved until it does; the best steps are returned. A fit that still
+misses its targets raises unless the caller accepts it.
 
 Defined cases: null or empty text: no tokens; its posteriors are those of the
 intercept and its rate follows from them. No labelled rows: all posteriors
@@ -46,7 +48,13 @@ TARGETS = {"clean": 0.95, "low": 0.03, "toxic": 0.02}
 
 
 REPORTED = 1e-3
-"""Share of all tokens by which fitted totals may miss the targets without a warning."""
+"""Share of all tokens by which fitted totals may miss the targets."""
+
+HALVINGS = 12
+
+
+class MissedTargets(RuntimeError):
+    """No rates were found that meet the targets."""
 
 
 def domain_label() -> Column:
@@ -142,36 +150,51 @@ def _sums(members: DataFrame, rate: Column) -> tuple[np.ndarray, np.ndarray, flo
 
 
 def fit_rates(
-    members: DataFrame, targets: dict[str, float] = TARGETS, anchor: str | None = ANCHOR, repeats: bool = True, tolerance: float = 1e-9, passes: int = 60
+    members: DataFrame, targets: dict[str, float] = TARGETS, anchor: str | None = ANCHOR, repeats: bool = True, tolerance: float = 1e-9,
+    passes: int = 60, accept: bool = False,
 ) -> Fit:
-    """Steps of the projected gradient.
+    """Steps of the projected gradient, those with the least error.
 
     Without an anchor the targets share out all tokens. Without ``repeats`` no
-    domain's target exceeds the total that it has.
+    domain's target exceeds the total that it has. Targets that are missed by
+    more than ``REPORTED`` of all tokens raise; with ``accept`` they only warn.
     """
     share = np.array([targets[d] for d in DOMAINS], float)
     share = share / share.sum()
-    steps: list[np.ndarray] = []
-    goal = np.zeros(len(DOMAINS))
-    totals, error = goal, float("inf")
-    for k in range(passes):
-        totals, gram, tokens = _sums(members, _rate(steps))
-        if k == 0:
-            anchor_at = DOMAINS.index(anchor) if anchor else None
-            goal = share * (tokens if anchor_at is None else totals[anchor_at] / share[anchor_at])
-            goal = goal if repeats else np.minimum(goal, totals)
-        if tokens == 0:
-            return Fit([], goal, totals, 0.0)
-        residual = (totals - goal) / tokens
-        before, error = error, float(np.abs(residual).max())
-        if error <= tolerance or (k > 8 and error >= before * (1 - 1e-6)):
+    totals, gram, tokens = _sums(members, _rate([]))
+    if tokens == 0:
+        return Fit([], np.zeros(len(DOMAINS)), totals, 0.0)
+    anchor_at = DOMAINS.index(anchor) if anchor else None
+    goal = share * (tokens if anchor_at is None else totals[anchor_at] / share[anchor_at])
+    goal = goal if repeats else np.minimum(goal, totals)
+    off = lambda t: float(np.abs((t - goal) / tokens).max())
+    best, error, used = [], off(totals), 1
+    while error > tolerance and used < passes:
+        # a ridge keeps the step finite when a domain has no active document
+        step = np.linalg.solve(gram / tokens + 1e-9 * np.eye(len(DOMAINS)), (totals - goal) / tokens)
+        for _ in range(HALVINGS):
+            tried = [*best, step]
+            found = _sums(members, _rate(tried))
+            used += 1
+            if off(found[0]) < error * (1 - 1e-6):
+                break
+            step = step / 2
+            if used >= passes:
+                break
+        if off(found[0]) >= error * (1 - 1e-6):
             break
-        # a ridge keeps the step finite when a domain has no active document; shorter steps near the bound
-        step = np.linalg.solve(gram / tokens + 1e-9 * np.eye(len(DOMAINS)), residual)
-        steps.append(np.clip(step, -1e6, 1e6))
+        best, (totals, gram, _), error = tried, found, off(found[0])
     if error > REPORTED:
-        warnings.warn(f"mixing: totals miss the targets by up to {error:.3g} of all tokens", stacklevel=2)
-    return Fit(steps, goal, totals, error)
+        missed = f"mixing: totals miss the targets by up to {error:.3g} of all tokens"
+        if not accept:
+            raise MissedTargets(missed)
+        warnings.warn(missed, stacklevel=2)
+    return Fit(best, goal, totals, error)
+
+
+def _draw(doc_id: Column) -> Column:
+    """A number in [0, 1) per document, from its id alone."""
+    return F.pmod(F.xxhash64(doc_id.cast("string"), F.lit("mix")), F.lit(1 << 32)) / float(1 << 32)
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
@@ -179,23 +202,24 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS)
 
     ``copies`` rounds the rate down or up by a hash of the id, so that its
     expectation is the rate and a document's draw never depends on others.
+    Targets that no rates meet are missed as little as possible, with a warning.
     """
     weights = fit(docs.select("doc_id", "text"), labels)
     members = written(memberships(docs.select("doc_id", "text"), weights), "memberships")
-    rate = _rate(fit_rates(members, targets).steps)
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("mix")), F.lit(1 << 32)) / float(1 << 32)
-    return members.withColumn("rate", rate).withColumn("copies", F.floor(F.col("rate") + draw).cast("bigint"))
+    rate = _rate(fit_rates(members, targets, accept=True).steps)
+    return members.withColumn("rate", rate).withColumn("copies", F.floor(F.col("rate") + _draw(F.col("doc_id"))).cast("bigint"))
 
 
-def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
-    """The rows of ``docs``, all columns, that stay in the mix: rates fitted without repeats and rounded to 0 or 1.
+def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, doc_id: str = "doc_id") -> DataFrame:
+    """The rows of ``docs``, all columns, that stay in the mix: drawn by a hash of the id against rates fitted without repeats.
 
-    The posteriors are computed a second time on the way out, so whole texts
-    are never shuffled to meet their rates.
+    A rate of 1 or more always stays. The posteriors are computed a second time
+    on the way out, so whole texts are never shuffled to meet their rates.
     """
-    weights = fit(docs.select("doc_id", "text"), labels)
+    weights = fit(docs.select(F.col(doc_id).alias("doc_id"), "text"), labels)
     members = written(memberships(docs.select("text"), weights), "memberships")
-    rate = _rate(fit_rates(members, targets, repeats=False).steps)
+    rate = _rate(fit_rates(members, targets, repeats=False, accept=True).steps)
     plain = docs.select(*(F.col(c).alias(f"c{k}") for k, c in enumerate(docs.columns)))
     rated = memberships(plain, weights, f"c{docs.columns.index('text')}", keep=plain.columns)
-    return rated.where(rate >= 0.5).select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)))
+    own = F.coalesce(F.col(f"c{docs.columns.index(doc_id)}").cast("string"), F.lit(""))
+    return rated.where(_draw(own) < rate).select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)))

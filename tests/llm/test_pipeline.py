@@ -46,6 +46,20 @@ def test_decontamination(spark, stages):
     assert sorted(r.doc_id for r in stages[3].collect()) == clean and len(clean) < len(docs)
 
 
+def test_mixing_meets_its_targets(spark, stages):
+    """Expected token shares of the drawn rows, by the stage's own posteriors, against the stage's targets."""
+    before, after = stages[3], stages[4]
+    weights = mixing.fit(before.select("doc_id", "text"), table(spark, SF, "labels"))
+    shares = []
+    for rows in (before, after):
+        m = mixing.memberships(rows.select("doc_id", "text"), weights).toPandas()
+        totals = np.array([(m.n_tokens * m[f"p_{d}"]).sum() for d in mixing.DOMAINS])
+        shares.append(totals / totals.sum())
+    want = np.array([corpus_pipeline.TARGETS[d] for d in mixing.DOMAINS])
+    kept = np.minimum(want, shares[0])  # no row is repeated, so a domain never grows
+    assert np.abs(shares[1] - kept / kept.sum()).max() < 0.005, (shares, want)
+
+
 def test_mixing_drops_toxic_and_keeps_clean(spark, stages):
     labels = {r.doc_id: r for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     before, after = ({r.doc_id for r in s.collect()} for s in stages[3:5])
@@ -84,4 +98,6 @@ def test_stages_take_odd_rows(spark, docs_of, tmp_path):
 def test_a_fit_that_misses_its_targets_warns(spark):
     members = spark.createDataFrame([(100, 0.5, 0.5, 0.0)], "n_tokens bigint, p_clean double, p_low double, p_toxic double")
     with pytest.warns(UserWarning, match="miss the targets"):
+        mixing.fit_rates(members, accept=True)
+    with pytest.raises(mixing.MissedTargets, match="miss the targets"):
         mixing.fit_rates(members)
