@@ -3,6 +3,9 @@
 A block is the text between two boundaries of block-level elements; inline
 elements and line breaks stay inside it. The path of a block names its
 ancestors' tags and their class, id and role words.
+
+Only what a page never shows as text, and form fields, give no blocks; formulas,
+drawings' labels and fallback texts stand in the block around them.
 """
 
 from __future__ import annotations
@@ -12,7 +15,7 @@ import re
 from typing import NamedTuple
 
 # Element kinds of HTML.
-RAW = frozenset("script style noscript template textarea title svg math iframe object select head".split())
+RAW = frozenset("script style template textarea title iframe select head".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body button center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -100,7 +103,7 @@ def blocks(page: str | None) -> list[Block]:
                     break  # an inline end tag never closes a block
             continue
         if tag in RAW:
-            if tag in ("head", "select", "svg", "math", "object") and m[0].endswith("/>"):
+            if tag in ("head", "select") and m[0].endswith("/>"):
                 continue
             lowered = page.lower() if lowered is None else lowered
             if len(lowered) != len(page):  # a letter whose lower case has another length

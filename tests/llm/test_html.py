@@ -17,6 +17,15 @@ def test_blocks_and_references():
     assert [B.weak_label(b.path) for b in found] == [0, 0, 1, 1, 1, 1, 1, 1, 0]
 
 
+def test_formulas_and_fallback_texts_are_kept():
+    page = (
+        "<article><p>Energy <math><mi>E</mi><mo>=</mo><mi>m</mi></math> is kept <object data='x'>see the figure</object> to the "
+        "<svg viewBox='0 0 1 1'><title>icon</title><text>axis</text></svg> end</p><noscript><p>Plain version.</p></noscript>"
+        "<textarea>typed</textarea><select><option>one</select><iframe src='x'>frame</iframe><template><p>later</p></template></article>"
+    )
+    assert [b.text for b in blocks(page)] == ["Energy E=m is kept see the figure to the axis end", "Plain version."]
+
+
 def test_broken_markup_does_not_crash():
     for page in (None, "", "<", "<p", "<a href=\"x>y", "<!-- open", "</p></div>text", "<script>never closed", "a < b > c", "<p>" * 3000 + "x", "<![CDATA[raw]]>", "İ<script>x</script>y"):
         blocks(page)
