@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortcraft.llm import kernels as K
+from cohortcraft.llm.storage import written
 from cohortcraft.llm.subwords import encoder
 
 SHARD_IDS = 1 << 20
@@ -231,20 +232,48 @@ def documents_of(shards: DataFrame) -> DataFrame:
 
 
 def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("key", pa.int64()), ("ids", pa.list_(pa.int64()))])
+    schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("key", pa.int64()), ("ids", pa.list_(pa.int64()))])
     for batch in batches:
         for r in range(batch.num_rows):
             shard = Shard(batch.column("image")[r].as_py())
             wanted = batch.column("wanted")[r].values
-            plain = _plain_keys(wanted)
-            found = shard.first_documents(plain)
+            found = shard.first_documents(_plain_keys(wanted))
             ids = [shard.document(o).astype(np.int64) for o in found[found >= 0]]
-            yield pa.RecordBatch.from_arrays([wanted.filter(pa.array(found >= 0)), pa.array(ids, pa.list_(pa.int64()))], schema=schema)
+            at = [pa.array(np.full(len(ids), batch.column(c)[r].as_py(), np.int32)) for c in ("part", "seq")]
+            yield pa.RecordBatch.from_arrays([*at, wanted.filter(pa.array(found >= 0)), pa.array(ids, pa.list_(pa.int64()))], schema=schema)
+
+
+MAX_PARTS = 1_000_000
+"""Written partitions whose key ranges are sent to the tasks (24 bytes each); more raise."""
 
 
 def look_up(shards: DataFrame, keys: DataFrame, key: str = "key") -> DataFrame:
-    """(key, ids) of the first document of each wanted key; unknown keys have no row."""
-    directory = shards.select("part", "seq", F.explode("keys").alias("key")).distinct()
-    wanted = directory.join(keys.select(F.col(key).cast("bigint").alias("key")).distinct(), "key")
-    wanted = wanted.groupBy("part", "seq").agg(F.collect_list("key").alias("wanted"))  # bounded by a shard's documents
-    return shards.select("part", "seq", "image").join(wanted, ["part", "seq"]).select("wanted", "image").mapInArrow(_look_up, "key bigint, ids array<bigint>")
+    """(key, ids) of the first document of each wanted key; unknown and null keys have no row.
+
+    Shards are key ranges, so a key is sent to the one or two written partitions
+    whose range holds it, meets there the shards whose range does, and is found
+    by a single probe of a perfect hash; no other key is touched.
+    """
+    low, high = F.array_min("keys"), F.array_max("keys")
+    ranges = written(shards.select("part", "seq", low.alias("low"), high.alias("high")).where("high IS NOT NULL"), "key-ranges")
+    parts = ranges.groupBy("part").agg(F.min("low").alias("low"), F.max("high").alias("high")).orderBy("low", "high").limit(MAX_PARTS + 1).collect()
+    if len(parts) > MAX_PARTS:
+        raise ValueError(f"over {MAX_PARTS} written partitions; write larger ones")
+    sent = shards.sparkSession.sparkContext.broadcast(tuple(np.array([r[c] for r in parts], np.int64) for c in ("part", "low", "high")))
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, low, high = sent.value
+        for batch in batches:
+            k = batch.column(0).to_numpy()
+            # ranges follow each other and touch in repeated keys at most
+            a, b = np.searchsorted(high, k, "left"), np.searchsorted(low, k, "right")
+            n = np.maximum(b - a, 0)
+            which = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(a, n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(k, n)), pa.array(part[which].astype(np.int32))], names=["key", "part"])
+
+    wanted = keys.select(F.col(key).cast("bigint").alias("key")).where("key IS NOT NULL").distinct().mapInArrow(dealt, "key bigint, part int")
+    inside = wanted.join(ranges, "part").where((F.col("low") <= F.col("key")) & (F.col("key") <= F.col("high")))
+    asked = inside.groupBy("part", "seq").agg(F.collect_list("key").alias("wanted"))  # bounded by a shard's key range
+    images = shards.select("part", "seq", "image").join(asked, ["part", "seq"]).select("part", "seq", "wanted", "image")
+    found = images.mapInArrow(_look_up, "part int, seq int, key bigint, ids array<bigint>")
+    return found.groupBy("key").agg(F.min(F.struct("part", "seq", "ids")).alias("_f")).select("key", F.col("_f.ids").alias("ids"))

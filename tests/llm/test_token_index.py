@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -64,6 +65,31 @@ def test_round_trip(spark, docs_of, tokenizer, monkeypatch):
     assert set(found) == {9, -5} and found[-5] == [*tokenizer.encode("negative", add_special_tokens=False).ids, 2]
 
 
+def test_look_up_finds_first_documents_in_any_shard(spark, docs_of, monkeypatch):
+    """Keys over several written partitions and shards; a repeated key crosses shards."""
+    monkeypatch.setattr(token_index, "SHARD_IDS", 40)
+    monkeypatch.setattr(token_index, "SLICE", 200)
+    pairs = [(k * 2 - 100, f"text {k} " * (k % 5)) for k in range(400)] + [(301, f"same {k}") for k in range(60)] + [(None, "none")]
+    path = folder(spark, "test-lookup")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        token_index.write_shards(docs_of(pairs).repartition(5), path, PATH)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    shards = token_index.read_shards(spark, path)
+    assert shards.count() > 10 and shards.select("part").distinct().count() > 1
+    wanted = spark.createDataFrame([(k,) for k in [*range(-110, 720), None, 10**15, 10, 10]], "key bigint")
+    found = {r.key: r.ids for r in token_index.look_up(shards, wanted).collect()}
+    assert set(found) == {k for k, _ in pairs if k is not None}
+    first = {}
+    for r in shards.orderBy("part", "seq").collect():
+        shard = token_index.Shard(bytes(r["image"]))
+        for k, ordinal in zip(r["keys"], shard.first_documents(token_index._plain_keys(pa.array(r["keys"], pa.int64()))).tolist()):
+            first.setdefault(k, shard.document(ordinal).tolist())
+    assert all(found[k] == first[k] for k in found)
+    assert token_index.look_up(shards.limit(0), wanted).count() == 0
+
+
 def test_empty_table(spark, docs_of):
     path = folder(spark, "test-empty")
     token_index.write_shards(docs_of([]), path, PATH)
