@@ -73,16 +73,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 85, k: int = 5, banding: M.Banding = BANDING) -> DataFrame:
     """The rows of ``docs``, all columns, of which one document of each component is left.
 
-    Rows that repeat a kept id are one document: one of them stays. Rows
-    without an id cannot be told apart from others and stay.
+    Rows that repeat a kept id and its text are one document: one of them stays;
+    an id's different texts stay each. Rows without an id cannot be told apart
+    from others and stay.
     """
     marked = written(near_duplicates(docs, id_col, text, percent, k, banding), "near-duplicates")
     dropped = marked.where(F.col(id_col).isNotNull() & ~F.col("kept")).select(id_col).distinct()
     # dealt by id at every size (no switch between join forms); the ids are hashed, texts are not sorted
     left = docs.join(dropped.hint("shuffle_hash"), id_col, "left_anti").select(*docs.columns)
-    again = marked.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col)
-    if again.isEmpty():
+    again = written(marked.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col), "repeated-ids")
+    if again.isEmpty():  # the rule for ids, and so nothing to do
         return left
-    again = written(again, "repeated-ids")
     once, repeated = left.join(again, id_col, "left_anti"), left.join(again, id_col, "left_semi")
-    return once.select(*docs.columns).unionByName(repeated.select(*docs.columns).dropDuplicates([id_col]))
+    digest = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+    distinct = repeated.withColumn("_digest", digest).dropDuplicates([id_col, "_digest"]).select(*docs.columns)
+    return once.select(*docs.columns).unionByName(distinct)

@@ -59,3 +59,11 @@ def test_alternating_stars(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 600: 600, 601: 600}
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_other_texts_of_a_repeated_id_stay(spark, docs_of):
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(30))
+    docs = docs_of([(1, text(1)), (1, text(2)), (1, text(1)), (2, text(3)), (3, text(3)), (None, text(4)), (None, text(4))])
+    left = near_dup.without_near_duplicates(docs)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in left.collect()) == sorted([(1, text(1)), (1, text(2)), (2, text(3)), (0, text(4)), (0, text(4))])
