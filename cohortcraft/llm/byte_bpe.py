@@ -15,8 +15,9 @@ come before the merges that are still undone.
 
 Over a batch of texts the tables of all new pieces grow together, byte by byte,
 in numpy (``prefix_tables``). Texts are cut before white space that follows other
-characters, where no match of the pattern can reach over, and equal chunks are
-encoded once; a worker keeps their ids.
+characters and between a letter and an ASCII sign other than the apostrophe,
+where no match of the pattern can reach over, and equal chunks are encoded once;
+a worker keeps their ids.
 
 A vocabulary file holds one token and its rank per line, in base64; ranks are
 ids. A match that is itself a token takes its id, as the public library does.
@@ -39,7 +40,7 @@ from pyspark.sql import types as T
 from cohortcraft.llm import kernels as K
 from cohortcraft.llm.workers import ship_package
 
-CACHE = 300_000
+CACHE = 450_000
 """Distinct chunks that a worker keeps; beyond it the cache starts anew (results do not change)."""
 LONGEST = 48
 """Bytes of the longest piece whose table grows with those of others, and of the longest chunk that is kept."""
@@ -352,16 +353,18 @@ class BatchEncoder:
         return np.where(self.hashes[at] == value, self.ids_by_hash[at], -1)
 
     def _new_chunks(self, chunks: list[bytes]) -> list[list[int]]:
-        v, rank = self.vocabulary, self.vocabulary.rank
-        pieces = [[p.encode("utf-8") for p in v.split(c.decode("utf-8"))] for c in chunks]
+        v, rank, split = self.vocabulary, self.vocabulary.rank, self.vocabulary.split
+        cut = [split(c.decode("utf-8")) for c in chunks]
+        pieces = [[c] if len(ps) == 1 else [p.encode("utf-8") for p in ps] for c, ps in zip(chunks, cut, strict=True)]
         unknown = {p for ps in pieces for p in ps if p not in rank}
-        known = {p: PrefixTable(v, p).ids() for p in unknown if len(p) > LONGEST}
+        known: dict[bytes, list[int]] = {p: PrefixTable(v, p).ids() for p in unknown if len(p) > LONGEST}
         short = [p for p in unknown if len(p) <= LONGEST]
         tables = self.prefix_tables(short)
         if v.decode(chain.from_iterable(tables)) != b"".join(short):  # hashes only found the tokens
             tables = [ids if v.decode(ids) == p else PrefixTable(v, p).ids() for p, ids in zip(short, tables, strict=True)]
         known.update(zip(short, tables, strict=True))
-        return [[i for p in ps for i in ((rank[p],) if p in rank else known[p])] for ps in pieces]
+        ids_of = lambda p: known[p] if p in known else [rank[p]]
+        return [ids_of(ps[0]) if len(ps) == 1 else [i for p in ps for i in ids_of(p)] for ps in pieces]
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, first): ids of every text, one after the other; a null has none."""
@@ -405,11 +408,29 @@ def _space_ends(data: np.ndarray) -> np.ndarray:
     return out | two | three
 
 
+def _byte_mask(text: bytes) -> np.ndarray:
+    mask = np.zeros(256, bool)
+    mask[list(text)] = True
+    return mask
+
+
+_ASCII_LETTER = _byte_mask(bytes(c for c in range(128) if chr(c).isalpha()))
+_ASCII_SIGN = _byte_mask(bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'"))
+
+
+def _letter_ends(data: np.ndarray) -> np.ndarray:
+    """Bytes that end an ASCII or Latin-1 letter (of two bytes, the first of them C3, but the signs 97 and B7)."""
+    latin = np.zeros(len(data), bool)
+    latin[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    return _ASCII_LETTER[data] | latin
+
+
 def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where texts may be cut: at their starts, and before ASCII white space that follows anything else."""
+    """Where texts may be cut: at their starts, before ASCII white space that follows anything else, between a letter and an ASCII sign."""
     cut = np.zeros(len(data) + 1, bool)
     if len(data):
         cut[1:-1] = K.SPACE[data[1:]] & ~_space_ends(data)[:-1]
+        cut[1:-1] |= _ASCII_SIGN[data[1:]] & _letter_ends(data)[:-1]
     cut[offsets] = True
     cut[len(data) :] = False
     return np.flatnonzero(cut)

@@ -45,8 +45,11 @@ def test_ids_equal_the_library(vocabulary, library, text):
 UNICODE_SPACES = st.text(alphabet=st.sampled_from(list("ab'1. \n\t\r\x0b\x1c\x1f\x85\xa0\u1680\u2003\u2028\u202f\u205f\u3000é")), max_size=40)
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.lists(st.one_of(st.none(), LETTERS, UNICODE_SPACES), max_size=8))
+SIGNS = st.text(alphabet=st.sampled_from(list("aZé×÷ßÿ'’.,!-_@[{~ 7²\u0301\n")), max_size=40)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.none(), LETTERS, UNICODE_SPACES, SIGNS), max_size=8))
 def test_batches_equal_the_library(library, texts):
     """Tables of many pieces at once, texts cut at white space."""
     ids, first = byte_bpe.encoder(PATH, PATTERN).encode(pa.array(texts, pa.string()))
