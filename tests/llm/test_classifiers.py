@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 
@@ -85,3 +87,30 @@ def test_mixing_edges(spark, docs_of):
     blank = docs_of([(1, None), (2, "")])
     assert {r.rate for r in mixing.mix(blank, labels).collect()} == {1.0}
     assert mixing.mixed(docs.withColumnRenamed("lang", "p_clean"), labels).columns == ["doc_id", "text", "p_clean", "source", "n_chars"]
+
+
+def test_ftrl_equals_a_plain_loop():
+    """The published update, coordinate by coordinate."""
+    from cohortcraft.llm.quality_classifier import Ftrl
+
+    rng = np.random.default_rng(9)
+    alpha, beta, l1, l2 = 0.3, 1.0, 0.02, 0.1
+    model, z, n = Ftrl(12, alpha, beta, l1, l2), {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= l1:
+            return 0.0
+        sign = 1.0 if z[i] > 0 else -1.0
+        return -(z[i] - sign * l1) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for _ in range(300):
+        at = np.sort(rng.choice(13, rng.integers(1, 6), replace=False))
+        x, y = rng.integers(1, 4, len(at)).astype(float), float(rng.integers(0, 2))
+        w = {int(i): weight(int(i)) for i in at}
+        p = 1 / (1 + math.exp(-sum(w[int(i)] * v for i, v in zip(at, x))))
+        model.update(at, x, y)
+        for i, v in zip(map(int, at), x):
+            g = (p - y) * v
+            sigma = (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / alpha
+            z[i], n[i] = z.get(i, 0.0) + g - sigma * w[i], n.get(i, 0.0) + g * g
+    assert model.weights() == pytest.approx([weight(i) if i in z else 0.0 for i in range(13)], abs=1e-12)

@@ -1,5 +1,6 @@
 import html
 import random
+from html.parser import HTMLParser
 
 from cohortcraft.llm import block_labeller as B
 from cohortcraft.llm.html_blocks import blocks
@@ -48,6 +49,54 @@ def test_labels_follow_the_article(spark):
     assert wrong <= 0.01 * len(pages)
 
 
+class ArticleText(HTMLParser):
+    """Lines of text inside ``article`` by the standard library's parser."""
+
+    PARTS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol blockquote div section figure figcaption table tr td th pre dl dt dd article".split())
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.raw, self.parts, self.lines = 0, 0, [], []
+
+    def flush(self):
+        line = " ".join("".join(self.parts).split())
+        if line:
+            self.lines.append(line)
+        self.parts = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in self.PARTS:
+            self.flush()
+        self.inside += tag == "article"
+        self.raw += tag in ("script", "style")
+        if tag == "br":
+            self.parts.append(" " if self.inside else "")
+
+    def handle_endtag(self, tag):
+        if tag in self.PARTS:
+            self.flush()
+        self.inside -= tag == "article"
+        self.raw -= tag in ("script", "style")
+
+    def handle_data(self, data):
+        if self.inside > 0 and not self.raw:
+            self.parts.append(data)
+
+
+def test_texts_equal_another_parser(spark):
+    from cohortcraft.llm.queries import QUERIES
+
+    pages = {r.page_id: r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()}
+    rows = QUERIES["op8_html_extraction"](spark, "/root/testdata/sf0.001").collect()
+    right = 0
+    for r in rows:
+        parser = ArticleText()
+        parser.feed(pages[r.page_id] or "")
+        parser.close()
+        right += r.text == "\n".join(parser.lines)
+    assert len(rows) == len(pages) and right >= 0.98 * len(rows)
+
+
 def _page(rng, content, around):
     words = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(n))
     body = [f"<p>{words(rng.randrange(15, 60))}</p>" for _ in range(rng.randrange(2, 8))]

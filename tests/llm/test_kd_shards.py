@@ -37,3 +37,39 @@ def test_target_bytes_fix_the_leaves_and_edges(spark, docs_of):
 def test_native(spark, docs_of):
     plan = kd_shards.shard(docs_of([(1, "a b"), (2, "c")]), shards=3)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_tree_against_plain_splits(spark, docs_of):
+    """Every node: the widest dimension, and the threshold nearest to the wanted bytes of all thresholds there are."""
+    docs = docs_of(_docs(300))
+    dims = kd_shards.DIMENSIONS
+    points = kd_shards._coordinates(kd_shards._raw(docs, dims, "doc_id", "text"), len(dims))
+    rows = [(r["size"], tuple(r[f"c{k}"] for k in range(len(dims)))) for r in points.collect()]
+    root = kd_shards.kd_tree(points, 7, len(dims))
+    leaves = []
+
+    def check(node, inside):
+        if node.left is None:
+            leaves.append((node.first, inside))
+            return
+        total = sum(s for s, _ in inside)
+        widths = [(max(c[k] for _, c in inside) >> kd_shards.TIE_BITS) - (min(c[k] for _, c in inside) >> kd_shards.TIE_BITS) for k in range(len(dims))]
+        assert node.dim == widths.index(max(widths))
+        want, below, off = total * (node.leaves // 2) / node.leaves, 0, [total * (node.leaves // 2) / node.leaves]
+        by_value = {}
+        for s, c in inside:
+            by_value[c[node.dim]] = by_value.get(c[node.dim], 0) + s
+        for value in sorted(by_value):
+            below += by_value[value]
+            off.append(abs(below - want))
+        left = [r for r in inside if r[1][node.dim] <= node.at]
+        assert abs(sum(s for s, _ in left) - want) <= min(off) + 1e-3 * total / node.leaves + 1e-6
+        check(node.left, left)
+        check(node.right, [r for r in inside if r[1][node.dim] > node.at])
+
+    check(root, rows)
+    assert [f for f, _ in leaves] == list(range(7))
+    shards = {}
+    for r in kd_shards.shard(docs, shards=7).collect():
+        shards[r.shard] = shards.get(r.shard, 0) + 1
+    assert shards == {f: len(inside) for f, inside in leaves if inside}

@@ -45,6 +45,40 @@ def test_blocks_score_each_id_once_as_one_pass_would(monkeypatch):
     assert alone == pytest.approx(whole, rel=1e-5)
 
 
+def plain_log_probability(p, text, end, class_of, log_in_class):
+    """ln P of one text, one token at a time, every sum a loop."""
+    d, total = A.D, 0.0
+    dot = lambda a, b: sum(float(x) * float(y) for x, y in zip(a, b, strict=True))
+    times = lambda v, m: [dot(v, m[:, j]) for j in range(m.shape[1])]
+    symbols = [end, *text]
+    for t, following in enumerate([*text, end]):
+        x = p["E"][symbols[t]]
+        q, lags = times(x, p["Q"]), range(min(A.SPAN, t + 1))
+        scores = [dot(q, times(p["E"][symbols[t - lag]], p["K"])) / math.sqrt(d) + float(p["b"][lag]) for lag in lags]
+        weights = [math.exp(s - max(scores)) for s in scores]
+        values = [times(p["E"][symbols[t - lag]], p["V"]) for lag in lags]
+        c = [sum(w * v[j] for w, v in zip(weights, values, strict=True)) / sum(weights) for j in range(d)]
+        u = [a + b + float(z) for a, b, z in zip(times(x, p["A"]), times(np.array(c), p["B"]), p["a"], strict=True)]
+        h = np.array([v / (1 + abs(v)) for v in u])
+        group, member = divmod(int(class_of[following]), A.MEMBERS)
+        for scores, at in ((np.array(times(h, p["G"])) + p["g"], group), (np.array(times(h, p["O"][group])) + p["o"][group], member)):
+            total += float(scores[at]) - math.log(sum(math.exp(s) for s in scores))
+        total += float(log_in_class[following])
+    return total
+
+
+def test_scores_equal_a_plain_attention_loop():
+    rng = np.random.default_rng(6)
+    v = 30
+    p = {k: x + rng.normal(0, 0.2, x.shape).astype(np.float32) for k, x in A.initial(v + 1).items()}
+    class_of = rng.integers(0, A.CLASSES, v + 1)
+    logs = A.in_class_logs(rng.integers(0, 9, v + 1), class_of)
+    texts = [rng.integers(0, v, n) for n in (0, 1, 7, 8, 9, 25)]
+    first = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    got = A.score(p, np.concatenate(texts), first, v, class_of, logs)
+    assert got == pytest.approx([plain_log_probability(p, t.tolist(), v, class_of, logs) for t in texts], rel=1e-4)
+
+
 def test_probabilities_sum_to_one():
     v = 12
     p = A.initial(v + 1)
