@@ -4,11 +4,13 @@ A text is the sequence END, id_1 .. id_n, END; every id after the first symbol
 is predicted from the ``SPAN`` symbols before it:
 
     x_t = E[id_t];  s_tl = q_t . k_(t-l) / sqrt(D) + b_l  for lags l < SPAN inside the text
-    c_t = sum_l softmax_l(s_tl) v_(t-l);  h_t = tanh(x_t A + c_t B + a);  P(class) = softmax(h_t O + o)
-    P(id) = P(class of id) * P(id | class)
+    c_t = sum_l softmax_l(s_tl) v_(t-l);  h_t = u / (1 + |u|), u = x_t A + c_t B + a
+    P(group) = softmax(h_t G + g);  P(class | group) = softmax(h_t O_group + o_group)
+    P(id) = P(group of class) * P(class of id | group) * P(id | class)
 
 P(id | class) are smoothed counts over the whole training corpus; classes group
-ids by their neighbours. Long texts run in overlapping blocks: a block repeats
+ids by their neighbours, and groups hold ``MEMBERS`` classes of like neighbours,
+so a symbol costs two small softmaxes instead of one over all classes. Long texts run in overlapping blocks: a block repeats
 the ``SPAN - 1`` symbols before it as context, and scores only its own, so each
 id is scored once.
 """
@@ -17,22 +19,24 @@ from __future__ import annotations
 
 import numpy as np
 
-D, SPAN, CLASSES = 16, 8, 256
+D, SPAN, CLASSES, MEMBERS = 16, 8, 1024, 64
+GROUPS = CLASSES // MEMBERS
 PROFILE = 48
 """Numbers that describe an id's neighbours."""
 
-BLOCK = 2048
-_PARTS = ("E", "Q", "K", "V", "b", "A", "B", "a", "O", "o")
+BLOCK = 4096
+_PARTS = ("E", "Q", "K", "V", "b", "A", "B", "a", "G", "g", "O", "o")
 
 
 def shapes(vocabulary: int) -> dict[str, tuple[int, ...]]:
-    return {"E": (vocabulary, D), "Q": (D, D), "K": (D, D), "V": (D, D), "b": (SPAN,), "A": (D, D), "B": (D, D), "a": (D,), "O": (D, CLASSES), "o": (CLASSES,)}
+    return {"E": (vocabulary, D), "Q": (D, D), "K": (D, D), "V": (D, D), "b": (SPAN,), "A": (D, D), "B": (D, D), "a": (D,),
+            "G": (D, GROUPS), "g": (GROUPS,), "O": (GROUPS, D, MEMBERS), "o": (GROUPS, MEMBERS)}
 
 
 def initial(vocabulary: int, seed: int = 17) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
     p = {k: rng.normal(0, 0.5 if k == "E" else D**-0.5, s).astype(np.float32) for k, s in shapes(vocabulary).items()}
-    p["b"], p["a"], p["o"] = (np.zeros_like(p[k]) for k in "bao")
+    p["b"], p["a"], p["g"], p["o"] = (np.zeros_like(p[k]) for k in "bago")
     return p
 
 
@@ -49,31 +53,58 @@ def unpack(flat: np.ndarray, vocabulary: int) -> dict[str, np.ndarray]:
     return out
 
 
+_LAGS = np.arange(SPAN)[:, None]
+BOUND = 4.0
+"""Largest size of an output weight, so that no score can overflow: |h| < 1 in ``D`` dimensions."""
+
+
 def _forward(p: dict, ids: np.ndarray, place: np.ndarray) -> dict:
     """ids: symbols of the block; place: position of each symbol in its text. Arrays are (D, n)."""
     n = len(ids)
     x = np.ascontiguousarray(p["E"][ids].T)
-    q, k, v = p["Q"].T @ x * np.float32(D**-0.5), p["K"].T @ x, p["V"].T @ x
-    s = np.full((SPAN, n), -1e9, np.float32)
+    qkv = np.concatenate([p["Q"] * x.dtype.type(D**-0.5), p["K"], p["V"]], axis=1).T @ x
+    q, k, v = qkv[:D], qkv[D : 2 * D], qkv[2 * D :]
+    s = np.empty((SPAN, n), x.dtype)
     for lag in range(min(SPAN, n)):
-        s[lag, lag:] = np.einsum("dn,dn->n", q[:, lag:], k[:, : n - lag]) + p["b"][lag]
-        if lag:
-            s[lag, place < lag] = -1e9  # masked: before the text's first symbol
-    w = np.exp(s - s.max(axis=0))
+        s[lag, lag:] = np.einsum("dn,dn->n", q[:, lag:], k[:, : n - lag])
+    s += p["b"][:, None]
+    s[place < _LAGS] = -1e9  # masked: before the text's first symbol
+    s -= s.max(axis=0)
+    w = np.exp(s, out=s)
     w /= w.sum(axis=0)
-    c = np.zeros_like(x)
+    xc, part = np.zeros((2 * D, n), x.dtype), np.empty_like(x)
+    xc[:D], c = x, xc[D:]
     for lag in range(min(SPAN, n)):
-        c[:, lag:] += w[lag, lag:] * v[:, : n - lag]
-    h = np.tanh(p["A"].T @ x + p["B"].T @ c + p["a"][:, None])
-    return {"x": x, "q": q, "k": k, "v": v, "w": w, "c": c, "h": h}
+        np.multiply(w[lag, lag:], v[:, : n - lag], out=part[:, lag:])
+        c[:, lag:] += part[:, lag:]
+    u = np.concatenate([p["A"], p["B"]]).T @ xc
+    u += p["a"][:, None]
+    h = u / (1 + np.abs(u))
+    return {"x": x, "q": q, "k": k, "v": v, "w": w, "xc": xc, "h": h}
 
 
 def class_log_probabilities(p: dict, ids: np.ndarray, place: np.ndarray, target: np.ndarray, skip: int) -> np.ndarray:
     """ln P(class of the next symbol) after symbols ``skip``.. of the block."""
     h = _forward(p, ids, place)["h"][:, skip:]
-    z = p["O"].T @ h + p["o"][:, None]  # |h| < 1 bounds z, so exp needs no shift
-    own = z[target[skip:], np.arange(z.shape[1])]
-    return own - np.log(np.exp(z, out=z).sum(axis=0))
+    target = target[skip:]
+    order, bounds = _by_group(target)
+    h, member = h[:, order], target[order] % MEMBERS
+    z = p["G"].T @ h + p["g"][:, None]  # |h| < 1 bounds z, so exp needs no shift
+    logs = z[target[order] // MEMBERS, np.arange(len(order))] - np.log(np.exp(z, out=z).sum(axis=0))
+    for k, (a, b) in bounds:
+        z = p["O"][k].T @ h[:, a:b] + p["o"][k][:, None]
+        logs[a:b] += z[member[a:b], np.arange(b - a)] - np.log(np.exp(z, out=z).sum(axis=0))
+    out = np.empty_like(logs)
+    out[order] = logs
+    return out
+
+
+def _by_group(target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, tuple[int, int]]]]:
+    """(order, [(group, its range)]): symbols sorted by the group of the class that follows."""
+    group = (target // MEMBERS).astype(np.int16)
+    order = np.argsort(group, kind="stable")
+    ends = np.cumsum(np.bincount(group, minlength=GROUPS)).tolist()
+    return order, [(k, (a, b)) for k, (a, b) in enumerate(zip([0, *ends[:-1]], ends, strict=True)) if b > a]
 
 
 def sequences(ids: np.ndarray, first: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -102,39 +133,63 @@ def score(p: dict, ids: np.ndarray, first: np.ndarray, end: int, class_of: np.nd
 def gradient(p: dict, ids: np.ndarray, place: np.ndarray, target: np.ndarray) -> tuple[float, dict, np.ndarray]:
     """(mean loss, gradients, rows of E they belong to) of one block."""
     f = _forward(p, ids, place)
-    x, q, k, v, w, c, h = (f[name] for name in ("x", "q", "k", "v", "w", "c", "h"))
+    x, q, k, v, w, xc, h = (f[name] for name in ("x", "q", "k", "v", "w", "xc", "h"))
     n = len(ids)
-    z = h.T @ p["O"] + p["o"]
-    z -= z.max(axis=1, keepdims=True)
-    e = np.exp(z)
-    e /= e.sum(axis=1, keepdims=True)
-    rows = np.arange(n)
-    loss = float(-np.log(np.maximum(e[rows, target], 1e-30)).mean())
-    e[rows, target] -= 1
-    e /= n
-    g = {"O": h @ e, "o": e.sum(axis=0)}
-    dh = (p["O"] @ e.T) * (1 - h * h)
-    g["A"], g["B"], g["a"] = x @ dh.T, c @ dh.T, dh.sum(axis=1)
-    dx, dc = p["A"] @ dh, p["B"] @ dh
-    dw, dv = np.zeros_like(w), np.zeros_like(v)
+    order, bounds = _by_group(target)
+    sorted_h, group, member = np.take(h, order, axis=1), target[order] // MEMBERS, target[order] % MEMBERS
+    e, loss = _softmax_error(p["G"], p["g"], sorted_h, group, n)
+    g = {"G": sorted_h @ e.T, "g": e.sum(axis=1), "O": np.zeros_like(p["O"]), "o": np.zeros_like(p["o"])}
+    back = p["G"] @ e
+    for m, (a, b) in bounds:
+        e, part = _softmax_error(p["O"][m], p["o"][m], sorted_h[:, a:b], member[a:b], n)
+        g["O"][m], g["o"][m] = sorted_h[:, a:b] @ e.T, e.sum(axis=1)
+        back[:, a:b] += p["O"][m] @ e
+        loss += part
+    dh = np.empty_like(h)
+    dh[:, order] = back
+    dh *= np.square(1 - np.abs(h))
+    both = xc @ dh.T
+    g["A"], g["B"], g["a"] = both[:D], both[D:], dh.sum(axis=1)
+    both = np.concatenate([p["A"], p["B"]]) @ dh
+    dx, dc = both[:D], both[D:]
+    dw, part = np.zeros_like(w), np.empty_like(x)
+    qkv = np.zeros((3 * D, n), x.dtype)
+    dq, dk, dv = qkv[:D], qkv[D : 2 * D], qkv[2 * D :]
     for lag in range(min(SPAN, n)):
         dw[lag, lag:] = np.einsum("dn,dn->n", dc[:, lag:], v[:, : n - lag])
-        dv[:, : n - lag] += w[lag, lag:] * dc[:, lag:]
-    ds = w * (dw - (w * dw).sum(axis=0))
+        dv[:, : n - lag] += np.multiply(w[lag, lag:], dc[:, lag:], out=part[:, lag:])
+    ds = w * (dw - np.einsum("ln,ln->n", w, dw))
     g["b"] = ds.sum(axis=1)
-    dq, dk = np.zeros_like(q), np.zeros_like(k)
     for lag in range(min(SPAN, n)):
-        dq[:, lag:] += ds[lag, lag:] * k[:, : n - lag]
-        dk[:, : n - lag] += ds[lag, lag:] * q[:, lag:]
-    dq *= np.float32(D**-0.5)
-    g["Q"], g["K"], g["V"] = x @ dq.T, x @ dk.T, x @ dv.T
-    dx = dx + p["Q"] @ dq + p["K"] @ dk + p["V"] @ dv
-    own, at = np.unique(ids, return_inverse=True)
-    g["E"] = np.stack([np.bincount(at, dx[j], len(own)) for j in range(D)], axis=1).astype(np.float32)
-    return loss, g, own
-
-
-def train(p: dict, texts: list[np.ndarray], end: int, class_of: np.ndarray, step: float, size: int = 512) -> tuple[dict, float]:
+        dq[:, lag:] += np.multiply(ds[lag, lag:], k[:, : n - lag], out=part[:, lag:])
+        dk[:, : n - lag] += np.multiply(ds[lag, lag:], q[:, lag:], out=part[:, lag:])
+    dq *= x.dtype.type(D**-0.5)
+    both = x @ qkv.T
+    g["Q"], g["K"], g["V"] = both[:, :D], both[:, D : 2 * D], both[:, 2 * D :]
+    dx += np.concatenate([p["Q"], p["K"], p["V"]], axis=1) @ qkv
+    by_id = np.argsort(ids.astype(np.uint16) if p["E"].shape[0] <= 1 << 16 else ids, kind="stable")
+    own = ids[by_id]
+    starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+    run = np.cumsum(np.take(dx, by_id, axis=1), axis=1, dtype=np.float64)  # sums of equal ids as differences
+    ends = run[:, np.append(starts[1:], n) - 1]
+    g["E"] = np.diff(ends, axis=1, prepend=np.zeros((D, 1))).T.astype(x.dtype)
+    return loss, g, own[starts]
+
+
+def _softmax_error(weights: np.ndarray, bias: np.ndarray, h: np.ndarray, target: np.ndarray, n: int) -> tuple[np.ndarray, float]:
+    """(softmax less the target, over n; its part of the mean loss) of the scores of ``h``'s columns."""
+    e = weights.T @ h
+    e += bias[:, None]
+    columns = np.arange(len(target))
+    own = e[target, columns].astype(np.float64).sum()
+    np.exp(e, out=e)
+    total = e.sum(axis=0)
+    e *= 1 / (total * total.dtype.type(n))
+    e[target, columns] -= 1 / n
+    return e, float(np.log(total).sum() - own) / n
+
+
+def train(p: dict, texts: list[np.ndarray], end: int, class_of: np.ndarray, step: float, size: int = 4096) -> tuple[dict, float]:
     """One pass of adaptive gradient steps over ``texts``; returns the parameters and the mean loss."""
     p = {k: v.copy() for k, v in p.items()}
     squares = {k: np.full(v.shape, 1e-6, np.float32) for k, v in p.items()}
@@ -150,6 +205,8 @@ def train(p: dict, texts: list[np.ndarray], end: int, class_of: np.ndarray, step
             at = own if k == "E" else slice(None)
             squares[k][at] += v * v
             p[k][at] -= step * v / np.sqrt(squares[k][at])
+        for k in "GgOo":
+            np.clip(p[k], -BOUND, BOUND, out=p[k])
     return p, float(np.mean(losses))
 
 
@@ -193,7 +250,18 @@ def neighbour_classes(sums: np.ndarray, seen: np.ndarray, classes: int = CLASSES
                 centre[:, k] = np.bincount(which, weight * profile[known, k], centres)
             centre /= np.maximum(np.linalg.norm(centre, axis=1), 1e-6)[:, None]
         out[known] = alone + which
-    return out
+    return _like_classes_together(out, sums, classes)
+
+
+def _like_classes_together(class_of: np.ndarray, sums: np.ndarray, classes: int) -> np.ndarray:
+    """Classes renumbered along the main direction of their neighbours' sums, so that groups hold like ones."""
+    centre = np.stack([np.bincount(class_of, sums[:, k], classes) for k in range(sums.shape[1])], axis=1)
+    centre /= np.maximum(np.linalg.norm(centre, axis=1), 1e-6)[:, None]
+    centre -= centre.mean(axis=0)
+    main = np.linalg.svd(centre, full_matrices=False)[2][0]
+    number = np.empty(classes, np.int64)
+    number[np.argsort(centre @ main, kind="stable")] = np.arange(classes)
+    return number[class_of]
 
 
 def in_class_logs(counts: np.ndarray, class_of: np.ndarray) -> np.ndarray:

@@ -32,7 +32,7 @@ from cohortcraft.llm.storage import written
 from cohortcraft.llm.subwords import encoder
 
 HEAD = 1 << 18
-ROUNDS, EPOCHS = 2, 3
+ROUNDS, STEP = 2, 0.25
 TRAINER_IDS = 4 << 20
 """Subword ids that one training pass takes, about."""
 
@@ -186,9 +186,7 @@ def _trainer(shared, step: float):
             texts += [np.frombuffer(x, m.dtype) for x in batch.column("ids").to_pylist()]
         if not texts:
             return
-        p = m.parameters
-        for _ in range(EPOCHS):
-            p, _ = A.train(p, texts, m.end, m.class_of, step)
+        p, _ = A.train(m.parameters, texts, m.end, m.class_of, step)
         flat, weight = A.pack(p).astype(np.float64), float(sum(len(t) + 1 for t in texts))
         pieces = range(0, len(flat), _PIECE)
         yield pa.RecordBatch.from_arrays(
@@ -253,7 +251,7 @@ def fit_model(encoded: DataFrame, vocabulary: int, dtype: str) -> Model:
     for k in range(ROUNDS):
         shared = context.broadcast(model)
         texts = encoded.where(turn == k).repartition(trainers).sortWithinPartitions("key")
-        rows = texts.mapInArrow(_trainer(shared, 0.1), "piece int, weight double, values binary")
+        rows = texts.mapInArrow(_trainer(shared, STEP), "piece int, weight double, values binary")
         partial = written(rows, "trained")
         kind = "piece int, weight double, values binary"
         near = partial.repartition("piece", F.pmod(F.col("weight").cast("bigint"), F.lit(16))).sortWithinPartitions("piece").mapInArrow(_sum_pieces, kind)
