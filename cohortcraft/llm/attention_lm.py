@@ -235,7 +235,7 @@ def neighbour_classes(sums: np.ndarray, seen: np.ndarray, classes: int = CLASSES
     profile /= np.maximum(norm, 1e-6)[:, None]
     order = np.argsort(-seen, kind="stable")
     out = np.full(size, classes - 1, np.int64)
-    alone = classes // 4
+    alone = min(classes // 4, size)
     out[order[:alone]] = np.arange(alone)
     rest = order[alone:]
     known = rest[(seen[rest] >= 3) & (norm[rest] > 0)]
@@ -250,17 +250,19 @@ def neighbour_classes(sums: np.ndarray, seen: np.ndarray, classes: int = CLASSES
                 centre[:, k] = np.bincount(which, weight * profile[known, k], centres)
             centre /= np.maximum(np.linalg.norm(centre, axis=1), 1e-6)[:, None]
         out[known] = alone + which
+    else:
+        out[known] = alone + np.arange(len(known))
     return _like_classes_together(out, sums, classes)
 
 
 def _like_classes_together(class_of: np.ndarray, sums: np.ndarray, classes: int) -> np.ndarray:
-    """Classes renumbered along the main direction of their neighbours' sums, so that groups hold like ones."""
-    centre = np.stack([np.bincount(class_of, sums[:, k], classes) for k in range(sums.shape[1])], axis=1)
+    """Classes but the last renumbered along the main direction of their neighbours' sums, so that groups hold like ones."""
+    centre = np.stack([np.bincount(class_of, sums[:, k], classes) for k in range(sums.shape[1])], axis=1)[:-1]
     centre /= np.maximum(np.linalg.norm(centre, axis=1), 1e-6)[:, None]
     centre -= centre.mean(axis=0)
     main = np.linalg.svd(centre, full_matrices=False)[2][0]
-    number = np.empty(classes, np.int64)
-    number[np.argsort(centre @ main, kind="stable")] = np.arange(classes)
+    number = np.arange(classes)
+    number[np.argsort(centre @ main, kind="stable")] = np.arange(classes - 1)
     return number[class_of]
 
 
