@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -149,3 +150,14 @@ def test_items_in_blocks(spark, docs_of, monkeypatch):
     monkeypatch.setattr(block_max, "BLOCK_TERMS", 100)
     found = ranked(block_max.search(block_max.build(docs_of(docs)), spark.createDataFrame(items, "item_id string, text string")))
     assert found == brute(docs, items)
+
+
+def test_a_full_shard_takes_bounded_memory():
+    texts = pa.array([" ".join(f"w{(k * j) % 20_011}" for j in range(700)) for k in range(1, 1800)])
+    K._powers.cache_clear()
+    tracemalloc.start()
+    row = block_max._shard(texts, pa.array(range(len(texts)), pa.int64()))
+    kept, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert row["total"] == 700 * len(texts)
+    assert peak < 200e6 and kept - sum(len(v) for v in row.values() if isinstance(v, bytes)) < 20e6

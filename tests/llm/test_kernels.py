@@ -1,4 +1,5 @@
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -50,3 +51,17 @@ def test_fm_index_finds_every_occurrence(symbols, m):
 def test_byte_classes():
     assert [c for c in range(256) if K.SPACE[c]] == [9, 10, 11, 12, 13, 32]
     assert all(bool(re.match(r"[a-z0-9]", chr(c))) != K.ALNUM_BREAK[c] for c in range(128))
+
+
+def test_hashes_of_a_large_buffer_take_bounded_memory_and_equal_those_of_parts():
+    text = " ".join(f"w{k % 5000}" for k in range(600_000)) + " " + "x" * (2 * K.HASHED) + " end"
+    data, offsets = K.buffer(pa.array([text]))
+    start, end, _ = K.words(data, offsets)
+    K._powers.cache_clear()
+    tracemalloc.start()
+    hashes = K.word_hashes(data, start, end)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6  # tables and sums over the whole buffer take 150 MB
+    own = lambda a, b: K.word_hashes(data[a:b], np.array([0]), np.array([b - a]))[0]
+    assert all(hashes[k] == own(start[k], end[k]) for k in [*range(0, len(start), 9973), len(start) - 2, len(start) - 1])
