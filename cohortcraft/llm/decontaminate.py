@@ -181,7 +181,9 @@ def _marker(blocks: list, text_name: str, rest: list[str], later: bool, last: bo
         if not last:
             ranges = np.stack([a - first[doc], b + 1 - first[doc]], axis=1).reshape(-1)
             return [pa.ListArray.from_arrays(pa.array((2 * span_first).astype(np.int32)), pa.array(ranges, pa.int64())), names]
-        chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)]) if len(a) else None
+        if len(a):  # characters before each byte
+            chars = np.zeros(len(data) + 1, np.int32 if len(data) < 1 << 31 else np.int64)
+            np.cumsum((data & 0xC0) != 0x80, out=chars[1:])
         base = chars[offsets[doc]] if len(a) else a
         spans = pa.StructArray.from_arrays(
             [pa.array((chars[start[a]] - base) if len(a) else a, pa.int64()), pa.array((chars[end[b]] - base) if len(a) else b, pa.int64())],

@@ -1,9 +1,14 @@
+import pickle
 import random
+import tracemalloc
+from types import SimpleNamespace
 
+import pyarrow as pa
 from brute import contamination
 from pyspark.sql import functions as F
 
 from cohortcraft.llm import decontaminate
+from cohortcraft.llm import kernels as K
 
 
 def _tables(seed=3):
@@ -52,3 +57,17 @@ def test_spans_cut_the_phrase(spark, docs_of):
     docs = docs_of([(1, f"Vor é {phrase}. Nach")])
     row = decontaminate.mark_contaminated(docs, spark.createDataFrame([(1, phrase)], "item_id bigint, text string"), keep_text=True).first()
     assert decontaminate.without_spans(row.text, row.spans) == "Vor é . Nach"
+
+
+def test_marking_a_full_shard_takes_bounded_memory():
+    texts = pa.array([" ".join(f"w{(k * j) % 20_011}" for j in range(700)) for k in range(1, 1800)])
+    rows = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), texts], names=["doc_id", "text"])
+    blocks = [("test", SimpleNamespace(value=[pickle.dumps(decontaminate.Phrases(["1"], [texts[5].as_py()], 13))]))]
+    mark = decontaminate._marker(blocks, "text", ["doc_id"], False, True)
+    K._powers.cache_clear()
+    tracemalloc.start()
+    out = list(mark(iter([rows])))
+    kept, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert sum(b.num_rows for b in out) == len(texts) and out[0].column("n_hit")[5].as_py() == 700
+    assert peak < 200e6 and kept < 30e6
