@@ -33,6 +33,21 @@ def test_word_by_word_equals_whole_text(texts):
         assert ids[first[k] : first[k + 1]].tolist() == whole.encode(t, add_special_tokens=False).ids, t
 
 
+def test_words_that_share_pieces_look_them_up_once(tokenizer):
+    own, asked = Encoder(PATH), []
+    piece = own.piece
+    own.piece = lambda p: asked.append(p) or piece(p)
+    texts = ["Maple, maple! MAPLE maple...", "é, É! ×é maple,", "maple's maple<s> <|endoftext|>, 3maple É"]
+    ids, first = own.encode(pa.array(texts))
+    assert sorted(asked) == sorted(["maple", ",", "!", "...", "é"])
+    assert len(own.lengths) == 5 + 5  # and the words that are no such pieces
+    for k, t in enumerate(texts):
+        assert ids[first[k] : first[k + 1]].tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+    before = len(own.lengths)
+    own.encode(pa.array(["MAPLE! É... maple's"]))
+    assert len(own.lengths) == before
+
+
 @given(st.sets(st.integers(0, 2**64 - 1), max_size=300))
 def test_perfect_hash_is_minimal(keys):
     keys = np.array(sorted(keys), np.uint64)
