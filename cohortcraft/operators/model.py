@@ -195,7 +195,11 @@ def _fits(frame: DataFrame, models: dict[str, tuple[str, ...]]) -> dict[str, dic
     out = {}
     for name, terms in models.items():
         if set(terms) <= set(BASIC_TERMS):
-            out[name] = fit_logit(cells(frame, terms), terms, weight="trials")
+            few = cells(frame, terms).coalesce(1).persist()  # a row per cell, read by every pass of the fit
+            try:
+                out[name] = fit_logit(few, terms, weight="trials")
+            finally:
+                few.unpersist()
         else:
             out[name] = fit_logit(frame, terms)
     return out

@@ -13,6 +13,8 @@ import hashlib
 import inspect
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
+from threading import Lock
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -74,6 +76,37 @@ def _published(spark: SparkSession, pointer: str) -> str | None:
         stream.close()
 
 
+@contextmanager
+def _compiled_methods(spark: SparkSession):
+    """Within it, Spark generates code in methods that the JVM compiles.
+
+    One method for the layers' thirty columns has more bytecode than HotSpot
+    compiles (8000 bytes) and would be interpreted; beyond the limit Spark
+    splits the projection into smaller methods. Builders in several threads of
+    a session share the setting; the last one puts the old value back.
+    """
+    key = "spark.sql.codegen.hugeMethodLimit"
+    with _LOCK:
+        if not _BUILDERS:
+            _BUILDERS.append(spark.conf.get(key))
+            spark.conf.set(key, "8000")
+        _BUILDERS.append(key)
+    try:
+        yield
+    finally:
+        with _LOCK:
+            _BUILDERS.pop()
+            if len(_BUILDERS) == 1:
+                spark.conf.set(key, _BUILDERS.pop())
+
+
+_LOCK, _BUILDERS = Lock(), []  # the value from before, then one entry per running builder
+
+
+LAYER_BLOCK = 8 << 20
+"""Bytes of a row group of the layers: their text is dear to parse, so that few rows make a task's share."""
+
+
 def _materialized(spark: SparkSession, df_fn: Callable[[], DataFrame], path: str,
                   partition_by: list[str] | None = None) -> DataFrame:
     """Read the published table at ``path``, building it first if needed.
@@ -86,7 +119,8 @@ def _materialized(spark: SparkSession, df_fn: Callable[[], DataFrame], path: str
     place = _published(spark, pointer)
     if place is None:
         own = f"{path}-{uuid.uuid4().hex}"
-        write_columnar(df_fn(), own, partition_by=partition_by)
+        with _compiled_methods(spark):
+            write_columnar(df_fn(), own, partition_by=partition_by, block_size_bytes=None if partition_by else LAYER_BLOCK)
         try:
             write_text(spark, pointer, own, overwrite=False)
         except Py4JJavaError:

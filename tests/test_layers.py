@@ -40,3 +40,19 @@ def test_concurrent_builders_publish_one_table(spark, tmp_path):
         found = list(pool.map(build, range(4)))
     assert {df.count() for df in found} == {100}
     assert len({tuple(sorted(df.inputFiles())) for df in found}) == 1
+
+
+def test_layers_are_built_in_methods_that_the_jvm_compiles(spark, tmp_path, monkeypatch):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before, seen = spark.conf.get(key), []
+    write = catalog.write_columnar
+
+    def watched(df, path, **options):
+        seen.append((int(spark.conf.get(key)), options.get("block_size_bytes")))
+        return write(df, path, **options)
+
+    monkeypatch.setattr(catalog, "write_columnar", watched)
+    rows = catalog._materialized(spark, lambda: spark.range(3).selectExpr("id", "id % 2 AS p"), str(tmp_path / "raw"))
+    assert sorted(r["id"] for r in rows.collect()) == [0, 1, 2]
+    assert seen == [(8000, catalog.LAYER_BLOCK)]
+    assert spark.conf.get(key) == before
