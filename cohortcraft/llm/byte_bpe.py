@@ -33,6 +33,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -46,6 +47,8 @@ LONGEST = 48
 """Bytes of the longest piece whose table grows with those of others, and of the longest chunk that is kept."""
 SLICE = 1 << 20
 """Bytes of text behind one output batch (a longer text stands alone)."""
+DECODED = 1 << 18
+"""Ids that are decoded at a time (a longer list stands alone)."""
 
 
 def tokens(path: str) -> dict[int, bytes]:
@@ -489,15 +492,42 @@ def decoded(docs: DataFrame, path: str, ids: str = "ids", out: str = "decoded")
     """``docs`` with the bytes of its ids as binary; a null list has none. A column named like ``out`` is replaced."""
 
     def work(values: pa.Array):
-        token = _token_table(path).__getitem__
-        step = 256
-        for a in range(0, len(values), step):
-            rows = values.slice(a, step)
-            yield a, a + len(rows), pa.array([b"".join(map(token, r)) if r else b"" for r in rows.to_pylist()], pa.binary())
+        table = _token_bytes(path)
+        lengths = np.asarray(pc.fill_null(pc.list_value_length(values), 0)).astype(np.int64)
+        first = np.concatenate([[0], np.cumsum(lengths)])
+        flat = values.flatten()  # a null list has no ids
+        for a, b in K.slices(first, DECODED):
+            data, at = table.decode(flat.slice(first[a], first[b] - first[a]), first[a : b + 1] - first[a])
+            yield a, b, pa.Array.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(at), pa.py_buffer(data)]).cast(pa.binary())
 
     return _mapped(docs, ids, out, T.BinaryType(), work)
 
 
+class TokenBytes:
+    """The bytes of a vocabulary's tokens, one after the other, for whole columns of ids."""
+
+    def __init__(self, table: dict[int, bytes]) -> None:
+        ranks = np.array(sorted(table), np.int64)
+        self.data, at = _joined([table[r] for r in ranks.tolist()])
+        last = int(ranks.max(initial=-1))
+        self.begin, self.size = np.zeros(last + 1, np.int64), np.full(last + 1, -1, np.int64)
+        self.begin[ranks], self.size[ranks] = at[:-1], np.diff(at)
+
+    def decode(self, ids: pa.Array, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes, offsets) of the lists ``first`` cuts ``ids`` into; an id that is no token raises."""
+        if ids.null_count:
+            raise KeyError(None)
+        ids = np.asarray(ids).astype(np.int64)
+        known = (ids >= 0) & (ids < len(self.size))
+        known[known] = self.size[ids[known]] >= 0
+        if not known.all():
+            raise KeyError(int(ids[~known][0]))
+        sizes = self.size[ids]
+        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        where = np.arange(ends[-1]) + np.repeat(self.begin[ids] - ends[:-1], sizes)
+        return self.data[where], ends[first]
+
+
 @lru_cache(maxsize=2)
-def _token_table(path: str) -> dict[int, bytes]:
-    return tokens(path)
+def _token_bytes(path: str) -> TokenBytes:
+    return TokenBytes(tokens(path))

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -140,3 +141,13 @@ def test_query_against_the_library(spark, library):
         assert r["n_tokens"] == len(ids)
         assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_lists_of_ids_decode_at_once():
+    table = byte_bpe.TokenBytes({0: b"a", 2: b"bc", 5: "\u00e9".encode()})
+    data, at = table.decode(pa.array([2, 0, 5, 5, 2], pa.int32()), np.array([0, 1, 1, 4, 5]))
+    assert [bytes(data[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)] == [b"bc", b"", "a\u00e9\u00e9".encode(), b"bc"]
+    for wrong in ([1], [6], [-1], [None]):
+        with pytest.raises(KeyError):
+            table.decode(pa.array(wrong, pa.int32()), np.array([0, 1]))
+    assert byte_bpe.TokenBytes({}).decode(pa.array([], pa.int32()), np.array([0]))[1].tolist() == [0]
