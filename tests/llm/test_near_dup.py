@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from brute import near_duplicates as brute_force
 
 from cohortcraft.llm import minhash, near_dup
@@ -67,3 +68,25 @@ def test_other_texts_of_a_repeated_id_stay(spark, docs_of):
     left = near_dup.without_near_duplicates(docs)
     assert left.columns == docs.columns
     assert sorted((r.doc_id or 0, r.text) for r in left.collect()) == sorted([(1, text(1)), (1, text(2)), (2, text(3)), (0, text(4)), (0, text(4))])
+
+
+def test_large_units_compare_only_sets_that_share_a_rare_shingle(monkeypatch):
+    rng = np.random.default_rng(5)
+    sets = []
+    for _ in range(120):
+        base = rng.choice(100_000, 21, replace=False)
+        for changed in (0, 1, 2, 4):
+            copy = base.copy()
+            copy[:changed] = rng.integers(100_000, 200_000, changed)
+            sets.append(np.unique(copy).astype("<u4"))
+    dense = minhash.spanning_links(sets, np.zeros(len(sets), np.int64), 80)
+    compared = []
+    sums = minhash._sums
+    monkeypatch.setattr(minhash, "DENSE", 0)
+    monkeypatch.setattr(minhash, "_sums", lambda seen, codes, first, sizes: compared.append(len(first)) or sums(seen, codes, first, sizes))
+    assert minhash.spanning_links(sets, np.zeros(len(sets), np.int64), 80) == dense
+    assert sum(compared) < len(sets) ** 2 // 10
+    side = rng.integers(0, 2, len(sets))
+    across = minhash.spanning_links(sets, side, 80)
+    monkeypatch.setattr(minhash, "DENSE", 1 << 30)
+    assert minhash.spanning_links(sets, side, 80) == across
