@@ -58,47 +58,99 @@ BOUND = 4.0
 """Largest size of an output weight, so that no score can overflow: |h| < 1 in ``D`` dimensions."""
 
 
+def _joined(p: dict) -> np.ndarray:
+    """(4 D, D + 1): what x and a 1 are multiplied by to give q / sqrt(D), k, v B and x A + a, in this order."""
+    weights = np.concatenate([p["Q"] * p["Q"].dtype.type(D**-0.5), p["K"], p["V"] @ p["B"], p["A"]], axis=1)
+    bias = np.zeros((4 * D, 1), weights.dtype)
+    bias[3 * D :, 0] = p["a"]
+    return np.concatenate([weights.T, bias], axis=1)
+
+
+_Q, _K, _V, _U = (slice(D * i, D * (i + 1)) for i in range(4))  # rows of the joined product
+
+
+def _before(rows: np.ndarray, n: int) -> np.ndarray:
+    """(D, SPAN, n) view: column t of lag l is symbol t - l; ``rows`` have ``SPAN - 1`` columns more at both ends."""
+    across, along = rows.strides
+    return np.lib.stride_tricks.as_strided(rows[:, SPAN - 1 :], (D, SPAN, n), (across, -along, along), writeable=False)
+
+
+def _over_lags(weights: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """(D, n): ``windows`` weighted and summed over the lags, the even and the odd ones apart, as einsum then runs along n."""
+    out = np.einsum("ln,dln->dn", weights[::2], windows[:, ::2])
+    out += np.einsum("ln,dln->dn", weights[1::2], windows[:, 1::2])
+    return out
+
+
+def _after(rows: np.ndarray, n: int) -> np.ndarray:
+    """(D, SPAN, n) view: column t of lag l is symbol t + l."""
+    across, along = rows.strides
+    return np.lib.stride_tricks.as_strided(rows[:, SPAN - 1 :], (D, SPAN, n), (across, along, along), writeable=False)
+
+
+def _shifted(rows: np.ndarray, n: int) -> np.ndarray:
+    """(SPAN, n) view: column t of row l is column t + l of ``rows``, which have ``SPAN - 1`` columns more."""
+    across, along = rows.strides
+    return np.lib.stride_tricks.as_strided(rows, (SPAN, n), (across + along, along), writeable=False)
+
+
 def _forward(p: dict, ids: np.ndarray, place: np.ndarray) -> dict:
-    """ids: symbols of the block; place: position of each symbol in its text. Arrays are (D, n)."""
-    n = len(ids)
-    x = np.ascontiguousarray(p["E"][ids].T)
-    qkv = np.concatenate([p["Q"] * x.dtype.type(D**-0.5), p["K"], p["V"]], axis=1).T @ x
-    q, k, v = qkv[:D], qkv[D : 2 * D], qkv[2 * D :]
-    s = np.empty((SPAN, n), x.dtype)
-    for lag in range(min(SPAN, n)):
-        s[lag, lag:] = np.einsum("dn,dn->n", q[:, lag:], k[:, : n - lag])
+    """ids: symbols of the block; place: position of each symbol in its text.
+
+    Rows x, 1 are (n, D + 1), the joined product and h, 1 are columns; x and the product have ``SPAN - 1`` empty symbols more at both ends.
+    """
+    n, inner = len(ids), slice(SPAN - 1, SPAN - 1 + len(ids))
+    x1 = np.zeros((n + 2 * SPAN - 2, D + 1), p["E"].dtype)
+    x1[inner, :D], x1[inner, D] = p["E"].take(ids, axis=0), 1
+    joined = _joined(p)
+    y = joined @ x1.T
+    k, v = _before(y[_K], n), _before(y[_V], n)
+    s = np.einsum("dn,dln->ln", y[_Q, inner], k)
     s += p["b"][:, None]
-    s[place < _LAGS] = -1e9  # masked: before the text's first symbol
+    early = np.flatnonzero(place < SPAN - 1)
+    s[:, early] = np.where(place[early] < _LAGS, -1e9, s[:, early])  # masked: before the text's first symbol
     s -= s.max(axis=0)
     w = np.exp(s, out=s)
     w /= w.sum(axis=0)
-    xc, part = np.zeros((2 * D, n), x.dtype), np.empty_like(x)
-    xc[:D], c = x, xc[D:]
-    for lag in range(min(SPAN, n)):
-        np.multiply(w[lag, lag:], v[:, : n - lag], out=part[:, lag:])
-        c[:, lag:] += part[:, lag:]
-    u = np.concatenate([p["A"], p["B"]]).T @ xc
-    u += p["a"][:, None]
-    h = u / (1 + np.abs(u))
-    return {"x": x, "q": q, "k": k, "v": v, "w": w, "xc": xc, "h": h}
+    u, h1 = y[_U, inner], np.ones((D + 1, n), y.dtype)
+    u += _over_lags(w, v)
+    part = np.abs(u)
+    part += 1
+    np.divide(u, part, out=h1[:D])
+    return {"x1": x1, "joined": joined, "y": y, "k": k, "v": v, "w": w, "h1": h1, "inner": inner}
 
 
 def class_log_probabilities(p: dict, ids: np.ndarray, place: np.ndarray, target: np.ndarray, skip: int) -> np.ndarray:
     """ln P(class of the next symbol) after symbols ``skip``.. of the block."""
-    h = _forward(p, ids, place)["h"][:, skip:]
-    target = target[skip:]
-    order, bounds = _by_group(target)
-    h, member = h[:, order], target[order] % MEMBERS
-    z = p["G"].T @ h + p["g"][:, None]  # |h| < 1 bounds z, so exp needs no shift
-    logs = z[target[order] // MEMBERS, np.arange(len(order))] - np.log(np.exp(z, out=z).sum(axis=0))
-    for k, (a, b) in bounds:
-        z = p["O"][k].T @ h[:, a:b] + p["o"][k][:, None]
-        logs[a:b] += z[member[a:b], np.arange(b - a)] - np.log(np.exp(z, out=z).sum(axis=0))
+    h1 = _forward(p, ids, place)["h1"][:, skip:]
+    order, bounds = _by_group(target[skip:])
+    h1, target = h1.take(order, axis=1), target[skip:][order]
+    logs = np.zeros(len(order), h1.dtype)
+    for weights, own, parts in _softmaxes(p, target, bounds):
+        _, _, own, total = _softmax(weights, h1, own, parts)
+        logs += np.log(own) - np.log(total)
     out = np.empty_like(logs)
     out[order] = logs
     return out
 
 
+def _softmaxes(p: dict, target: np.ndarray, bounds: list) -> list[tuple[np.ndarray, np.ndarray, list]]:
+    """(weights and bias, targets, [(weights' number, range of symbols)]) of the groups' softmax and of the members'."""
+    groups, members = np.concatenate([p["G"], p["g"][None]])[None], np.concatenate([p["O"], p["o"][:, None]], axis=1)
+    return [(groups, target // MEMBERS, [(0, (0, len(target)))]), (members, target % MEMBERS, bounds)]
+
+
+def _softmax(weights: np.ndarray, h1: np.ndarray, target: np.ndarray, parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(exp of all scores, places of the targets' own in it, those, sums) of the columns of ``h1``, a row each; |h| < 1 bounds the scores, so exp needs no shift."""
+    wide = weights.shape[2]
+    e = np.empty((h1.shape[1], wide), h1.dtype)
+    for m, (a, b) in parts:
+        np.matmul(h1[:, a:b].T, weights[m], out=e[a:b])
+    np.exp(e, out=e)
+    at = np.arange(0, e.size, wide) + target
+    return e, at, e.reshape(-1).take(at), e @ np.ones(wide, e.dtype)
+
+
 def _by_group(target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, tuple[int, int]]]]:
     """(order, [(group, its range)]): symbols sorted by the group of the class that follows."""
     group = (target // MEMBERS).astype(np.int16)
@@ -133,60 +185,57 @@ def score(p: dict, ids: np.ndarray, first: np.ndarray, end: int, class_of: np.nd
 def gradient(p: dict, ids: np.ndarray, place: np.ndarray, target: np.ndarray) -> tuple[float, dict, np.ndarray]:
     """(mean loss, gradients, rows of E they belong to) of one block."""
     f = _forward(p, ids, place)
-    x, q, k, v, w, xc, h = (f[name] for name in ("x", "q", "k", "v", "w", "xc", "h"))
+    x1, y, k, v, w, h1, inner = (f[name] for name in ("x1", "y", "k", "v", "w", "h1", "inner"))
     n = len(ids)
     order, bounds = _by_group(target)
-    sorted_h, group, member = np.take(h, order, axis=1), target[order] // MEMBERS, target[order] % MEMBERS
-    e, loss = _softmax_error(p["G"], p["g"], sorted_h, group, n)
-    g = {"G": sorted_h @ e.T, "g": e.sum(axis=1), "O": np.zeros_like(p["O"]), "o": np.zeros_like(p["o"])}
-    back = p["G"] @ e
-    for m, (a, b) in bounds:
-        e, part = _softmax_error(p["O"][m], p["o"][m], sorted_h[:, a:b], member[a:b], n)
-        g["O"][m], g["o"][m] = sorted_h[:, a:b] @ e.T, e.sum(axis=1)
-        back[:, a:b] += p["O"][m] @ e
-        loss += part
-    dh = np.empty_like(h)
-    dh[:, order] = back
-    dh *= np.square(1 - np.abs(h))
-    both = xc @ dh.T
-    g["A"], g["B"], g["a"] = both[:D], both[D:], dh.sum(axis=1)
-    both = np.concatenate([p["A"], p["B"]]) @ dh
-    dx, dc = both[:D], both[D:]
-    dw, part = np.zeros_like(w), np.empty_like(x)
-    qkv = np.zeros((3 * D, n), x.dtype)
-    dq, dk, dv = qkv[:D], qkv[D : 2 * D], qkv[2 * D :]
-    for lag in range(min(SPAN, n)):
-        dw[lag, lag:] = np.einsum("dn,dn->n", dc[:, lag:], v[:, : n - lag])
-        dv[:, : n - lag] += np.multiply(w[lag, lag:], dc[:, lag:], out=part[:, lag:])
-    ds = w * (dw - np.einsum("ln,ln->n", w, dw))
+    back, loss, of = np.zeros((D, n), y.dtype), 0.0, []
+    sorted_h = h1.take(order, axis=1)
+    for softmax in _softmaxes(p, target[order], bounds):
+        of.append(np.zeros_like(softmax[0]))
+        loss += _softmax_error(*softmax, sorted_h, of[-1], back)
+    g = {"G": of[0][0, :D], "g": of[0][0, D], "O": of[1][:, :D], "o": of[1][:, D]}
+    spot = np.empty_like(order)
+    spot[order] = np.arange(n)
+    slope = np.abs(h1[:D])
+    np.subtract(1, slope, out=slope)
+    slope *= slope
+    dy = np.zeros_like(y)
+    du = dy[_U, inner]
+    np.multiply(back.take(spot, axis=1), slope, out=du)
+    ds = np.zeros((SPAN, n + 2 * SPAN - 2), y.dtype)
+    dw = np.einsum("dn,dln->ln", du, v)
+    dw -= np.einsum("ln,ln->n", w, dw)
+    np.multiply(w, dw, out=ds[:, :n])
     g["b"] = ds.sum(axis=1)
-    for lag in range(min(SPAN, n)):
-        dq[:, lag:] += np.multiply(ds[lag, lag:], k[:, : n - lag], out=part[:, lag:])
-        dk[:, : n - lag] += np.multiply(ds[lag, lag:], q[:, lag:], out=part[:, lag:])
-    dq *= x.dtype.type(D**-0.5)
-    both = x @ qkv.T
-    g["Q"], g["K"], g["V"] = both[:, :D], both[:, D : 2 * D], both[:, 2 * D :]
-    dx += np.concatenate([p["Q"], p["K"], p["V"]], axis=1) @ qkv
+    dy[_Q, inner] = _over_lags(ds[:, :n], k)
+    later = np.zeros_like(ds)
+    later[:, :n] = w
+    dy[_K, inner] = _over_lags(_shifted(ds, n), _after(y[_Q], n))
+    dy[_V, inner] = _over_lags(_shifted(later, n), _after(dy[_U], n))
+    both = (dy @ x1).T
+    g["Q"], g["K"], g["A"], g["a"] = both[:D, _Q] * y.dtype.type(D**-0.5), both[:D, _K], both[:D, _U], both[D, _U]
+    g["V"], g["B"] = both[:D, _V] @ p["B"].T, p["V"].T @ both[:D, _V]
+    dx = dy[:, inner].T @ f["joined"][:, :D]
     by_id = np.argsort(ids.astype(np.uint16) if p["E"].shape[0] <= 1 << 16 else ids, kind="stable")
     own = ids[by_id]
     starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-    run = np.cumsum(np.take(dx, by_id, axis=1), axis=1, dtype=np.float64)  # sums of equal ids as differences
-    ends = run[:, np.append(starts[1:], n) - 1]
-    g["E"] = np.diff(ends, axis=1, prepend=np.zeros((D, 1))).T.astype(x.dtype)
+    g["E"] = np.add.reduceat(dx.take(by_id, axis=0), starts, axis=0)
     return loss, g, own[starts]
 
 
-def _softmax_error(weights: np.ndarray, bias: np.ndarray, h: np.ndarray, target: np.ndarray, n: int) -> tuple[np.ndarray, float]:
-    """(softmax less the target, over n; its part of the mean loss) of the scores of ``h``'s columns."""
-    e = weights.T @ h
-    e += bias[:, None]
-    columns = np.arange(len(target))
-    own = e[target, columns].astype(np.float64).sum()
-    np.exp(e, out=e)
-    total = e.sum(axis=0)
-    e *= 1 / (total * total.dtype.type(n))
-    e[target, columns] -= 1 / n
-    return e, float(np.log(total).sum() - own) / n
+def _softmax_error(weights: np.ndarray, target: np.ndarray, parts: list, h1: np.ndarray, of_weights: np.ndarray, of_h: np.ndarray) -> float:
+    """Part of the mean loss of one softmax; fills the gradients of its weights and adds those of h."""
+    n = h1.shape[1]
+    e, at, own, total = _softmax(weights, h1, target, parts)
+    e.reshape(-1)[at] -= total  # what is left, over total and n, is the softmax less the target
+    scale = 1 / (total * total.dtype.type(n))
+    scaled, back = h1 * scale, np.empty_like(of_h)
+    for m, (a, b) in parts:
+        np.matmul(scaled[:, a:b], e[a:b], out=of_weights[m])
+        np.matmul(weights[m, :-1], e[a:b].T, out=back[:, a:b])
+    back *= scale
+    of_h += back
+    return float((np.log(total) - np.log(own)).sum(dtype=np.float64)) / n
 
 
 def train(p: dict, texts: list[np.ndarray], end: int, class_of: np.ndarray, step: float, size: int = 4096) -> tuple[dict, float]:
@@ -211,20 +260,32 @@ def train(p: dict, texts: list[np.ndarray], end: int, class_of: np.ndarray, step
 
 
 def projection(size: int, seed: int = 23) -> np.ndarray:
-    """Random vectors of the ids; multiples of 1/1024, so that sums of them are exact in any order."""
-    return np.round(np.random.default_rng(seed).normal(0, 1, (PROFILE // 2, size)) * 1024) / 1024
+    """(ids, PROFILE / 2) random vectors of the ids; multiples of 1/1024, so that sums of them are exact in any order."""
+    return np.ascontiguousarray(np.round(np.random.default_rng(seed).normal(0, 1, (PROFILE // 2, size)) * 1024).T) / 1024
+
+
+PAIRS = 1 << 15
+"""Distinct neighbours whose vectors are held at a time."""
 
 
 def add_neighbours(total: np.ndarray, texts: list[np.ndarray], project: np.ndarray) -> None:
-    """Add to ``total`` (PROFILE, ids) the vectors of the symbols before and after every occurrence in ``texts``."""
-    size, half = project.shape[1], len(project)
+    """Add to ``total`` (ids, PROFILE) the vectors of the symbols before and after every occurrence in ``texts``."""
+    size, half = project.shape
     if not texts:
         return
     first = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
     symbols, _, following, _ = sequences(np.concatenate(texts), first, size - 1)
-    for j in range(half):
-        total[j] += np.bincount(following, project[j][symbols], size)
-        total[half + j] += np.bincount(symbols, project[j][following], size)
+    for ids, others, columns in ((following, symbols, slice(half)), (symbols, following, slice(half, None))):
+        pairs = np.sort((ids * size + others).astype(np.uint32 if size <= 1 << 16 else np.int64))
+        at = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
+        counts = np.diff(at, append=len(pairs)).astype(np.float64)
+        own, other = np.divmod(pairs[at], pairs.dtype.type(size))
+        for begin in range(0, len(own), PAIRS):
+            part = slice(begin, begin + PAIRS)
+            vectors = project.take(other[part], axis=0)
+            vectors *= counts[part, None]
+            ends = np.flatnonzero(np.concatenate([[True], own[part][1:] != own[part][:-1]]))
+            total[own[part][ends], columns] += np.add.reduceat(vectors, ends, axis=0)
 
 
 def neighbour_classes(sums: np.ndarray, seen: np.ndarray, classes: int = CLASSES) -> np.ndarray:

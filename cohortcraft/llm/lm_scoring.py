@@ -92,12 +92,30 @@ def count_words(training: DataFrame) -> WordCounts:
 # --- subword ids and model ----------------------------------------------------
 
 
+_TOP = 20
+"""Leading bits of a hash that tell where to look for it."""
+
+
+def _bounds(words: np.ndarray) -> np.ndarray:
+    """Where the words of each value of the leading bits begin in ``words``, which are sorted."""
+    return np.searchsorted(words >> K.U64(64 - _TOP), np.arange((1 << _TOP) + 1, dtype=K.U64)).astype(np.int32)
+
+
+def _places(words: np.ndarray, bounds: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Place of each hash in ``words``; any place for a hash that is not there."""
+    top = (hashes >> K.U64(64 - _TOP)).astype(np.int64)
+    at = np.minimum(bounds[top], len(words) - 1)
+    several = np.flatnonzero((words[at] != hashes) & (bounds[top + 1] - at > 1))
+    at[several] = np.minimum(np.searchsorted(words, hashes[several]), len(words) - 1)
+    return at
+
+
 def _read(path: str, dtype: str, shared_head):
     """Rows (key, id, held_out, text) -> token counts, logs of frequent words, other words and subword ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, (words, counts) = encoder(path), shared_head.value
-        logs = np.log10(counts + 1.0)
+        logs, bounds = np.log10(counts + 1.0), _bounds(words)
         for batch in batches:
             data, offsets = K.buffer(batch.column("text"))
             for i, j in K.slices(offsets, SLICE):
@@ -107,8 +125,7 @@ def _read(path: str, dtype: str, shared_head):
                 h = K.word_hashes(chunk, start, end)
                 known, log = np.zeros(len(h), bool), np.zeros(len(h))
                 if len(words):
-                    at = np.searchsorted(words, h)
-                    at[at == len(words)] = 0
+                    at = _places(words, bounds, h)
                     known = words[at] == h
                     log = np.where(known, logs[at], 0.0)
                 sums = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[first])
@@ -206,7 +223,7 @@ def _count_neighbours(dtype: str, size: int):
     names = [f"p{k}" for k in range(A.PROFILE)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        project, total = A.projection(size), np.zeros((A.PROFILE, size))
+        project, total = A.projection(size), np.zeros((size, A.PROFILE))
         held, waiting = [], 0
         for batch in batches:
             for cell in batch.column("ids").to_pylist():
@@ -216,8 +233,8 @@ def _count_neighbours(dtype: str, size: int):
                     A.add_neighbours(total, held, project)
                     held, waiting = [], 0
         A.add_neighbours(total, held, project)
-        own = np.flatnonzero(total.any(axis=0))
-        yield pa.RecordBatch.from_arrays([pa.array(own), *(pa.array(row[own]) for row in total)], names=["i", *names])
+        own = np.flatnonzero(total.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(own), *(pa.array(column) for column in total[own].T.copy())], names=["i", *names])
 
     return run
 
