@@ -75,9 +75,9 @@ def _before(rows: np.ndarray, n: int) -> np.ndarray:
     return np.lib.stride_tricks.as_strided(rows[:, SPAN - 1 :], (D, SPAN, n), (across, -along, along), writeable=False)
 
 
-def _over_lags(weights: np.ndarray, windows: np.ndarray) -> np.ndarray:
+def _over_lags(weights: np.ndarray, windows: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
     """(D, n): ``windows`` weighted and summed over the lags, the even and the odd ones apart, as einsum then runs along n."""
-    out = np.einsum("ln,dln->dn", weights[::2], windows[:, ::2])
+    out = np.einsum("ln,dln->dn", weights[::2], windows[:, ::2], out=out)
     out += np.einsum("ln,dln->dn", weights[1::2], windows[:, 1::2])
     return out
 
@@ -207,11 +207,11 @@ def gradient(p: dict, ids: np.ndarray, place: np.ndarray, target: np.ndarray) ->
     dw -= np.einsum("ln,ln->n", w, dw)
     np.multiply(w, dw, out=ds[:, :n])
     g["b"] = ds.sum(axis=1)
-    dy[_Q, inner] = _over_lags(ds[:, :n], k)
+    _over_lags(ds[:, :n], k, dy[_Q, inner])
     later = np.zeros_like(ds)
     later[:, :n] = w
-    dy[_K, inner] = _over_lags(_shifted(ds, n), _after(y[_Q], n))
-    dy[_V, inner] = _over_lags(_shifted(later, n), _after(dy[_U], n))
+    _over_lags(_shifted(ds, n), _after(y[_Q], n), dy[_K, inner])
+    _over_lags(_shifted(later, n), _after(dy[_U], n), dy[_V, inner])
     both = (dy @ x1).T
     g["Q"], g["K"], g["A"], g["a"] = both[:D, _Q] * y.dtype.type(D**-0.5), both[:D, _K], both[:D, _U], both[D, _U]
     g["V"], g["B"] = both[:D, _V] @ p["B"].T, p["V"].T @ both[:D, _V]
@@ -229,12 +229,11 @@ def _softmax_error(weights: np.ndarray, target: np.ndarray, parts: list, h1: np.
     e, at, own, total = _softmax(weights, h1, target, parts)
     e.reshape(-1)[at] -= total  # what is left, over total and n, is the softmax less the target
     scale = 1 / (total * total.dtype.type(n))
-    scaled, back = h1 * scale, np.empty_like(of_h)
+    scaled, back, across = h1 * scale, np.empty((len(e), D), e.dtype), np.ascontiguousarray(weights[:, :-1].transpose(0, 2, 1))
     for m, (a, b) in parts:
         np.matmul(scaled[:, a:b], e[a:b], out=of_weights[m])
-        np.matmul(weights[m, :-1], e[a:b].T, out=back[:, a:b])
-    back *= scale
-    of_h += back
+        np.matmul(e[a:b], across[m], out=back[a:b])
+    of_h += back.T * scale
     return float((np.log(total) - np.log(own)).sum(dtype=np.float64)) / n
 
 

@@ -120,16 +120,16 @@ def _read(path: str, dtype: str, shared_head):
             data, offsets = K.buffer(batch.column("text"))
             for i, j in K.slices(offsets, SLICE):
                 part = batch.slice(i, j - i)
-                chunk = K.lower(data[offsets[i] : offsets[j]])
+                chunk = data[offsets[i] : offsets[j]]
                 start, end, first = K.words(chunk, offsets[i : j + 1] - offsets[i])
-                h = K.word_hashes(chunk, start, end)
+                h = K.word_hashes(K.lower(chunk), start, end)
                 known, log = np.zeros(len(h), bool), np.zeros(len(h))
                 if len(words):
                     at = _places(words, bounds, h)
                     known = words[at] == h
                     log = np.where(known, logs[at], 0.0)
                 sums = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[first])
-                ids, id_first = enc.encode(part.column("text"))
+                ids, id_first = enc.encode_words(chunk, start, end, first)
                 raw, width = ids.astype(dtype).tobytes(), np.dtype(dtype).itemsize
                 cells = [raw[width * a : width * b] for a, b in zip(id_first[:-1], id_first[1:], strict=True)]
                 rare = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(~known)])[first].astype(np.int32)), pa.array(h[~known].view(np.int64)))

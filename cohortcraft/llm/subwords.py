@@ -115,7 +115,11 @@ class Encoder:
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids uint32, first): ids of every text, one after the other; a null has none."""
         data, offsets = K.buffer(column)
-        data, start, end, whole, first = units(data, *K.words(data, offsets))
+        return self.encode_words(data, *K.words(data, offsets))
+
+    def encode_words(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` of texts that are cut into their words (``kernels.words``)."""
+        data, start, end, whole, first = units(data, start, end, first)
         hashes = K.word_hashes(data, start, end)
         hashes[whole] ^= _WHOLE
         # equal units of the batch are looked up once

@@ -165,3 +165,72 @@ def test_classes_come_from_all_rows(spark):
     rows = spark.createDataFrame([(k, bytearray(t.astype("<u2").tobytes())) for k, t in enumerate(texts)], "key bigint, ids binary")
     class_of = lm_scoring.fit_model(rows, 310, "<u2").class_of
     assert (class_of[300:310] < A.CLASSES - 1).all()  # not the class of ids without context
+
+
+def plain_neighbours(texts, project, end):
+    """(ids, PROFILE) sums, one neighbour at a time."""
+    out = np.zeros((end + 1, A.PROFILE))
+    half = A.PROFILE // 2
+    for text in texts:
+        symbols = [end, *text.tolist(), end]
+        for before, after in zip(symbols[:-1], symbols[1:], strict=True):
+            out[after, :half] += project[before]
+            out[before, half:] += project[after]
+    return out
+
+
+@pytest.mark.parametrize("end", [40, 70_000])
+def test_neighbour_sums_equal_a_plain_loop(monkeypatch, end):
+    monkeypatch.setattr(A, "PAIRS", 7)  # runs of an id's neighbours go over the edges of the blocks
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(0, end, n) for n in (0, 1, 2, 60, 90)] + [np.full(9, end - 1), np.zeros(0, np.int64)]
+    project, total = A.projection(end + 1), np.zeros((end + 1, A.PROFILE))
+    A.add_neighbours(total, texts[:4], project)
+    A.add_neighbours(total, texts[4:], project)
+    assert (total == plain_neighbours(texts, project, end)).all()
+
+
+def test_neighbours_take_one_look_at_each_distinct_pair():
+    class Counted(np.ndarray):
+        rows = 0
+
+        def take(self, at, **how):
+            Counted.rows += len(at)
+            return np.asarray(self).take(at, **how)
+
+    texts = [np.tile(np.arange(5), 400)] * 3
+    total = np.zeros((51, A.PROFILE))
+    A.add_neighbours(total, texts, A.projection(51).view(Counted))
+    assert 0 < Counted.rows <= 2 * 7  # of 6,003 neighbours on each side
+
+
+def test_gradient_of_every_parameter_equals_differences():
+    rng = np.random.default_rng(11)
+    v, n = 12, 30
+    p = {k: x.astype(np.float64) + rng.normal(0, 0.1, x.shape) for k, x in A.initial(v + 1).items()}
+    ids, place = rng.integers(0, v, n), np.concatenate([np.arange(3), np.arange(20), np.arange(7)])
+    target = rng.integers(0, A.CLASSES, n)
+    _, g, own = A.gradient(p, ids, place, target)
+    assert own.tolist() == np.unique(ids).tolist()
+    for k, of in g.items():
+        way = rng.normal(0, 1, p[k].shape)
+        moved = lambda by: A.gradient({**p, k: p[k] + by * way}, ids, place, target)[0]  # noqa: B023, E731
+        assert (of * (way[own] if k == "E" else way)).sum() == pytest.approx((moved(1e-5) - moved(-1e-5)) / 2e-5, rel=1e-4, abs=1e-8), k
+
+
+def test_blocks_shorter_than_the_span():
+    rng = np.random.default_rng(12)
+    p = A.initial(10)
+    for n in (1, 2, A.SPAN - 1):
+        loss, g, own = A.gradient(p, rng.integers(0, 9, n), np.arange(n), rng.integers(0, A.CLASSES, n))
+        assert np.isfinite(loss) and all(np.isfinite(x).all() for x in g.values()) and len(own) <= n
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 1000])
+def test_frequent_words_are_found_by_their_leading_bits(size):
+    rng = np.random.default_rng(size)
+    words = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+    for own in (words, np.unique(words >> np.uint64(30)), np.unique(words | np.uint64(2**64 - 2**40))):  # spread, and all in few buckets
+        asked = np.concatenate([own, own + np.uint64(1), rng.integers(0, 2**64, 500, dtype=np.uint64), np.array([0, 2**64 - 1], np.uint64)])
+        at = lm_scoring._places(own, lm_scoring._bounds(own), asked)
+        assert ((own[at] == asked) == np.isin(asked, own)).all()
