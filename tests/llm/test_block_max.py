@@ -5,9 +5,11 @@ import random
 import re
 import tracemalloc
 from collections import Counter
+from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from cohortcraft.llm import block_max
@@ -161,3 +163,25 @@ def test_a_full_shard_takes_bounded_memory():
     tracemalloc.stop()
     assert row["total"] == 700 * len(texts)
     assert peak < 200e6 and kept - sum(len(v) for v in row.values() if isinstance(v, bytes)) < 20e6
+
+
+def test_a_task_holds_one_shard_at_a_time(spark, docs_of, monkeypatch):
+    docs, words, rng = corpus(9, 400)
+    items = [(i, " ".join(rng.sample(words, 8))) for i in range(5)]
+    setting, handed, write = next(iter(block_max.ONE_BY_ONE)), [], block_max.written
+
+    def watched(df, name, *more):
+        handed.append((name, spark.conf.get(setting)))
+        return write(df, name, *more)
+
+    was = spark.conf.get(setting)
+    monkeypatch.setattr(block_max, "SHARD_BYTES", 3_000)
+    monkeypatch.setattr(block_max, "written", watched)
+    shards = block_max.build(docs_of(docs).coalesce(1))
+    found = ranked(block_max.search(shards, spark.createDataFrame(items, "item_id long, text string")))
+    assert found == brute(docs, items)
+    for f in shards.inputFiles():
+        stored = pq.ParquetFile(unquote(urlparse(f).path)).metadata
+        assert stored.num_row_groups == stored.num_rows > 5  # a reader decodes a row group at a time
+    assert dict(handed)["search-heaps"] == "1" and dict(handed)["search-shards"] == was
+    assert spark.conf.get(setting) == was
